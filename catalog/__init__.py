@@ -1 +1,5 @@
 """Registered queries over the driver's tables, their fixtures and their SQL counterparts."""
+
+from catalog import text_queries  # noqa: F401
+from catalog.registry import ORACLES, QUERIES  # noqa: F401
+from catalog import request_queries, scoring_queries  # noqa: F401

@@ -49,3 +49,50 @@ def wordlist(forms: DataFrame) -> DataFrame:
 def text_level(ari: Column) -> Column:
     """Label of a text by its ARI."""
     return _case(ari, ARI_CUTS, lambda c, b: c < b, "C2")
+
+
+def label_by_number(number: Column) -> Column:
+    return _case(number, list(enumerate(C.TEXT_LEVELS)), lambda c, b: c == b, None)
+
+
+def max_ranks(docs: DataFrame) -> DataFrame:
+    """A vocabulary limit per document, 0 (no check) included."""
+    limit = _case(F.col("doc_id") % 5, list(enumerate([200, 500, 1000, 2000, 0])), lambda c, b: c == b, 0)
+    return docs.select("doc_id", limit.cast("bigint").alias("max_rank"))
+
+
+def attempts(docs: DataFrame) -> DataFrame:
+    """Three neighbouring documents are the attempts of one request."""
+    request = F.expr("doc_id div 3")
+    return docs.select("*", request.alias("request_id"), (F.col("doc_id") % 3 + 1).alias("attempt"),
+                       label_by_number(request % 9).alias("target_level"))
+
+
+# ---- raw answers: JSON in the shapes a service returns ------------------------------
+
+# fixed values: answer shapes by document number; {t} is the escaped text, {s} the source
+ANSWER_SHAPES = [
+    '{"text": "{t}", "question1": "What about {s}?", "question2": "Explain {s}。"}',
+    '```json\n{"text": "Text:\\n  {t}", "questions": ["First {s} 50語程度", "", "Second {s}", "Third {s}"]}\n```',
+    'Passage:\n\n\n\n{r}\n1. Questions\n{"text": broken',
+    '{"question1": "Only {s}?"}',
+    'Sure ```\n{"text": "{t}"}',
+]
+
+
+def raw_answer_sql(quote) -> str:
+    """The shapes as one SQL expression over ``doc_id, text, source``, valid in both engines."""
+    escaped = "replace(replace(replace(text,{b},{b2}),{d},{b}||{d}),chr(10),{b}||'n')".format(
+        b="chr(92)", b2="chr(92)||chr(92)", d="chr(34)")
+    parts = []
+    for i, shape in enumerate(ANSWER_SHAPES):
+        literal = "||chr(92)||".join("||chr(10)||".join(quote(p) for p in piece.split("\n")) for piece in shape.split("\\"))
+        parts.append(f"WHEN doc_id%5={i} THEN replace(replace(replace({literal},'{{t}}',{escaped}),'{{r}}',text),'{{s}}',source)")
+    return "CASE " + " ".join(parts) + " END"
+
+
+def responses(documents: DataFrame) -> DataFrame:
+    narrative = F.when(F.col("doc_id") % 2 == 0, "narrative").otherwise("expository")
+    return documents.select(
+        "doc_id", narrative.alias("text_type"), F.when(F.col("doc_id") % 7 == 0, "").otherwise(F.col("source")).alias("topic"),
+        F.expr(raw_answer_sql(lambda s: "'" + s.replace("'", "\\'") + "'")).alias("raw"))
