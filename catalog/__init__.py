@@ -2,4 +2,4 @@
 
 from catalog import text_queries  # noqa: F401
 from catalog.registry import ORACLES, QUERIES  # noqa: F401
-from catalog import request_queries, scoring_queries  # noqa: F401
+from catalog import report_queries, request_queries, scoring_queries, training_queries  # noqa: F401

@@ -105,17 +105,23 @@ class Data:
     def lexical(self) -> DataFrame:
         return L.lexical_profile(self.tokens, self.lexicon, self.limits)
 
+    @cached_property
+    def measured(self) -> DataFrame:
+        """Counts of every text in all languages, stored: numbers only, so the texts are cut up once."""
+        docs = corpus.spread(self.table("documents").select("doc_id", "lang", "source", "text"))
+        return materialise(docs.select(
+            "doc_id", "lang", "source", X.whitespace_words(F.col("text")).alias("word_count"),
+            X.letter_total(F.col("text")).alias("n_letters"), X.word_total(F.col("text")).alias("n_words"),
+            X.sentence_total(F.col("text")).alias("n_sents")), "measured")
+
     @property
     def results(self) -> DataFrame:
-        """A light result table over all languages: predicted level from ARI."""
-        docs = corpus.spread(self.table("documents").select("doc_id", "lang", "source", "text"))
-        rows = FX.attempts(docs).select(
+        """A light result table over all languages without the texts: predicted level from ARI."""
+        rows = FX.attempts(self.measured).select(
             "*", (100 + 25 * (F.col("request_id") % 5)).alias("wanted_words"),
             F.when(F.col("doc_id") % 2 == 0, "narrative").otherwise("expository").alias("text_type"),
             F.concat("lang", F.lit(" texts collected from the source "), "source").alias("topic"),
-            X.whitespace_words(F.col("text")).alias("word_count"), X.letter_total(F.col("text")).alias("n_letters"),
-            X.word_total(F.col("text")).alias("n_words"), X.sentence_total(F.col("text")).alias("n_sents"))
-        rows = rows.withColumn("ARI", X.ari(F.col("n_letters"), F.col("n_words"), F.col("n_sents")))
+            X.ari(F.col("n_letters"), F.col("n_words"), F.col("n_sents")).alias("ARI"))
         rows = rows.select("*", FX.text_level(F.col("ARI")).alias("predicted_level"),
                            (F.floor(1.0 / (1.0 + F.abs(F.col("ARI") - 7.0)) * 10000.0 + 0.5).cast("double") / 10000.0)
                            .alias("confidence"), F.col("attempt").alias("attempts"))
@@ -124,6 +130,17 @@ class Data:
                             F.col("target_level")).alias("success"),
             RS.level_distance(F.col("predicted_level"), F.col("target_level")).alias("distance"))
 
+    @property
+    def result_texts(self) -> DataFrame:
+        """Results with text, questions and features."""
+        number = F.col("doc_id") % 3
+        asked = (F.when(number == 0, F.array().cast("array<string>")).when(number == 1, F.array(F.lit("What?")))
+                 .otherwise(F.array(F.lit("What?"), F.concat(F.lit('Why "'), "source", F.lit('"?')))))
+        return (self.results.join(self.table("documents").select("doc_id", "text"), "doc_id")
+                .select("*", asked.alias("questions"), F.col("request_id").alias("set_index"),
+                        F.when(F.col("doc_id") % 5 != 0, F.concat(F.col("attempt").cast("string"), F.lit("K"))).alias("band"),
+                        F.struct("ARI").alias("features"), F.col("target_level").alias("level")))
+
     @property
     def parsed(self) -> DataFrame:
         docs = corpus.spread(self.table("documents").select("doc_id", "text", "source"))

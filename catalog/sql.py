@@ -265,6 +265,10 @@ CTES: dict[str, tuple[list[str], str]] = {
     "best": (["steps"], f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY success DESC,
               CASE WHEN success THEN 0 ELSE distance END, attempt) AS rn FROM steps WHERE success OR distance<{INF})
             WHERE rn=1"""),
+    "result_texts": (["results"], """SELECT *, request_id AS set_index,
+            CASE WHEN doc_id%5<>0 THEN attempt::VARCHAR||'K' END AS band,
+            CASE WHEN doc_id%3>0 THEN 'What?' END AS question1,
+            CASE WHEN doc_id%3=2 THEN 'Why "'||source||'"?' END AS question2 FROM results"""),
     "responses": ([], f"""SELECT doc_id, text_type, topic, {FX.raw_answer_sql(q)} AS raw FROM (
             SELECT doc_id, text, CASE WHEN doc_id%2=0 THEN 'narrative' ELSE 'expository' END AS text_type,
               CASE WHEN doc_id%7=0 THEN '' ELSE source END AS topic, source FROM documents)"""),

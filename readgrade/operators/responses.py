@@ -100,11 +100,12 @@ def best_attempts(attempts: DataFrame) -> DataFrame:
 
     ``attempts`` has ``request_id, attempt, success, distance``.
     """
-    usable = attempts.where(F.col("success") | (F.col("distance") < float("inf")))
-    order = F.struct(~F.col("success"), F.when(F.col("success"), 0.0).otherwise(F.col("distance")), "attempt")
+    usable = F.col("success") | (F.col("distance") < float("inf"))
+    # an unusable attempt has no rank and is never picked; no filter, so nothing derived is computed twice
+    order = F.when(usable, F.struct(~F.col("success"), F.when(F.col("success"), 0.0).otherwise(F.col("distance")), "attempt"))
     columns = [c for c in attempts.columns if c != "request_id"]
-    return (usable.groupBy("request_id").agg(F.min_by(F.struct(*columns), order).alias("best"))
-            .select("request_id", "best.*"))
+    return (attempts.groupBy("request_id").agg(F.min_by(F.struct(*columns), order).alias("best"))
+            .where(F.col("best").isNotNull()).select("request_id", "best.*"))
 
 
 def within_quota(runs: DataFrame, wanted: int, attempts_each: int = C.ATTEMPTS_PER_BATCH_TEXT) -> DataFrame:
