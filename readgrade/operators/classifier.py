@@ -21,6 +21,7 @@ from readgrade.operators import training as TR
 # fixed values: settings of the two candidate models
 TREES, DEEPEST, SEED = 300, 30, 42
 ITERATIONS = 2000
+PENALTY = 1.0
 REGRESSION_TREES = 100
 MOST_FOLDS = 5
 CALIBRATION_FOLDS = (2, 3)
@@ -48,25 +49,30 @@ def weighted(train: DataFrame) -> DataFrame:
     return train.join(F.broadcast(TR.class_weights(train).drop("n_class")), "predict_level")
 
 
-def forest() -> RandomForestClassifier:
+def forest(rows: int) -> RandomForestClassifier:
     return RandomForestClassifier(numTrees=TREES, maxDepth=DEEPEST, seed=SEED, weightCol="weight")
 
 
-def logistic() -> OneVsRest:
-    return OneVsRest(classifier=LogisticRegression(maxIter=ITERATIONS), weightCol="weight")
+def logistic(rows: int) -> OneVsRest:
+    """One model per class, side by side; penalty ``PENALTY / rows`` on the mean loss is a unit penalty on its sum."""
+    one = LogisticRegression(maxIter=ITERATIONS, regParam=PENALTY / max(rows, 1))
+    return OneVsRest(classifier=one, weightCol="weight", parallelism=len(C.TEXT_LEVELS))
 
 
 CANDIDATES = {"forest": forest, "logistic": logistic}
 
 
-def pipeline(kind: str) -> Pipeline:
-    return Pipeline(stages=[indexer(), *_features(C.METRICS), CANDIDATES[kind]()])
+def pipeline(kind: str, rows: int) -> Pipeline:
+    return Pipeline(stages=[indexer(), *_features(C.METRICS), CANDIDATES[kind](rows)])
 
 
 # ---- fitting and choice ----------------------------------------------------------------
 
 def fit(train: DataFrame, kind: str = "forest") -> PipelineModel:
-    return pipeline(kind).fit(weighted(train))
+    ready = weighted(train).persist()
+    model = pipeline(kind, ready.count()).fit(ready)
+    ready.unpersist()
+    return model
 
 
 def rarest(train: DataFrame) -> int:
@@ -89,11 +95,11 @@ def choose(train: DataFrame) -> list[tuple[str, float]]:
         return [("forest", float("nan"))]
     folded = weighted(with_folds(train, k)).persist()
     accuracy = MulticlassClassificationEvaluator(metricName="accuracy")
-    scores = []
+    rows, scores = folded.count(), []
     for kind in CANDIDATES:
-        search = CrossValidator(estimator=pipeline(kind), estimatorParamMaps=ParamGridBuilder().build(),
+        search = CrossValidator(estimator=pipeline(kind, rows), estimatorParamMaps=ParamGridBuilder().build(),
                                 evaluator=accuracy, numFolds=k, foldCol="fold", parallelism=2)
-        scores.append((kind, search.fit(folded).avgMetrics[0]))
+        scores.append((kind, float(search.fit(folded).avgMetrics[0])))
     folded.unpersist()
     return sorted(scores, key=lambda s: -s[1])
 
