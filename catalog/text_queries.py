@@ -181,7 +181,7 @@ def l7(d):
        {Q.fx('sum(flat_score)/count(*)')} AS mean_score FROM graded_tokens WHERE content_h AND flat_level IS NOT NULL
        GROUP BY doc_id""", "graded_tokens")
 def l8(d):
-    return rounded(L.flat_scores(d.tokens, d.lexicon), "mean_score")
+    return rounded(M.flat_scores(d.tokens, d.lexicon), "mean_score")
 
 
 @query("l9_level_from_frequency", f"SELECT word, {Q.level_of_zipf('zipf')} AS level FROM freq", "freq")

@@ -27,51 +27,69 @@ def matches(value: Column, pattern: str) -> Column:
     return F.regexp_count(value, F.lit(pattern)).cast("bigint")
 
 
-def is_alpha(word: Column) -> Column:
-    """A token holds letters only or none, so its first character decides; compared as bytes."""
-    return (((word >= "A") & (word < "[")) | ((word >= "a") & (word < "{"))
-            | ((word >= "À") & (word < "Ā") & ~word.isin("×", "÷")))
+# The tagging rules work on the code point of the first character and on the last
+# letters of a word. Whole numbers and short strings keep the generated code of the
+# token stage under the size that the JVM still compiles.
 
+def first_code(word: Column) -> Column:
+    return F.ascii(word)
 
-def is_digit(word: Column) -> Column:
-    return (word >= "0") & (word < ":")
 
+def is_letter(code: Column) -> Column:
+    """A token holds letters only or none, so its first character decides."""
+    return code.between(65, 90) | code.between(97, 122) | (code.between(192, 255) & (code != 215) & (code != 247))
 
-def suffix_class(lower: Column) -> Column:
-    expr = None
+
+def is_capital(code: Column) -> Column:
+    return code.between(65, 90) | (code.between(192, 222) & (code != 215))
+
+
+def is_digit(code: Column) -> Column:
+    return code.between(48, 57)
+
+
+def tail(lower: Column, size: int) -> Column:
+    return F.substring(lower, -size, size)
+
+
+def _endings(tags: list[str]) -> dict[int, list[tuple[str, list[str]]]]:
+    """Endings of the classes by their length, in the order of the fixed table."""
+    found: dict[int, list[tuple[str, list[str]]]] = {}
     for tag, endings in C.OPEN_CLASS_SUFFIXES:
-        for size in sorted({len(e) for e in endings}):
-            hit = F.right(lower, F.lit(size)).isin([e for e in endings if len(e) == size])
-            expr = F.when(hit, tag) if expr is None else expr.when(hit, tag)
-    return F.when(F.length(lower) >= C.MIN_SUFFIX_WORD, expr)
+        for e in endings if tag in tags else []:
+            rows = found.setdefault(len(e), [])
+            if not rows or rows[-1][0] != tag:
+                rows.append((tag, []))
+            rows[-1][1].append(e)
+    return found
 
 
-def capital_inside(word: Column, position: Column) -> Column:
-    first = F.substring(word, 1, 1)
-    return (position > 0) & (first != F.lower(first))
+def suffix_class(lower: Column, tails: dict[int, Column]) -> Column:
+    """Class by ending; no listed ending is the end of another one, so their order does not matter."""
+    expr = None
+    for size, rows in _endings([t for t, _ in C.OPEN_CLASS_SUFFIXES]).items():
+        for tag, endings in rows:
+            hit = tails[size].isin(endings)
+            expr = F.when(hit, tag) if expr is None else expr.when(hit, tag)
+    return F.when(F.length(lower) >= C.MIN_SUFFIX_WORD, expr)
 
 
-def part_of_speech(word: Column, lower: Column, position: Column, closed: Column) -> Column:
+def part_of_speech(code: Column, lower: Column, tails: dict[int, Column], position: Column, closed: Column) -> Column:
     """Closed class, then a capital inside the sentence, then the ending."""
-    known = [closed, F.when(capital_inside(word, position), "PROPN"), suffix_class(lower), F.lit("NOUN")]
-    return (F.when(is_alpha(word), F.coalesce(*known))
-            .when(is_digit(word), "NUM").otherwise("PUNCT"))
-
+    known = F.coalesce(closed, F.when((position > 0) & is_capital(code), "PROPN"), suffix_class(lower, tails), F.lit("NOUN"))
+    return F.when(is_letter(code), known).when(is_digit(code), "NUM").otherwise("PUNCT")
 
-def lemma(lower: Column, pos: Column) -> Column:
-    def cut(n):
-        return F.substring(lower, F.lit(1), F.length(lower) - n)
 
-    verb = (F.when(F.endswith(lower, F.lit("ing")), cut(3))
-            .when(F.endswith(lower, F.lit("ed")), cut(2)).otherwise(lower))
-    noun = (F.when(F.length(lower) < 4, lower)
-            .when(F.endswith(lower, F.lit("ies")), F.concat(cut(3), F.lit("y")))
-            .when(F.right(lower, F.lit(4)).isin("sses", "shes", "ches"), cut(2))
-            .when(F.endswith(lower, F.lit("xes")), cut(2))
-            .when(F.right(lower, F.lit(2)).isin("ss", "us", "is"), lower)
-            .when(F.endswith(lower, F.lit("s")), cut(1)).otherwise(lower))
-    return (F.when((pos == "VERB") & (F.length(lower) >= C.MIN_SUFFIX_WORD), verb)
-            .when(pos == "NOUN", noun).otherwise(lower))
+def lemma(lower: Column, tails: dict[int, Column], pos: Column) -> Column:
+    """Strip verb endings from verbs and plural endings from nouns."""
+    size = F.length(lower)
+    verb = (F.when(size < C.MIN_SUFFIX_WORD, 0).when(tails[3] == "ing", 3).when(tails[2] == "ed", 2).otherwise(0))
+    plural = (F.when((size < 4) | ~lower.endswith("s") | tails[2].isin("ss", "us", "is"), 0)
+              .when(tails[3] == "ies", 3)
+              .when(tails[4].isin("sses", "shes", "ches") | (tails[3] == "xes"), 2).otherwise(1))
+    cut = F.when(pos == "VERB", verb).when(pos == "NOUN", plural).otherwise(0)
+    stem = F.substring(lower, F.lit(1), size - cut)
+    return F.when((pos == "NOUN") & (cut == 3), F.concat(stem, F.lit("y"))).otherwise(stem)
 
 
 def in_chunk(pos: Column) -> Column:
@@ -79,18 +97,16 @@ def in_chunk(pos: Column) -> Column:
     return pos.isin(CHUNK_POS)
 
 
-def word_in_chunk(word: Column, lower: Column, position: Column, closed: Column) -> Column:
+def word_in_chunk(code: Column, lower: Column, position: Column, closed: Column) -> Column:
     """``in_chunk`` of a word, without spelling out its whole part of speech.
 
     Among the open classes only adverbs and verbs stay outside a chunk.
     """
-    outside = [e for tag, endings in C.OPEN_CLASS_SUFFIXES if tag in ("ADV", "VERB") for e in endings]
-    ending = None
-    for size in sorted({len(e) for e in outside}):
-        hit = F.right(lower, F.lit(size)).isin([e for e in outside if len(e) == size])
-        ending = hit if ending is None else ending | hit
-    open_class = capital_inside(word, position) | (F.length(lower) < C.MIN_SUFFIX_WORD) | ~ending
-    return is_alpha(word) & F.when(closed.isNotNull(), in_chunk(closed)).otherwise(open_class)
+    ending = F.lit(False)
+    for size, rows in _endings(["ADV", "VERB"]).items():
+        ending = ending | tail(lower, size).isin([e for _, endings in rows for e in endings])
+    open_class = ((position > 0) & is_capital(code)) | (F.length(lower) < C.MIN_SUFFIX_WORD) | ~ending
+    return is_letter(code) & F.when(closed.isNotNull(), in_chunk(closed)).otherwise(open_class)
 
 
 # ---- formulas over a whole text, no shuffle --------------------------------

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from readgrade import fixed as C
 from readgrade.functions import text as X
-from readgrade.functions.numbers import ratio
 from readgrade.functions.tables import fixed_table
 from readgrade.operators import tokens as T
 
@@ -119,16 +118,19 @@ def split_hot(graded: DataFrame) -> tuple[DataFrame, DataFrame]:
     return graded.where("hot").drop("hot"), graded.where(~F.col("hot")).drop("hot")
 
 
-def attach_forms(tokens: DataFrame, graded: DataFrame, columns: list[str]) -> DataFrame:
-    """Tokens with ``columns`` of their form: hot forms by broadcast, the others by shuffle.
+def attach_forms(tokens: DataFrame, graded: DataFrame, columns: list[str], keep: Column) -> DataFrame:
+    """Tokens for which ``keep`` holds, with ``columns`` of their form: hot forms by broadcast, the others by shuffle.
 
     Frequent words never travel: what is shuffled has no key above 1/HOT_FORMS
-    of the tokens. The token stage runs once per branch instead.
+    of the tokens. The token stage runs once per branch instead. ``keep`` and
+    the outcome of the probe are tested as one number: as separate conditions
+    they would be pushed down and repeat the tagging rules there.
     """
     hot, rare = split_hot(graded)
-    near = tokens.join(F.broadcast(hot.select(*FORM, *columns)), FORM)
-    far = (tokens.join(F.broadcast(hot.select(*FORM)), FORM, "left_anti")
-           .join(rare.select(*FORM, *columns), FORM))
+    probed = tokens.join(F.broadcast(hot.select(*FORM, *columns, F.lit(1).alias("is_hot"))), FORM, "left")
+    branch = keep.cast("int") * F.coalesce("is_hot", F.lit(2))
+    near = probed.where(branch == 1).drop("is_hot")
+    far = probed.where(branch == 2).select(*tokens.columns).join(rare.select(*FORM, *columns), FORM)
     return near.unionByName(far)
 
 
@@ -141,8 +143,8 @@ def out_of_band(level: Column, rank: Column, max_rank: Column) -> Column:
 
 def profile_tokens(tokens: DataFrame, graded: DataFrame, limits: DataFrame) -> DataFrame:
     """Candidate tokens of the documents in ``limits(doc_id, max_rank)`` with a flag for words outside the band."""
-    kept = T.lexical_candidates(tokens).select("doc_id", "tok_id", "text", *FORM)
-    ranked = attach_forms(kept, graded.withColumn("rank", X.rank_from_zipf(F.col("zipf"))), ["level", "rank"])
+    rows = tokens.select("doc_id", "tok_id", "text", *FORM, T.is_candidate().alias("kept"))
+    ranked = attach_forms(rows, graded.withColumn("rank", X.rank_from_zipf(F.col("zipf"))), ["level", "rank"], F.col("kept"))
     return (ranked.join(limits, "doc_id")
             .withColumn("flagged", out_of_band(F.col("level"), F.col("rank"), F.col("max_rank")) &
                         (F.col("max_rank") > 0)))
@@ -176,12 +178,3 @@ def lexical_profile(tokens: DataFrame, graded: DataFrame, limits: DataFrame) ->
     return (limits.join(totals, "doc_id", "left").join(found, "doc_id", "left")
             .select("doc_id", "max_rank", number("total_tokens"), number("content_tokens"), number("out_of_band_count"),
                     F.coalesce(F.col("hits.w"), F.array().cast("array<string>")).alias("out_of_band_tokens")))
-
-
-def flat_scores(tokens: DataFrame, graded: DataFrame) -> DataFrame:
-    """Per document: content tokens found in the flat list and their mean score; unlisted words do not count."""
-    content = T.predicates(tokens).where("is_content_model").select("doc_id", *FORM)
-    found = attach_forms(content, graded, ["flat_level"]).where(F.col("flat_level").isNotNull())
-    score = X.level_score(F.col("flat_level"), C.UNKNOWN_SCORE["model"])
-    return (found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_found"), F.sum(score).alias("sum_score"))
-            .select("*", ratio(F.col("sum_score"), F.col("n_found")).alias("mean_score")))

@@ -95,6 +95,13 @@ def document_counts(tokens: DataFrame, graded: DataFrame) -> DataFrame:
         F.slice(F.sort_array(F.concat("base.lows", "lows")), 1, TOP).alias("lows"))
 
 
+def flat_scores(tokens: DataFrame, graded: DataFrame) -> DataFrame:
+    """Per document: content tokens found in the flat list and their mean score; unlisted words do not count."""
+    counts = document_counts(tokens, graded).where(F.col("n_found") > 0)
+    return counts.select("doc_id", "n_found", F.col("sum_flat").alias("sum_score"),
+                         ratio(F.col("sum_flat"), F.col("n_found")).alias("mean_score"))
+
+
 # ---- the eight metrics as arithmetic over the counts ----------------------------
 
 def _trimmed(total: Column, of_zipf) -> Column:

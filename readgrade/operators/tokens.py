@@ -4,7 +4,7 @@ Everything here is a narrow transformation: a document is cut up inside its own
 row, so no shuffle happens before the word-level joins.
 """
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from readgrade import fixed as C
 from readgrade.functions import text as X
@@ -37,29 +37,33 @@ def tokens(docs: DataFrame) -> DataFrame:
     generated code small enough to be compiled.
     """
     found = F.regexp_extract_all("sentence", F.lit(X.TOKEN), 0)
-    pairs = F.arrays_zip(F.col("found").alias("text"),
-                         F.concat(F.array(F.lit(None).cast("string")), F.col("found")).alias("before"))
+    shifted = F.concat(F.array(F.lit("")), F.slice("found", 1, F.greatest(F.size("found") - 1, F.lit(0))))
+    pairs = F.arrays_zip(F.col("found").alias("text"), shifted.alias("before"))
+    # never null, so that joins on these columns add no null checks that repeat the rules below
     rows = (sentences(docs).select("doc_id", "sent_id", found.alias("found"))
             .select("doc_id", "sent_id", F.posexplode(pairs).alias("pos_in_sent", "pair"))
-            .select("doc_id", "sent_id", "pos_in_sent", F.col("pair.text").alias("text"),
-                    F.col("pair.before").alias("before"))
-            .where(F.col("text").isNotNull())
+            .select("doc_id", "sent_id", "pos_in_sent", F.coalesce("pair.text", F.lit("")).alias("text"),
+                    F.coalesce("pair.before", F.lit("")).alias("before"))
             .select("*", F.lower("text").alias("lower"), F.lower("before").alias("before_lower")))
     closed = closed_words(docs.sparkSession)
     before = closed.select(F.col("closed_word").alias("before_word"), F.col("closed_pos").alias("before_closed"))
-    at = F.col("pos_in_sent")
-    tagged = (rows.join(F.broadcast(closed), F.col("lower") == F.col("closed_word"), "left")
+    at, lower, code = F.col("pos_in_sent"), F.col("lower"), F.col("code")
+    tails = {n: F.col(f"tail{n}") for n in (2, 3, 4)}
+    probed = (rows.join(F.broadcast(closed), lower == F.col("closed_word"), "left")
               .join(F.broadcast(before), F.col("before_lower") == F.col("before_word"), "left")
-              .select("doc_id", "sent_id", "pos_in_sent", "text", "lower", "stop",
-                      X.part_of_speech(F.col("text"), F.col("lower"), at, F.col("closed_pos")).alias("pos"),
-                      X.word_in_chunk(F.col("before"), F.col("before_lower"), at - 1,
-                                      F.col("before_closed")).alias("before_np")))
+              .select("doc_id", "sent_id", "pos_in_sent", "text", "lower", "stop", "closed_pos", "before_lower", "before_closed",
+                      X.first_code(F.col("text")).alias("code"), X.first_code(F.col("before")).alias("before_code"),
+                      *[X.tail(lower, n).alias(f"tail{n}") for n in tails]))
+    tagged = probed.select(
+        "doc_id", "sent_id", "pos_in_sent", "text", "lower", "stop", "code", *tails.values(),
+        X.part_of_speech(code, lower, tails, at, F.col("closed_pos")).alias("pos"),
+        X.word_in_chunk(F.col("before_code"), F.col("before_lower"), at - 1, F.col("before_closed")).alias("before_np"))
     inside = X.in_chunk(F.col("pos"))
     return tagged.select(
         "doc_id", "sent_id", "pos_in_sent",
         (F.shiftleft(F.col("sent_id").cast("bigint"), SENTENCE_SHIFT) + at).alias("tok_id"),
-        "text", "lower", X.lemma(F.col("lower"), F.col("pos")).alias("lemma"), "pos",
-        X.is_alpha(F.col("text")).alias("is_alpha"),
+        "text", "lower", X.lemma(lower, tails, F.col("pos")).alias("lemma"), "pos",
+        X.is_letter(code).alias("is_alpha"),
         F.col("stop").isNotNull().alias("is_stop"),
         inside.alias("in_np"),
         (inside & ((at == 0) | ~F.col("before_np"))).alias("np_start"))
@@ -81,7 +85,8 @@ def retag_with_list(tokens_: DataFrame, listed: DataFrame) -> DataFrame:
     pos = F.when(open_class, F.coalesce(F.col("list_pos"), F.col("pos"))).otherwise(F.col("pos"))
     return joined.select(
         *[c for c in tokens_.columns if c not in ("pos", "lemma", "in_np", "np_start")],
-        pos.alias("pos"), X.lemma(F.col("lower"), pos).alias("lemma"))
+        pos.alias("pos"), 
+        X.lemma(F.col("lower"), {n: X.tail(F.col("lower"), n) for n in (2, 3, 4)}, pos).alias("lemma"))
 
 
 def predicates(tokens_: DataFrame) -> DataFrame:
@@ -92,9 +97,13 @@ def predicates(tokens_: DataFrame) -> DataFrame:
         F.col("pos").isin(C.FUNCTION_POS).alias("is_function"))
 
 
+def is_candidate() -> Column:
+    """Alphabetic, neither a stop word nor a proper noun."""
+    return F.col("is_alpha") & ~F.col("is_stop") & (F.col("pos") != "PROPN")
+
+
 def lexical_candidates(tokens_: DataFrame) -> DataFrame:
-    """Alphabetic tokens that are neither stop words nor proper nouns."""
-    return tokens_.where(F.col("is_alpha") & ~F.col("is_stop") & (F.col("pos") != "PROPN"))
+    return tokens_.where(is_candidate())
 
 
 def noun_chunks(tokens_: DataFrame) -> DataFrame:
