@@ -3,13 +3,14 @@
 from pyspark.sql import functions as F
 
 from catalog import sql as Q
+from catalog.fixtures import responses
 from catalog.registry import query
-from catalog.scoring_queries import ADVICE, SNAPSHOT, TARGET_LINES, _display
+from catalog.scoring_queries import ADVICE, DISPLAY, SNAPSHOT, TARGET_LINES
 from catalog.text_queries import rounded
 from readgrade import fixed as C
 from readgrade.functions import text as X
 from readgrade.functions.numbers import fixed
-from readgrade.operators import profiles as P, requests as RQ, responses as RS
+from readgrade.operators import requests as RQ, responses as RS
 
 TOPICS = "SELECT item_id AS set_index, regexp_extract(text,'^[^.!?]+',0) AS topic FROM benchmark"
 BAND_ROWS = Q.values("bands", ["band", "target_level", "max_rank", "word_count", "text_type", "topic"],
@@ -56,7 +57,7 @@ def q4(d):
 
 _brief = Q.fill(C.LEXICAL_BRIEF, {"band": "band", "max_rank": "max_rank::VARCHAR"})
 _structured = Q.fill(C.STRUCTURED_PROMPT, {
-    "display": _display, "text_type": "text_type", "min_words": "'180'", "max_words": "'220'",
+    "display": DISPLAY, "text_type": "text_type", "min_words": "'180'", "max_words": "'220'",
     "word_count": "word_count::VARCHAR", "lexical_brief": _brief, "type_guide": TYPE_GUIDE,
     "targets": f"coalesce(targets,{Q.q(C.HINTS_NONE)})", "level": "level",
     "style_guide": Q.case("level", C.STYLE_GUIDES, "=", C.STYLE_GUIDE_DEFAULT), "question_rules": Q.q(C.QUESTION_RULES),
@@ -137,7 +138,6 @@ def q8(d):
 
 @query("q9_unwrap", "SELECT doc_id, body FROM candidate", "candidate")
 def q9(d):
-    from catalog.fixtures import responses
     return responses(d.table("documents")).select("doc_id", RS.unwrap(F.col("raw")).alias("body"))
 
 
@@ -261,7 +261,7 @@ def q20(d):
 
 
 @query("q21_attach_fields", f"""SELECT doc_id, {Q.fill(C.LABEL_FORMAT, {
-    'display': _display, 'type': "CASE WHEN doc_id%2=0 THEN 'Narrative' ELSE 'Expository' END"})} AS label,
+    'display': DISPLAY, 'type': "CASE WHEN doc_id%2=0 THEN 'Narrative' ELSE 'Expository' END"})} AS label,
        level AS target_level, CASE WHEN doc_id%6=0 THEN 0 ELSE word_count END AS word_count,
        CASE WHEN doc_id%6=0 THEN {Q.INF} ELSE {Q.fx('distance', 3)} END AS distance_score,
        CASE WHEN doc_id%4=0 THEN 1 ELSE attempt END AS attempts FROM distances""", "distances")

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from catalog import sql as Q
+from catalog.fixtures import label_by_number
 from catalog.registry import query
 from catalog.text_queries import rounded
 from readgrade import fixed as C
@@ -45,14 +46,13 @@ def p2(d):
     return rounded(d.profiles, "mean", "std", "min", "max", digits=3)
 
 
-_asked = f"{Q.label_by_number('doc_id%10')}"
 _asked = f"CASE doc_id%12 WHEN 9 THEN 'A1' WHEN 10 THEN 'C1+' WHEN 11 THEN 'D7' ELSE {Q.label_by_number('doc_id%12')} END"
 _alias = Q.values("alias", ["requested_level", "level", "display"], C.LEVEL_ALIASES)
 
 
 def _requests(d):
+    """Nine labels, two group names and an unknown level."""
     number = F.col("doc_id") % 12
-    from catalog.fixtures import label_by_number
     asked = (F.when(number == 9, "A1").when(number == 10, "C1+").when(number == 11, "D7")
              .otherwise(label_by_number(number)))
     kind = F.when(F.col("doc_id") % 2 == 0, "narrative").otherwise("expository")
@@ -69,12 +69,11 @@ def p3(d):
                                          F.lit(False).alias("resolved"))))
 
 
-_display = Q.case("level", list({g: n for _, g, n in C.LEVEL_GROUPS}.items()), "=", None).replace("ELSE NULL", "ELSE level")
-_kind = "CASE WHEN doc_id%2=0 THEN 'narrative' ELSE 'expository' END"
+DISPLAY = Q.case("level", list({g: n for _, g, n in C.LEVEL_GROUPS}.items()), "=", None).replace("ELSE NULL", "ELSE level")
 
 
-@query("p4_labels", f"""SELECT doc_id, {_display} AS display, {Q.fill(C.LABEL_FORMAT, {
-    'display': _display, 'type': "CASE WHEN doc_id%2=0 THEN 'Narrative' ELSE 'Expository' END"})} AS label
+@query("p4_labels", f"""SELECT doc_id, {DISPLAY} AS display, {Q.fill(C.LABEL_FORMAT, {
+    'display': DISPLAY, 'type': "CASE WHEN doc_id%2=0 THEN 'Narrative' ELSE 'Expository' END"})} AS label
        FROM (SELECT doc_id, {_asked} AS requested_level FROM docs_en) JOIN ({_alias}) USING (requested_level)""", "docs_en")
 def p4(d):
     resolved, _ = P.resolve_levels(_requests(d), d.profiles)

@@ -1,7 +1,5 @@
 """From documents to metrics: the flow behind the feature table."""
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 
 from readgrade.operators import lexicon as L, metrics as M, tokens as T
