@@ -22,6 +22,7 @@ from readgrade.operators import training as TR
 TREES, DEEPEST, SEED = 300, 30, 42
 ITERATIONS = 2000
 PENALTY = 1.0
+ROWS_PER_TASK = 20_000
 REGRESSION_TREES = 100
 MOST_FOLDS = 5
 CALIBRATION_FOLDS = (2, 3)
@@ -68,9 +69,18 @@ def pipeline(kind: str, rows: int) -> Pipeline:
 
 # ---- fitting and choice ----------------------------------------------------------------
 
+def compact(train: DataFrame, rows: int) -> DataFrame:
+    """At most one partition per ROWS_PER_TASK rows: every iteration of a solver is a job over all partitions.
+
+    ``coalesce`` only merges, so a large table keeps the partitions it has.
+    """
+    return train.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
+
+
 def fit(train: DataFrame, kind: str = "forest") -> PipelineModel:
     ready = weighted(train).persist()
-    model = pipeline(kind, ready.count()).fit(ready)
+    rows = ready.count()
+    model = pipeline(kind, rows).fit(compact(ready, rows))
     ready.unpersist()
     return model
 
@@ -99,7 +109,7 @@ def choose(train: DataFrame) -> list[tuple[str, float]]:
     for kind in CANDIDATES:
         search = CrossValidator(estimator=pipeline(kind, rows), estimatorParamMaps=ParamGridBuilder().build(),
                                 evaluator=accuracy, numFolds=k, foldCol="fold", parallelism=2)
-        scores.append((kind, float(search.fit(folded).avgMetrics[0])))
+        scores.append((kind, float(search.fit(compact(folded, rows)).avgMetrics[0])))
     folded.unpersist()
     return sorted(scores, key=lambda s: -s[1])
 
