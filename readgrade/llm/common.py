@@ -108,3 +108,15 @@ def ship(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, os.path.dirname(top)))
     context.addPyFile(path)
     _shipped.add(context.applicationId)
+
+
+def sample_labelled(docs: DataFrame, labels: DataFrame, label: str, id: str, text: str, rows_per_class: int,
+                    max_bytes: int) -> tuple[DataFrame, dict[int, int]]:
+    """(id, text, label) of a bounded sample outside the held-out quarter, and how many labelled rows each class has there."""
+    known = labels.where(F.col(label).isin(0, 1) & F.col(id).isNotNull() & ~held_out(id)).select(
+        F.col(id).alias("i"), F.col(label).cast("int").alias("y")).distinct()
+    counts = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    parts = [known.where(F.col("y") == y).orderBy(F.xxhash64("i"), "i").limit(rows_per_class) for y in (0, 1)]
+    chosen = F.broadcast(parts[0].unionByName(parts[1]))  # 2 * rows_per_class rows
+    rows = docs.where(F.col(text).isNotNull() & (F.octet_length(text) <= max_bytes)).select(id, text)
+    return rows.join(chosen, F.col(id) == F.col("i")).select(id, text, F.col("y").alias(label)), counts

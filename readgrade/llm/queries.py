@@ -1,8 +1,10 @@
 """Registered queries of the operators and their SQL counterparts."""
 
-from readgrade.llm import exact_dedup, simhash
+from readgrade.llm import byte_cnn, exact_dedup, language_id, simhash
 
 QUERIES = {
+    "op3_language_profiles": language_id.op3_language_profiles,
+    "op4_quality_cnn": byte_cnn.op4_quality_cnn,
     "op7_simhash": simhash.op7_simhash,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
