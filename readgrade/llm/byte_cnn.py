@@ -89,27 +89,30 @@ def gradient(p: dict, texts: list[bytes], labels: np.ndarray) -> dict[str, np.nd
     return g
 
 
-def fit(texts: list[bytes], labels: np.ndarray, seed: int = 7, epochs: int = 12, batch: int = 32,
+def fit(texts: list[bytes], labels: np.ndarray, seed: int = 7, steps: int = 1000, batch: int = 32,
         rate: float = 4e-3) -> dict[str, np.ndarray]:
-    """Adam on the log loss; without both classes the network stays as it was drawn with a zero output."""
+    """Adam on the log loss of batches that hold both classes in equal parts; a single class gives a constant."""
     rng = np.random.default_rng(seed)
     p = initial(rng)
     labels = np.asarray(labels, np.float32)
-    if len(set(labels.tolist())) < 2:
-        return p | {"out": p["out"] * 0, "out_b": np.array([4.0 if labels.sum() else 0.0], np.float32)}
-    m, v, step = ({k: np.zeros_like(x) for k, x in p.items()} for _ in range(2)), None, 0
-    m, v = m
-    total = epochs * -(-len(texts) // batch)
-    for _ in range(epochs):
-        order = rng.permutation(len(texts))
-        for begin in range(0, len(order), batch):
-            part = order[begin:begin + batch]
-            step += 1
-            for k, g in gradient(p, [texts[i] for i in part], labels[part]).items():
-                m[k] = 0.9 * m[k] + 0.1 * g
-                v[k] = 0.999 * v[k] + 0.001 * g * g
-                slope = m[k] / (1 - 0.9 ** step) / (np.sqrt(v[k] / (1 - 0.999 ** step)) + 1e-8)
-                p[k] = (p[k] - rate * (1 - step / (total + 1)) * slope).astype(np.float32)
+    classes = [np.flatnonzero(labels == y) for y in (0, 1)]
+    if not all(map(len, classes)):
+        return p | {"out": p["out"] * 0}
+    m, v = ({k: np.zeros_like(x) for k, x in p.items()} for _ in range(2))
+    orders = [np.empty(0, np.int64)] * 2
+    for step in range(1, steps + 1):
+        part = []
+        for y, own in enumerate(classes):  # each class in random passes over all its texts
+            while len(orders[y]) < batch // 2:
+                orders[y] = np.concatenate((orders[y], rng.permutation(own)))
+            part.append(orders[y][:batch // 2])
+            orders[y] = orders[y][batch // 2:]
+        part = np.concatenate(part)
+        for k, g in gradient(p, [texts[i] for i in part], labels[part]).items():
+            m[k] = 0.9 * m[k] + 0.1 * g
+            v[k] = 0.999 * v[k] + 0.001 * g * g
+            slope = m[k] / (1 - 0.9 ** step) / (np.sqrt(v[k] / (1 - 0.999 ** step)) + 1e-8)
+            p[k] = (p[k] - rate * (1 - step / (steps + 1)) * slope).astype(np.float32)
     return p
 
 
@@ -139,8 +142,8 @@ def scorer(p: dict):
 
 
 def shifted(p: dict, ones: int, zeros: int) -> dict:
-    """The network, fitted on equally many rows of each class, for classes in their real proportion."""
-    return p | {"out_b": (p["out_b"] + np.log(max(ones, 1) / max(zeros, 1))).astype(np.float32)}
+    """The network, fitted on classes in equal parts, for classes in their real proportion (add-one)."""
+    return p | {"out_b": (p["out_b"] + np.log((ones + 1) / (zeros + 1))).astype(np.float32)}
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", id: str = "doc_id", text: str = "text",
