@@ -2,125 +2,197 @@
 
 Each class has its own bigram counts; they back off to the class's continuation counts of the word, these
 to continuation counts pooled over both classes, and those to a uniform share. So an expression that one class
-happens not to show costs it little. A text's two log-likelihoods are compared by token, and a
-logistic curve fitted on rows kept apart turns the difference into a probability.
+happens not to show costs it little. A text's two log-likelihoods are compared by word, over the whole text and over its
+most telling passage of a few words, as one word in a long text hardly moves the mean; a logistic
+curve fitted on rows kept apart turns both differences into a probability.
 
 Words are compared by a 64-bit hash: models are sorted arrays that every task can search.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from readgrade.llm.common import held_out, per_text, sample_labelled, ship, slices, stored, table
+from readgrade.llm.word_hashes import RARE, START, Table, pair, words
 
 #: The models are fitted on at most so many labelled rows of each class, of at most so many bytes each.
 ROWS_PER_CLASS, MAX_TRAIN_BYTES = 4000, 32 << 10
-WORD = re.compile(r"\w+")
-#: Hashes of the text start and of words outside the shared vocabulary.
-START, RARE = 1, 2
 DISCOUNT = 0.75
+#: Discounts of pair counts and of continuation counts to choose from.
+DISCOUNTS = [(pairs, words) for pairs in (10.0, 100.0, 1000.0) for words in (1.0, 3.0, 10.0)]
+#: Words of a passage that is compared on its own.
+WINDOW = 4
 #: One labelled row in so many is kept apart for the logistic curve.
 APART = 5
 
 
-def words(text: bytes | None) -> np.ndarray:
-    found = WORD.findall((text or b"").decode("utf-8", "replace").lower())
-    return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in found), np.uint64, len(found))
-
-
-def pair(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """One 64-bit code of two hashes in order."""
-    x = first * np.uint64(0x9E3779B97F4A7C15) + second
-    x ^= x >> np.uint64(29)
-    return x * np.uint64(0xBF58476D1CE4E5B9)
-
-
-def signed(x: np.ndarray) -> np.ndarray:
-    return x.view(np.int64)
-
-
-class Table:
-    """Sorted hashes with columns of numbers; what is not there gives zeros."""
-
-    def __init__(self, keys: np.ndarray, **columns: np.ndarray) -> None:
-        order = np.argsort(keys)
-        self.keys = keys[order]
-        self.columns = {k: np.append(v[order], 0).astype(np.float32) for k, v in columns.items()}
-
-    def at(self, keys: np.ndarray) -> np.ndarray:
-        if not len(self.keys):
-            return np.zeros(len(keys), np.int64)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, at, len(self.keys))
-
-    def __len__(self) -> int:
-        return len(self.keys)
-
-
 class Models:
-    """Both classes' models from counts of word pairs (first, second, n0, n1), hashes of the shared vocabulary only."""
+    """Both classes' models from counts of word pairs (first, second, n0, n1), hashes of the shared vocabulary only.
+
+    ``discounts``: taken from each pair count and from each continuation count of a class; what is taken goes to the
+    level below. They are large because a class is a small sample: a count that both
+    classes could have by chance should leave the shared level in charge.
+    """
 
-    def __init__(self, first: np.ndarray, second: np.ndarray, n: list[np.ndarray]) -> None:
+    def __init__(self, first: np.ndarray, second: np.ndarray, counts: list[np.ndarray], discounts: tuple[float, float]) -> None:
         heads, where = np.unique(first, return_inverse=True)
         kinds, which = np.unique(second, return_inverse=True)
-        context, backed, unigram = {}, {}, {}
         pooled = np.bincount(which, minlength=len(kinds)).astype(float)
-        total = max(pooled.sum(), 1.0)
-        shared = np.maximum(pooled - DISCOUNT, 0) / total
-        self.floor = max(1 - shared.sum(), 1e-9) / (len(kinds) + 1)
-        kept = (n[0] + n[1]) >= 2
-        gain = {}
-        for c in (0, 1):
-            of = np.bincount(where, n[c], len(heads))
-            share = np.where(kept, np.maximum(n[c] - DISCOUNT, 0) / np.maximum(of[where], 1), 0)
-            gain[f"p{c}"] = share[kept]
-            context[f"rest{c}"] = 1 - np.bincount(where, share, len(heads))
-            follows = np.bincount(which, n[c] > 0, len(kinds))
-            own = np.maximum(follows - DISCOUNT, 0) / max(follows.sum(), 1)
-            self.__dict__[f"lower{c}"] = (1 - own.sum()) if follows.sum() else 1.0
+        shared = np.maximum(pooled - DISCOUNT, 0) / max(pooled.sum(), 1)
+        shared += max(1 - shared.sum(), 1e-9) / (len(kinds) + 1)
+        self.unseen = max(1 - shared.sum(), 1e-9)
+        kept = (counts[0] > discounts[0]) | (counts[1] > discounts[0])
+        gain, taken, unigram = {}, {}, {"shared": shared}
+        self.left = []
+        for c, n in enumerate(counts):
+            share = np.maximum(n - discounts[0], 0) / np.maximum(np.bincount(where, n, len(heads)), 1)[where]
+            gain[f"p{c}"], taken[f"t{c}"] = share[kept], np.bincount(where, share, len(heads))
+            follows = np.bincount(which, n > 0, len(kinds))
+            own = np.maximum(follows - discounts[1], 0) / max(follows.sum(), 1)
             unigram[f"u{c}"] = own
+            self.left.append(1 - own.sum())
         self.pairs = Table(pair(first[kept], second[kept]), **gain)
-        # a context that was never seen leaves everything to the backoff: 0 stands for 1 - rest
-        self.heads = Table(heads, **{k: 1 - v for k, v in context.items()})
-        self.kinds = Table(kinds, shared=shared, **unigram)
+        self.heads = Table(heads, **taken)
+        self.kinds = Table(kinds, **unigram)
 
     def differences(self, texts: list[np.ndarray]) -> np.ndarray:
-        """Mean of log P(toxic) - log P(ordinary) over the words of each text; 0 without words."""
-        lengths = np.array([len(t) for t in texts])
-        if not lengths.sum():
-            return np.zeros(len(texts))
-        second = np.concatenate(texts)
-        at = self.kinds.at(second)
-        second = np.where(at == len(self.kinds), np.uint64(RARE), second)
+        """(texts, 2): log P(toxic) - log P(ordinary) by word, as the mean over the text and as the largest
+        mean over WINDOW words in a row (the text ends in words without a difference); zeros without words."""
+        out = np.zeros((len(texts), 2))
+        lengths = np.array([len(t) for t in texts], np.int64)
+        full = np.flatnonzero(lengths)
+        if not len(full) or not len(self.kinds):
+            return out
+        second = np.concatenate([texts[i] for i in full])
+        lengths = lengths[full]
+        starts = np.cumsum(lengths) - lengths
         at = self.kinds.at(second)
+        rare = at == len(self.kinds)
+        second[rare], at[rare] = RARE, self.kinds.at(np.array([RARE], np.uint64))[0]
         first = np.concatenate((np.array([START], np.uint64), second[:-1]))
-        starts = np.cumsum(lengths) - lengths
-        first[starts[lengths > 0]] = START
+        first[starts] = START
         head, both = self.heads.at(first), self.pairs.at(pair(first, second))
-        base = self.kinds.columns["shared"][at].astype(float) + self.floor
+        base = self.kinds.columns["shared"][at]
+        base = np.where(base > 0, base, self.unseen)
         log = []
         for c in (0, 1):
-            lower = self.kinds.columns[f"u{c}"][at] + self.__dict__[f"lower{c}"] * base
-            log.append(np.log(self.pairs.columns[f"p{c}"][both] + (1 - self.heads.columns[f"rest{c}"][head]) * lower + 1e-30))
-        sums = np.concatenate(([0.0], np.cumsum(log[1] - log[0])))
-        return (sums[starts + lengths] - sums[starts]) / np.maximum(lengths, 1)
-
-
-def logistic(x: np.ndarray, y: np.ndarray, steps: int = 50) -> tuple[float, float]:
-    """Slope and intercept by Newton steps with a little shrinkage."""
+            lower = self.kinds.columns[f"u{c}"][at] + self.left[c] * base
+            log.append(np.log(self.pairs.columns[f"p{c}"][both] + (1 - self.heads.columns[f"t{c}"][head]) * lower + 1e-30))
+        delta = log[1] - log[0]
+        out[full, 0] = np.add.reduceat(delta, starts) / lengths
+        spread = np.zeros(len(delta) + WINDOW * len(full))
+        spread[np.arange(len(delta)) + np.repeat(WINDOW * np.arange(len(full)), lengths)] = delta
+        total = np.concatenate(([0.0], np.cumsum(spread)))
+        means = (total[WINDOW:] - total[:-WINDOW]) / WINDOW
+        out[full, 1] = np.maximum.reduceat(means, starts + WINDOW * np.arange(len(full)))
+        return out
+
+
+def logistic(x: np.ndarray, y: np.ndarray, steps: int = 40) -> tuple[np.ndarray, float]:
+    """(weights with the intercept last, log loss): Newton steps with a little shrinkage."""
+    X, w = np.concatenate((x, np.ones((len(x), 1))), axis=1), np.zeros(x.shape[1] + 1)
     if not len(x) or y.min() == y.max():
-        return 0.0, 0.0
-    scale = max(float(np.std(x)), 1e-9)
-    X, w = np.stack((x / scale, np.ones(len(x))), axis=1), np.zeros(2)
+        return w, np.inf
+    scale = np.append(np.maximum(np.std(x, axis=0), 1e-9), 1)
+    X = X / scale
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(X @ w, -30, 30)))
-        hess = (X * (p * (1 - p))[:, None]).T @ X + 1e-2 * np.eye(2)
-        w = w + np.linalg.solve(hess, X.T @ (y - p) - 1e-2 * w)
-    return float(w[0] / scale), float(w[1])
+        w = w + np.linalg.solve((X * (p * (1 - p))[:, None]).T @ X + 1e-1 * np.eye(len(w)), X.T @ (y - p) - 1e-1 * w)
+    p = np.clip(1 / (1 + np.exp(-np.clip(X @ w, -30, 30))), 1e-9, 1 - 1e-9)
+    return w / scale, float(-np.mean(y * np.log(p) + (1 - y) * np.log(1 - p)))
+
+
+class Classifier:
+    def __init__(self, models: Models, weights: np.ndarray) -> None:
+        self.models, self.weights = models, weights
+
+    def score(self, texts: list[bytes | None]) -> np.ndarray:
+        x = self.models.differences([words(t) for t in texts])
+        return 1 / (1 + np.exp(-np.clip(x @ self.weights[:-1] + self.weights[-1], -700, 700)))
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
+    for batch in batches:
+        column = batch.column(0).cast(pa.large_binary())
+        for begin, end in slices(column):
+            yield column.slice(begin, end - begin).to_pylist(), batch.column(1).slice(begin, end - begin).to_pylist()
+
+
+def count_words(rows: DataFrame) -> DataFrame:
+    """(w, n) of the word hashes in (text, y)."""
+    def run(batches):
+        for texts, _ in _texts(batches):
+            w, n = np.unique(np.concatenate([np.empty(0, np.uint64), *map(words, texts)]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(n)], names=["w", "n"])
+    return rows.mapInArrow(run, "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
+
+
+def count_pairs(rows: DataFrame, vocabulary: np.ndarray) -> DataFrame:
+    """(first, second, n0, n1) of the word pairs in (text, y) with rare words set to one."""
+    def run(batches):
+        known = Table(vocabulary)
+        for texts, labels in _texts(batches):
+            frames = []
+            for t, y in zip(texts, labels, strict=True):
+                w = words(t)
+                w[known.at(w) == len(known)] = RARE
+                frames.append((np.concatenate((np.array([START], np.uint64), w[:-1]))[:len(w)], w, np.full(len(w), y)))
+            first, second, y = (np.concatenate(x) for x in zip(*frames, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(first.view(np.int64)), pa.array(second.view(np.int64)), pa.array(y)],
+                                             names=["first", "second", "y"])
+    pairs = rows.mapInArrow(run, "first long, second long, y long").groupBy("first", "second")
+    return pairs.agg(F.sum(1 - F.col("y")).alias("n0"), F.sum("y").alias("n1"))
+
+
+def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id: str = "doc_id", text: str = "text",
+          rows_per_class: int = ROWS_PER_CLASS, max_bytes: int = MAX_TRAIN_BYTES) -> Classifier:
+    """Fit on a bounded sample of the labelled rows outside the held-out quarter.
+
+    At most ``rows_per_class`` rows of each class in the order of a hash of their id, of which those of at most ``max_bytes``
+    are used, whole; equal texts of a class count once. Word pairs are counted in tasks; the driver holds their
+    counts, which the sample bounds. One row in APART serves only to choose the discounts and to fit the
+    curve. Without rows of both classes every text gets the score 0.5.
+    """
+    ship(docs.sparkSession)
+    sample, counts = sample_labelled(docs, labels, label, id, text, rows_per_class, max_bytes)
+    rows = stored(sample.select(F.col(text).cast("string").alias("text"), F.col(label).cast("long").alias("y")).distinct()
+                  .withColumn("apart", F.pmod(F.xxhash64("text"), F.lit(APART)) == 0), "toxicity-sample")
+    fitted = rows.where(~F.col("apart")).select("text", "y")
+    vocabulary = count_words(fitted).where("n > 1").select("w").toPandas()["w"].to_numpy(np.int64).view(np.uint64)
+    pairs = count_pairs(fitted, np.append(vocabulary, np.array([RARE], np.uint64))).toPandas()
+    first, second = (pairs[c].to_numpy(np.int64).view(np.uint64) for c in ("first", "second"))
+    n = [pairs[c].to_numpy(np.float64) for c in ("n0", "n1")]
+    apart = rows.where("apart").select("text", "y").orderBy("text", "y").toPandas()
+    known, y = [words(t.encode()) for t in apart["text"]], apart["y"].to_numpy(np.float64)
+    best = None
+    for discounts in DISCOUNTS:
+        models = Models(first, second, n, discounts)
+        weights, loss = logistic(models.differences([w.copy() for w in known]), y)
+        if best is None or loss < best[0]:
+            best = loss, models, weights
+    _, models, weights = best
+    if len(y) and y.min() < y.max():  # from the shares in the sample to the real ones
+        real = np.log((counts.get(1, 0) + 1) / (counts.get(0, 0) + 1))
+        weights = np.append(weights[:-1], weights[-1] + real - np.log(y.sum() / (len(y) - y.sum())))
+    return Classifier(models, weights)
+
+
+def score_toxicity(docs: DataFrame, classifier: Classifier, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, score), one row per document: the probability of label 1 from the whole text.
+
+    Null texts count as empty; texts without a word have the score of no difference. Other columns are not looked at.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(classifier)  # as large as the bounded sample lets it be
+    return per_text(docs, id, text, "score double", lambda: lambda texts: [shared.value.score(texts)])
+
+
+def op6_toxicity_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = score_toxicity(docs, train(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out().alias("held_out"), "score",
+                         F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))

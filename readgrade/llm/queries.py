@@ -1,10 +1,12 @@
 """Registered queries of the operators and their SQL counterparts."""
 
-from readgrade.llm import byte_cnn, exact_dedup, language_id, simhash
+from readgrade.llm import byte_cnn, exact_dedup, kn_toxicity, language_id, lm_scoring, simhash
 
 QUERIES = {
+    "op1_lm_scoring": lm_scoring.op1_lm_scoring,
     "op3_language_profiles": language_id.op3_language_profiles,
     "op4_quality_cnn": byte_cnn.op4_quality_cnn,
+    "op6_toxicity_kneser_ney": kn_toxicity.op6_toxicity_kneser_ney,
     "op7_simhash": simhash.op7_simhash,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
