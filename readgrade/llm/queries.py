@@ -1,9 +1,10 @@
 """Registered queries of the operators and their SQL counterparts."""
 
-from readgrade.llm import byte_cnn, exact_dedup, kn_toxicity, language_id, lm_scoring, simhash
+from readgrade.llm import byte_cnn, exact_dedup, kn_toxicity, language_id, lm_scoring, simhash, token_counts
 
 QUERIES = {
     "op1_lm_scoring": lm_scoring.op1_lm_scoring,
+    "op2_token_counts": token_counts.op2_token_counts,
     "op3_language_profiles": language_id.op3_language_profiles,
     "op4_quality_cnn": byte_cnn.op4_quality_cnn,
     "op6_toxicity_kneser_ney": kn_toxicity.op6_toxicity_kneser_ney,
