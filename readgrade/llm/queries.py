@@ -1,14 +1,17 @@
 """Registered queries of the operators and their SQL counterparts."""
 
-from readgrade.llm import byte_cnn, exact_dedup, kn_toxicity, language_id, lm_scoring, simhash, token_counts
+from readgrade.llm import byte_cnn, exact_dedup, kn_toxicity, language_id, line_dedup, lm_scoring, mixing, simhash, token_counts
 
 QUERIES = {
     "op1_lm_scoring": lm_scoring.op1_lm_scoring,
     "op2_token_counts": token_counts.op2_token_counts,
     "op3_language_profiles": language_id.op3_language_profiles,
     "op4_quality_cnn": byte_cnn.op4_quality_cnn,
+    "op5_temperature_mixing": mixing.op5_temperature_mixing,
     "op6_toxicity_kneser_ney": kn_toxicity.op6_toxicity_kneser_ney,
     "op7_simhash": simhash.op7_simhash,
+    "op8_site_lines": line_dedup.op8_site_lines,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
-ORACLES = {"op10_exact_dedup": exact_dedup.OP10_SQL}
+ORACLES = {"op5_temperature_mixing": mixing.OP5_SQL, "op8_site_lines": line_dedup.OP8_SQL,
+           "op10_exact_dedup": exact_dedup.OP10_SQL}
