@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from readgrade.llm.common import held_out, per_text, sample_labelled, ship, slices, stored, table
-from readgrade.llm.word_hashes import RARE, START, Table, pair, words
+from readgrade.llm.word_hashes import RARE, START, Table, hash_words, pair, split_words
 
 #: The models are fitted on at most so many labelled rows of each class, of at most so many bytes each.
 ROWS_PER_CLASS, MAX_TRAIN_BYTES = 4000, 32 << 10
@@ -32,33 +32,33 @@ APART = 5
 
 
 class Models:
-    """Both classes' models from counts of word pairs (first, second, n0, n1), hashes of the shared vocabulary only.
+    """Both classes' models from counts of word pairs, with the words of the shared vocabulary only.
 
-    ``discounts``: taken from each pair count and from each continuation count of a class; what is taken goes to the
-    level below. They are large because a class is a small sample: a count that both
-    classes could have by chance should leave the shared level in charge.
+    ``pairs`` (first, second, n0, n1) holds the pairs that a class has more often than the smallest discount, ``heads``
+    (first, n0, n1) all occurrences by first word, ``kinds`` (second, f0, f1, f) by second word how many
+    different words stand before it in each class and in both together. ``discounts``: taken from each pair count and from each continuation
+    count of a class; what is taken goes to the level below. They are large because a class is a small sample: a count
+    that both classes could have by chance should leave the shared level in charge.
     """
 
-    def __init__(self, first: np.ndarray, second: np.ndarray, counts: list[np.ndarray], discounts: tuple[float, float]) -> None:
-        heads, where = np.unique(first, return_inverse=True)
-        kinds, which = np.unique(second, return_inverse=True)
-        pooled = np.bincount(which, minlength=len(kinds)).astype(float)
+    def __init__(self, pairs: dict, heads: dict, kinds: dict, discounts: tuple[float, float]) -> None:
+        pooled = kinds["f"]
         shared = np.maximum(pooled - DISCOUNT, 0) / max(pooled.sum(), 1)
-        shared += max(1 - shared.sum(), 1e-9) / (len(kinds) + 1)
+        shared += max(1 - shared.sum(), 1e-9) / (len(shared) + 1)
         self.unseen = max(1 - shared.sum(), 1e-9)
-        kept = (counts[0] > discounts[0]) | (counts[1] > discounts[0])
+        order = np.argsort(heads["first"])
+        where = order[np.searchsorted(heads["first"], pairs["first"], sorter=order)] if len(order) else np.empty(0, np.int64)
         gain, taken, unigram = {}, {}, {"shared": shared}
         self.left = []
-        for c, n in enumerate(counts):
-            share = np.maximum(n - discounts[0], 0) / np.maximum(np.bincount(where, n, len(heads)), 1)[where]
-            gain[f"p{c}"], taken[f"t{c}"] = share[kept], np.bincount(where, share, len(heads))
-            follows = np.bincount(which, n > 0, len(kinds))
-            own = np.maximum(follows - discounts[1], 0) / max(follows.sum(), 1)
+        for c in (0, 1):
+            share = np.maximum(pairs[f"n{c}"] - discounts[0], 0) / np.maximum(heads[f"n{c}"][where], 1)
+            gain[f"p{c}"], taken[f"t{c}"] = share, np.bincount(where, share, len(order))
+            own = np.maximum(kinds[f"f{c}"] - discounts[1], 0) / max(kinds[f"f{c}"].sum(), 1)
             unigram[f"u{c}"] = own
             self.left.append(1 - own.sum())
-        self.pairs = Table(pair(first[kept], second[kept]), **gain)
-        self.heads = Table(heads, **taken)
-        self.kinds = Table(kinds, **unigram)
+        self.pairs = Table(pair(pairs["first"], pairs["second"]), **gain)
+        self.heads = Table(heads["first"], **taken)
+        self.kinds = Table(kinds["second"], **unigram)
 
     def differences(self, texts: list[np.ndarray]) -> np.ndarray:
         """(texts, 2): log P(toxic) - log P(ordinary) by word, as the mean over the text and as the largest
@@ -112,7 +112,7 @@ class Classifier:
         self.models, self.weights = models, weights
 
     def score(self, texts: list[bytes | None]) -> np.ndarray:
-        x = self.models.differences([words(t) for t in texts])
+        x = self.models.differences(split_words(texts))
         return 1 / (1 + np.exp(-np.clip(x @ self.weights[:-1] + self.weights[-1], -700, 700)))
 
 
@@ -127,7 +127,7 @@ def count_words(rows: DataFrame) -> DataFrame:
     """(w, n) of the word hashes in (text, y)."""
     def run(batches):
         for texts, _ in _texts(batches):
-            w, n = np.unique(np.concatenate([np.empty(0, np.uint64), *map(words, texts)]), return_counts=True)
+            w, n = np.unique(hash_words(texts)[0], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(n)], names=["w", "n"])
     return rows.mapInArrow(run, "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
 
@@ -138,8 +138,7 @@ def count_pairs(rows: DataFrame, vocabulary: np.ndarray) -> DataFrame:
         known = Table(vocabulary)
         for texts, labels in _texts(batches):
             frames = []
-            for t, y in zip(texts, labels, strict=True):
-                w = words(t)
+            for w, y in zip(split_words(texts), labels, strict=True):
                 w[known.at(w) == len(known)] = RARE
                 frames.append((np.concatenate((np.array([START], np.uint64), w[:-1]))[:len(w)], w, np.full(len(w), y)))
             first, second, y = (np.concatenate(x) for x in zip(*frames, strict=True))
@@ -149,13 +148,19 @@ def count_pairs(rows: DataFrame, vocabulary: np.ndarray) -> DataFrame:
     return pairs.agg(F.sum(1 - F.col("y")).alias("n0"), F.sum("y").alias("n1"))
 
 
+def _arrays(table: DataFrame) -> dict[str, np.ndarray]:
+    """Columns of a bounded table: hashes unsigned, counts as doubles."""
+    rows = table.toPandas()
+    return {c: rows[c].to_numpy(np.int64).view(np.uint64) if c in ("first", "second") else rows[c].to_numpy(np.float64) for c in rows}
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id: str = "doc_id", text: str = "text",
           rows_per_class: int = ROWS_PER_CLASS, max_bytes: int = MAX_TRAIN_BYTES) -> Classifier:
     """Fit on a bounded sample of the labelled rows outside the held-out quarter.
 
     At most ``rows_per_class`` rows of each class in the order of a hash of their id, of which those of at most ``max_bytes``
-    are used, whole; equal texts of a class count once. Word pairs are counted in tasks; the driver holds their
-    counts, which the sample bounds. One row in APART serves only to choose the discounts and to fit the
+    are used, whole; equal texts of a class count once. Word pairs are counted in tasks; the driver holds sums
+    over them and the frequent ones, which the sample bounds. One row in APART serves only to choose the discounts and to fit the
     curve. Without rows of both classes every text gets the score 0.5.
     """
     ship(docs.sparkSession)
@@ -164,14 +169,17 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id: str = "d
                   .withColumn("apart", F.pmod(F.xxhash64("text"), F.lit(APART)) == 0), "toxicity-sample")
     fitted = rows.where(~F.col("apart")).select("text", "y")
     vocabulary = count_words(fitted).where("n > 1").select("w").toPandas()["w"].to_numpy(np.int64).view(np.uint64)
-    pairs = count_pairs(fitted, np.append(vocabulary, np.array([RARE], np.uint64))).toPandas()
-    first, second = (pairs[c].to_numpy(np.int64).view(np.uint64) for c in ("first", "second"))
-    n = [pairs[c].to_numpy(np.float64) for c in ("n0", "n1")]
+    counted = stored(count_pairs(fitted, np.append(vocabulary, np.array([RARE], np.uint64))), "toxicity-pairs")
+    least = min(pairs for pairs, _ in DISCOUNTS)
+    pairs = _arrays(counted.where(F.greatest("n0", "n1") > least))
+    heads = _arrays(counted.groupBy("first").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
+    kinds = _arrays(counted.groupBy("second").agg(F.count_if(F.col("n0") > 0).alias("f0"), F.count_if(F.col("n1") > 0).alias("f1"),
+                                                  F.count("*").alias("f")))
     apart = rows.where("apart").select("text", "y").orderBy("text", "y").toPandas()
-    known, y = [words(t.encode()) for t in apart["text"]], apart["y"].to_numpy(np.float64)
+    known, y = split_words([t.encode() for t in apart["text"]]), apart["y"].to_numpy(np.float64)
     best = None
     for discounts in DISCOUNTS:
-        models = Models(first, second, n, discounts)
+        models = Models(pairs, heads, kinds, discounts)
         weights, loss = logistic(models.differences([w.copy() for w in known]), y)
         if best is None or loss < best[0]:
             best = loss, models, weights
