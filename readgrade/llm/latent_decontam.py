@@ -20,14 +20,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from readgrade.llm.common import ship, slices, stored, table
-from readgrade.llm.word_hashes import words
+from readgrade.llm.word_hashes import hash_words, split_words, words
 
 #: Words of a block; two neighbouring blocks are a window.
 BLOCK = 12
 #: Latent directions, and random ones beyond them.
-RANK, MORE, SEED = 64, 16, 11
+RANK, MORE, SEED = 32, 8, 11
 #: Least cosine of a candidate.
-COSINE = 0.45
+COSINE = 0.55
 #: Shares of the item that must be in the document in order: alone, and together with the answer words.
 VERBATIM, PARAPHRASE, ANSWER = 0.8, 0.5, 0.5
 #: Items that are held against all documents in one go; more are taken in parts.
@@ -39,7 +39,7 @@ class Benchmark:
     """Items as places in their own vocabulary (1 and up), the windows they are searched by, and their answer words."""
 
     def __init__(self, ids: list, texts: list[str], answers: list[str | None]) -> None:
-        hashed = [words((t or "").encode()) for t in texts]
+        hashed = split_words([(t or "").encode() for t in texts])
         self.vocabulary = np.unique(np.concatenate([np.empty(0, np.uint64), *hashed]))
         kept = [k for k, w in enumerate(hashed) if len(w)]
         self.ids = [ids[k] for k in kept]
@@ -61,17 +61,21 @@ class Benchmark:
         return np.uint16 if self.size <= 1 << 16 else np.uint32
 
 
-def passage_starts(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Number of passages of each text, and the passage of each word of all texts one after another."""
+def passages(lengths: np.ndarray, places: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Passages of each text, and the places of all of them as rows, short ones filled up with 0."""
     parts = -(-lengths // size)
     base, begin = np.cumsum(parts) - parts, np.cumsum(lengths) - lengths
-    return parts, np.repeat(base, lengths) + (np.arange(lengths.sum()) - np.repeat(begin, lengths)) // size
+    rows = np.zeros(int(parts.sum()) * size, places.dtype)
+    rows[np.arange(len(places)) + np.repeat(base * size - begin, lengths)] = places
+    return parts, rows.reshape(-1, size)
 
 
-def sums_by(passage: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Passages that occur in the sorted ``passage``, and the sums of their rows."""
-    first = np.flatnonzero(np.concatenate(([True], passage[1:] != passage[:-1])))
-    return passage[first], np.add.reduceat(rows, first)
+def row_sums(rows: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """The sum of the points of each row's places; place 0 must have the zero point."""
+    out = points.take(rows[:, 0], axis=0)
+    for k in range(1, rows.shape[1]):
+        out += points.take(rows[:, k], axis=0)
+    return out
 
 
 def encode(docs: DataFrame, id: str, text: str, bench: Benchmark) -> DataFrame:
@@ -83,16 +87,16 @@ def encode(docs: DataFrame, id: str, text: str, bench: Benchmark) -> DataFrame:
         for batch in batches:
             column, last = batch.column(1).cast(pa.large_binary()), batch.column(0)
             for begin, end in slices(column):
-                found = [words(t) for t in column.slice(begin, end - begin).to_pylist()]
-                lengths = np.array([len(w) for w in found], np.int64)
-                places = b.places(np.concatenate(found))
-                _, passage = passage_starts(lengths, 2 * BLOCK)
-                hit = places > 0
-                df += np.bincount(np.unique(passage[hit] * b.size + places[hit]) % b.size, minlength=b.size)
-                df[0] += int((-(-lengths // (2 * BLOCK))).sum())  # at 0: all passages
+                hashes, lengths = hash_words(column.slice(begin, end - begin).to_pylist())
+                places = b.places(hashes).astype(b.kind)
+                rows = np.sort(passages(lengths, places, 2 * BLOCK)[1], axis=1)
+                new = np.ones(rows.shape, bool)
+                new[:, 1:] = rows[:, 1:] != rows[:, :-1]
+                df += np.bincount(rows[new], minlength=b.size)
+                df[0] += len(rows) - np.count_nonzero(rows[:, :1] == 0)  # at 0: all passages
                 cut = np.cumsum(lengths)[:-1]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(begin, end - begin), pa.array([x.tobytes() for x in np.split(places.astype(b.kind), cut)], pa.binary()),
+                    [batch.column(0).slice(begin, end - begin), pa.array([x.tobytes() for x in np.split(places, cut)], pa.binary()),
                      pa.nulls(end - begin, pa.binary())], names=[id, "places", "df"])
         if last is not None:
             yield pa.RecordBatch.from_arrays([pa.nulls(1, last.type), pa.nulls(1, pa.binary()), pa.array([df.tobytes()], pa.binary())],
@@ -145,16 +149,14 @@ def projected(coded: DataFrame, weights: np.ndarray, kind, width: int) -> np.nda
         draw = (np.random.default_rng(SEED).standard_normal((size, width)) * weights[:, None]).astype(np.float32)
         total = np.zeros((size, width))
         for _, lengths, places in _texts(batches, kind):
-            _, passage = passage_starts(lengths, 2 * BLOCK)
-            hit = np.flatnonzero(places)
-            if not len(hit):
+            rows = passages(lengths, places, 2 * BLOCK)[1]
+            if not len(rows):
                 continue
-            own, passage = places[hit], passage[hit]
-            _, y = sums_by(passage, draw[own])
-            row = np.cumsum(np.concatenate(([0], passage[1:] != passage[:-1])))
-            order = np.argsort(own, kind="stable")
-            at, sums = sums_by(own[order], y[row[order]])
-            total[at] += sums
+            y = np.ascontiguousarray(row_sums(rows, draw).T)
+            passage, column = np.nonzero(rows)
+            own = rows[passage, column]
+            for k in range(width):
+                total[:, k] += np.bincount(own, y[k, passage], size)
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["total"])
 
     return added(coded.select("id", "places").mapInArrow(run, "total binary"), size * width).reshape(size, width)
@@ -176,14 +178,10 @@ def latent(coded: DataFrame, weights: np.ndarray, kind, rank: int = RANK) -> np.
     return (weights[:, None] * u[:, keep] / np.maximum(s[keep], 1e-12) * s[keep].max()).astype(np.float32)
 
 
-def windows(lengths: np.ndarray, places: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, first block, unit point) of every window with words of the vocabulary."""
-    blocks, block = passage_starts(lengths, BLOCK)
-    hit = np.flatnonzero(places)
-    sums = np.zeros((int(blocks.sum()) + 1, points.shape[1]), np.float32)
-    if len(hit):
-        at, found = sums_by(block[hit], points[places[hit]])
-        sums[at] = found
+def windows(lengths: np.ndarray, places: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, first block, unit point) of every window with words of the vocabulary, and the blocks of each text."""
+    blocks, rows = passages(lengths, places, BLOCK)
+    sums = row_sums(rows, points)
     count = np.where(blocks > 0, np.maximum(blocks - 1, 1), 0)
     text = np.repeat(np.arange(len(lengths)), count)
     first = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
@@ -192,8 +190,45 @@ def windows(lengths: np.ndarray, places: np.ndarray, points: np.ndarray) -> tupl
     two = first + 1 < blocks[text]
     z[two] += sums[at[two] + 1]
     norm = np.sqrt(np.einsum("ij,ij->i", z, z))
-    full = norm > 0
-    return text[full], first[full], z[full] / norm[full, None]
+    full = norm > 1e-12
+    return text[full], first[full], z[full] / norm[full, None], blocks
+
+
+class Marks:
+    """Which answer words may be near a window, as 64 bits: a test that never turns a match away.
+
+    Each place that is an answer word of any item has one of 64 bits. What a match must have of the item's bits
+    follows from what :class:`Checker` asks for: at least ANSWER of the answer words, or VERBATIM of all words.
+    """
+
+    def __init__(self, checkers: list[Checker], size: int) -> None:
+        self.bit = np.zeros(size, np.uint64)
+        marked = np.array(sorted(set().union(*(c.answer for c in checkers))), np.int64)
+        self.bit[marked] = np.uint64(1) << (np.arange(len(marked)) % 64).astype(np.uint64)
+        self.bit[0] = 0
+        self.items = np.zeros(len(checkers), np.uint64)
+        self.least = np.zeros(len(checkers), np.int64)
+        for k, c in enumerate(checkers):
+            if c.answer:
+                self.items[k] = np.bitwise_or.reduce(self.bit[sorted(c.answer)])
+            kinds = len(c.masks)
+            # so many answer words can be missing: by the answer rule, or if all words that may be missing are answer words
+            missing = max(len(c.answer) - int(np.ceil(ANSWER * len(c.answer))), c.length - int(np.ceil(VERBATIM * c.length)))
+            self.least[k] = max(0, int(self.items[k]).bit_count() - missing) if kinds else 0
+
+    def blocks(self, lengths: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        blocks, rows = passages(lengths, places, BLOCK)
+        return np.bitwise_or.reduce(self.bit[rows], axis=1) if len(rows) else np.empty(0, np.uint64), np.cumsum(blocks) - blocks
+
+    @staticmethod
+    def around(marks: np.ndarray, reach: int) -> np.ndarray:
+        """Marks of each block with ``reach`` blocks before and ``reach + 1`` behind, other texts' too: more can only let more pass."""
+        out = marks.copy()
+        for k in range(1, reach + 2):
+            out[:-k or None] |= marks[k:]
+            if k <= reach:
+                out[k:] |= marks[:-k]
+        return out
 
 
 class Checker:
@@ -228,23 +263,29 @@ def search(coded: DataFrame, id_type: str, bench: Benchmark, weights: np.ndarray
     def run(batches):
         items, answers, weights, points = shared.value
         lengths = np.array([len(x) for x in items], np.int64)
-        of, _, queries = windows(lengths, np.concatenate(items), points)
-        checkers: dict = {}
+        of, _, queries, _ = windows(lengths, np.concatenate(items), points)
+        checkers = [Checker(i, a, weights) for i, a in zip(items, answers, strict=True)]
+        marks, reach = Marks(checkers, len(weights)), -(-(lengths + BLOCK // 2) // BLOCK)
         for ids, sizes, places in _texts(batches, kind):
-            text, first, z = windows(sizes, places, points)
+            text, first, z, _ = windows(sizes, places, points)
             begin = np.cumsum(sizes) - sizes
+            near, base = marks.blocks(sizes, places)
+            around = {int(k): marks.around(near, int(k)) for k in np.unique(reach)}
             best: dict = {}
             for part in range(0, len(z), WINDOWS_AT_ONCE):
-                near = z[part:part + WINDOWS_AT_ONCE] @ queries.T
-                row, query = np.divmod(np.flatnonzero(near >= cosine), near.shape[1])
+                like = z[part:part + WINDOWS_AT_ONCE] @ queries.T
+                row, query = np.divmod(np.flatnonzero(like >= cosine), like.shape[1])
+                k, block = of[query], base[text[row + part]] + first[row + part]
+                seen = np.empty(len(k), np.uint64)
+                for size, own in around.items():
+                    here = reach[k] == size
+                    seen[here] = own[block[here]]
+                able = np.bitwise_count(seen & marks.items[k]) >= marks.least[k]
                 pairs: dict = {}
-                for r, k, c in zip((row + part).tolist(), of[query].tolist(), near[row, query].tolist(), strict=True):
+                for r, k, c in zip((row[able] + part).tolist(), k[able].tolist(), like[row[able], query[able]].tolist(), strict=True):
                     pairs[r, k] = max(c, pairs.get((r, k), 0.0))
                 for (r, k), c in pairs.items():
-                    t, n = int(text[r]), int(lengths[k])
-                    own = checkers.get(k)
-                    if own is None:
-                        own = checkers[k] = Checker(items[k], answers[k], weights)
+                    t, n, own = int(text[r]), int(lengths[k]), checkers[k]
                     middle = (int(first[r]) + 1) * BLOCK
                     low, high = max(0, middle - n - BLOCK // 2), min(int(sizes[t]), middle + n + BLOCK // 2)
                     lcs, answer = own.check(places[begin[t] + low:begin[t] + high].tolist())
@@ -293,7 +334,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text:
             texts = coded.where("df is null and octet_length(places) > 0").select("id", "places")
             points = latent(texts, weights, bench.kind, rank)
             if not points.shape[1]:
-                points = np.eye(bench.size, dtype=np.float32)[:, :1]
+                points = np.eye(bench.size, dtype=np.float32)[:, :1]  # no passage has a word: nothing is found
             names = spark.createDataFrame(list(enumerate(bench.ids)), f"item long, name {kind}")
             one = search(texts, id_type, bench, weights, points, cosine).join(F.broadcast(names), "item").select(
                 F.col("id").alias(id), F.col("name").alias(item_id), "cosine", "lcs", "answer_share", "word")
