@@ -18,11 +18,11 @@ BROADCAST_LINES = 500_000
 
 BLOCK_TAGS = ("(?i)</?(address|article|aside|blockquote|body|br|dd|div|dl|dt|figure|footer|form|h1|h2|h3|h4|h5|h6|head|header|hr|html"
               "|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul)( [^>]*)?/?>")
-#: Replaced in this order.
-MARKUP = [("(?is)<script[^>]*>.*?</script>", ""), ("(?is)<style[^>]*>.*?</style>", ""), ("(?s)<!--.*?-->", ""),
-          (BLOCK_TAGS, "\n"), ("<[^>]*>", ""), ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")]
+#: Patterns, replaced in this order, then entities.
+MARKUP = [("(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->", ""), (BLOCK_TAGS, "\n"), ("<[^>]*>", "")]
+ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")]
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
-EDGE = r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$"
+SPACES = " \t\n\v\f\r"
 
 
 def page_text(html: Column) -> Column:
@@ -30,6 +30,8 @@ def page_text(html: Column) -> Column:
     text = F.coalesce(html.cast("string"), F.lit(""))
     for pattern, to in MARKUP:
         text = F.regexp_replace(text, F.lit(pattern), F.lit(to))
+    for entity, to in ENTITIES:
+        text = F.replace(text, F.lit(entity), F.lit(to))
     return text
 
 
@@ -38,7 +40,7 @@ def host(url: Column) -> Column:
 
 
 def lines(text: Column) -> Column:
-    trimmed = F.transform(F.split(text, "\n"), lambda x: F.regexp_replace(x, EDGE, ""))
+    trimmed = F.transform(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(SPACES)))
     return F.filter(trimmed, lambda x: x != "")
 
 
@@ -84,6 +86,8 @@ def _sql_text() -> str:
     text = "coalesce(html, '')"
     for pattern, to in MARKUP:
         text = f"regexp_replace({text}, '{pattern}', {'chr(10)' if to == chr(10) else repr(to)}, 'g')"
+    for entity, to in ENTITIES:
+        text = f"replace({text}, '{entity}', '{to}')"
     return text
 
 
@@ -91,7 +95,7 @@ OP8_SQL = rf"""
 WITH p AS (
   SELECT page_id, lower(regexp_extract(coalesce(url, ''), '{HOST}', 1)) AS site,
          list_filter(list_transform(string_split({_sql_text()}, chr(10)),
-                                    lambda x: regexp_replace(x, '{EDGE}', '', 'g')), lambda x: x != '') AS lines
+                                    lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))), lambda x: x != '') AS lines
   FROM pages
 ), l AS (SELECT page_id, site, unnest(list_distinct(lines)) AS line FROM p WHERE site != ''),
 c AS (SELECT site, line, count(*) AS n FROM l GROUP BY ALL),
