@@ -11,7 +11,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from readgrade.llm.common import held_out, per_text, sample_labelled, table
+from readgrade.llm.common import fresh, held_out, per_text, sample_labelled, table, with_columns
 
 WIDTH, EMBED, FILTERS, HIDDEN, BLOCK = 6, 6, 16, 16, 128
 #: The classifier is fitted on at most so many labelled rows of each class, of at most so many bytes each.
@@ -169,6 +169,13 @@ def score_quality(docs: DataFrame, net: dict, id: str = "doc_id", text: str = "t
     return per_text(docs, id, text, "score double", lambda: (lambda f: lambda texts: [f(texts)])(scorer(net)))
 
 
+def keep_good(docs: DataFrame, net: dict, least: float = 0.5, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text scores at least ``least``, all columns as they are."""
+    score = fresh("score", docs)
+    scored = with_columns(docs, text, f"{score} double", lambda: (lambda f: lambda texts: [f(texts)])(scorer(net)))
+    return scored.where(F.col(score) >= least).drop(score)
+
+
 def op4_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = score_quality(docs, train(docs, table(spark, sf_dir, "labels")))

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from readgrade.plans.storage import materialise
 
@@ -44,28 +45,34 @@ def fresh(name: str, *frames: DataFrame) -> str:
     return name
 
 
-def per_text(docs: DataFrame, id: str, text: str, schema: str, start: Callable[[], Callable[[list], list]]) -> DataFrame:
-    """One output row per document from its whole text, in Arrow batches.
+def with_columns(docs: DataFrame, text: str | None, schema: str, start: Callable[[], Callable[[list], list]]) -> DataFrame:
+    """``docs`` with columns made from whole texts, in Arrow batches; the names in ``schema`` must be new.
+
+    With ``text`` None the last column is the text, and is left out of the result.
 
-    ``start()`` runs once a task and gives a function from a list of texts (UTF-8
-    bytes, None for null) to the columns named in ``schema``. A batch is handed on in
-    slices of about 4 MB of text, so long texts don't add up.
+    ``start()`` runs once a task and gives a function from a list of texts (UTF-8 bytes, None for null) to the
+    columns of ``schema``. A batch is handed on in slices of about 4 MB of text, so long texts don't add up.
     """
     ship(docs.sparkSession)
-    kind = docs.schema[id].dataType.simpleString()
-    names = [x.split()[0] for x in schema.split(",")]
+    field, out = (docs.columns.index(text), len(docs.columns)) if text else (len(docs.columns) - 1,) * 2
+    names = [*docs.columns[:out], *(x.split()[0] for x in schema.split(","))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = start()
+        make = start()
         for batch in batches:
-            ids, column = batch.column(0), batch.column(1).cast(pa.large_binary())
+            column = batch.column(field).cast(pa.large_binary())
             for begin, end in slices(column):
-                out = score(column.slice(begin, end - begin).to_pylist())
+                new = make(column.slice(begin, end - begin).to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(begin, end - begin), *(x if isinstance(x, pa.Array) else pa.array(x) for x in out)],
-                    names=[id, *names])
+                    [*batch.slice(begin, end - begin).columns[:out], *(x if isinstance(x, pa.Array) else pa.array(x) for x in new)], names=names)
+
+    made = StructType.fromDDL(schema)
+    return docs.mapInArrow(run, StructType([StructField(f.name, f.dataType) for f in [*docs.schema[:out], *made]]))
 
-    return docs.select(F.col(id), F.col(text).cast("string")).mapInArrow(run, f"`{id}` {kind}, {schema}")
+
+def per_text(docs: DataFrame, id: str, text: str, schema: str, start: Callable[[], Callable[[list], list]]) -> DataFrame:
+    """(id, the columns of ``schema``): one row per document from its whole text, see :func:`with_columns`."""
+    return with_columns(docs.select(F.col(id), F.col(text).cast("string").alias(fresh("whole_text", docs))), None, schema, start)
 
 
 def slices(column: pa.Array, size: int = 4 << 20, rows: int = 2000) -> Iterator[tuple[int, int]]:

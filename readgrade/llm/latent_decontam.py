@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from readgrade.llm.common import ship, slices, stored, table
+from readgrade.llm.common import checked_broadcast, fresh, ship, slices, stored, table
 from readgrade.llm.word_hashes import hash_words, split_words, words
 
 #: Words of a block; two neighbouring blocks are a window.
@@ -342,6 +342,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text:
     return found
 
 
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` in whose text no item is found, all columns as they are; rows of one text go or stay together."""
+    key = fresh("text_key", docs)
+    keyed = docs.withColumn(key, F.unhex(F.substring(F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")), 256), 1, 32)))
+    leaks = stored(find_leaks(keyed, benchmark, id=key, text=text, **options).select(key).distinct(), "leaks")
+    return keyed.join(checked_broadcast(leaks), key, "left_anti").drop(key)
+
+
 def _as_doubles(batches):
     for batch in batches:
         yield pa.RecordBatch.from_arrays([pa.array([np.frombuffer(x, np.int64).astype(np.float64).tobytes()

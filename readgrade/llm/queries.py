@@ -1,6 +1,7 @@
 """Registered queries of the operators and their SQL counterparts."""
 
-from readgrade.llm import byte_cnn, exact_dedup, kn_toxicity, language_id, line_dedup, lm_scoring, mixing, simhash, token_counts
+from readgrade.llm import (
+    byte_cnn, exact_dedup, kn_toxicity, language_id, latent_decontam, line_dedup, lm_scoring, mixing, simhash, token_counts)
 
 QUERIES = {
     "op1_lm_scoring": lm_scoring.op1_lm_scoring,
@@ -11,6 +12,7 @@ QUERIES = {
     "op6_toxicity_kneser_ney": kn_toxicity.op6_toxicity_kneser_ney,
     "op7_simhash": simhash.op7_simhash,
     "op8_site_lines": line_dedup.op8_site_lines,
+    "op9_latent_decontamination": latent_decontam.op9_latent_decontamination,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 ORACLES = {"op5_temperature_mixing": mixing.OP5_SQL, "op8_site_lines": line_dedup.OP8_SQL,

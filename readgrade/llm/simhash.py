@@ -15,10 +15,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from readgrade.llm import bitslice
-from readgrade.llm.common import checked_broadcast, per_text, stored, table
+from readgrade.llm.common import checked_broadcast, fresh, per_text, stored, table, with_columns
 from readgrade.llm.components import components
 
 BLOCKS, SEED, PART = 5, 42, 1 << 16
@@ -119,6 +119,17 @@ def _and_none(batches):
     yield None
 
 
+def groups(prints: DataFrame, radius: int, limit: int) -> DataFrame:
+    """(fp, component_id) of all fingerprints of the stored table (id, fp) that are shared or linked."""
+    distinct = stored(prints.groupBy("fp").agg(F.min("id").alias("first"), F.count("*").alias("n")), "distinct-prints")
+    members = components(links(distinct.select("fp"), radius, limit))
+    joined = distinct.join(members.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "first", "n", F.coalesce("root", "fp").alias("root"), F.col("root").isNotNull().alias("linked"))
+    several = stored(joined.where("linked or n > 1"), "near-members")
+    least = several.groupBy("root").agg(F.min("first").alias("component_id"))
+    return stored(several.select("fp", "root").join(least, "root").select("fp", "root", "component_id"), "near-groups")
+
+
 def near_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 3, radius: int = 3,
                 limit: int = LIMIT) -> DataFrame:
     """(id, fingerprint, component_id), one row per input row.
@@ -128,17 +139,32 @@ def near_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", width:
     looked at.
     """
     prints = stored(fingerprints(docs, id, text, width).withColumnRenamed(id, "id"), "fingerprints")
-    distinct = stored(prints.groupBy("fp").agg(F.min("id").alias("first"), F.count("*").alias("n")), "distinct-prints")
-    members = components(links(distinct.select("fp"), radius, limit))
-    joined = distinct.join(members.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first", "n", F.coalesce("root", "fp").alias("root"), F.col("root").isNotNull().alias("linked"))
-    several = stored(joined.where("linked or n > 1"), "near-members")
-    least = several.groupBy("root").agg(F.min("first").alias("component_id"))
-    group = stored(several.select("fp", "root").join(least, "root").select("fp", "component_id"), "near-groups")
+    group = groups(prints, radius, limit)
     out = prints.join(checked_broadcast(group.withColumn("grouped", F.lit(True))), "fp", "left")
     return out.select(F.col("id").alias(id), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                       F.when(F.col("grouped"), F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
 
 
+def drop_near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 3, radius: int = 3,
+                     limit: int = LIMIT) -> DataFrame:
+    """One row of each group of :func:`near_groups`, all columns as they are: the one with the smallest id, of several with that id
+    the one whose text comes first."""
+    fp = fresh("fp", docs)
+
+    def start():
+        return lambda texts: [np.array([fingerprint(t, width) for t in texts], np.uint64).view(np.int64)]
+
+    rows = stored(with_columns(docs, text, f"{fp} long", start), "printed-texts")
+    prints = rows.select(F.col(id).alias("id"), F.col(fp).alias("fp"))
+    packed = rows.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id).alias("id"),
+                         F.col(text).alias("t"), F.col(fp).alias("fp"))
+    found = packed.join(checked_broadcast(groups(prints, radius, limit)), "fp", "left")
+    alone = found.where("root is null").select("row.*")
+    first = Window.partitionBy("root").orderBy("t")  # of rows with the group's smallest id: mostly one
+    one = found.where(F.col("root").isNotNull() & F.col("id").eqNullSafe(F.col("component_id"))).withColumn(
+        "k", F.row_number().over(first)).where("k = 1").select("row.*")
+    return alone.unionByName(one)
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"))
