@@ -78,7 +78,7 @@ def words(text: bytes | None) -> np.ndarray:
 
 def split_words(texts: list[bytes | None]) -> list[np.ndarray]:
     hashes, counts = hash_words(texts)
-    return np.split(hashes, np.cumsum(counts)[:-1])
+    return np.split(hashes, np.cumsum(counts)[:-1]) if texts else []
 
 
 def pair(first: np.ndarray, second: np.ndarray) -> np.ndarray:
