@@ -51,7 +51,7 @@ def with_columns(docs: DataFrame, text: str | None, schema: str, start: Callable
     With ``text`` None the last column is the text, and is left out of the result.
 
     ``start()`` runs once a task and gives a function from a list of texts (UTF-8 bytes, None for null) to the
-    columns of ``schema``. A batch is handed on in slices of about 4 MB of text, so long texts don't add up.
+    columns of ``schema``. A batch is handed on in slices of about 1 MB of text, so long texts don't add up.
     """
     ship(docs.sparkSession)
     field, out = (docs.columns.index(text), len(docs.columns)) if text else (len(docs.columns) - 1,) * 2
@@ -75,7 +75,7 @@ def per_text(docs: DataFrame, id: str, text: str, schema: str, start: Callable[[
     return with_columns(docs.select(F.col(id), F.col(text).cast("string").alias(fresh("whole_text", docs))), None, schema, start)
 
 
-def slices(column: pa.Array, size: int = 4 << 20, rows: int = 2000) -> Iterator[tuple[int, int]]:
+def slices(column: pa.Array, size: int = 1 << 20, rows: int = 2000) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``size`` bytes; a longer text has a range of its own."""
     import numpy as np
 

@@ -32,7 +32,7 @@ COSINE = 0.55
 VERBATIM, PARAPHRASE, ANSWER = 0.8, 0.5, 0.5
 #: Items that are held against all documents in one go; more are taken in parts.
 ITEMS = 50_000
-WINDOWS_AT_ONCE = 4096
+WINDOWS_AT_ONCE = 2048
 
 
 class Benchmark:
@@ -131,7 +131,7 @@ def added(parts: DataFrame, length: int, pieces: int = 64) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(length)
 
 
-def _texts(batches: Iterator[pa.RecordBatch], kind, size: int = 1 << 20) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+def _texts(batches: Iterator[pa.RecordBatch], kind, size: int = 1 << 18) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
     """Ids, words of each document, and all their places, for about ``size`` words at a time."""
     for batch in batches:
         column = batch.column(1).cast(pa.large_binary())
