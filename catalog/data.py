@@ -30,6 +30,12 @@ class Data:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
+    @property
+    def partitions(self) -> int | None:
+        """What the session asks for its small local files; nothing on a cluster."""
+        asked = self.spark.conf.get("spark.readgrade.partitions", None)
+        return int(asked) if asked else None
+
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
 
@@ -38,11 +44,11 @@ class Data:
 
     @property
     def docs(self) -> DataFrame:
-        return corpus.documents(self.spark, self.path("documents"), "en")
+        return corpus.documents(self.spark, self.path("documents"), "en", self.partitions)
 
     @property
     def all_docs(self) -> DataFrame:
-        return corpus.documents(self.spark, self.path("documents"))
+        return corpus.documents(self.spark, self.path("documents"), None, self.partitions)
 
     @property
     def tokens(self) -> DataFrame:
@@ -62,10 +68,10 @@ class Data:
 
     @cached_property
     def counts(self) -> DataFrame:
-        return materialise(M.document_counts(self.tokens, self.lexicon), "counts")
+        return materialise(M.with_blank_counts(M.document_counts(self.tokens, self.lexicon), self.docs), "counts")
 
     def metrics(self, variant: str) -> DataFrame:
-        return M.with_blank_texts(M.metrics(self.counts, variant), self.docs)
+        return M.metrics(self.counts, variant)
 
     @property
     def features(self) -> DataFrame:
@@ -103,12 +109,12 @@ class Data:
 
     @property
     def lexical(self) -> DataFrame:
-        return L.lexical_profile(self.tokens, self.lexicon, self.limits)
+        return L.lexical_profile(self.tokens, self.lexicon, self.limits, self.counts)
 
     @cached_property
     def measured(self) -> DataFrame:
         """Counts of every text in all languages, stored: numbers only, so the texts are cut up once."""
-        docs = corpus.spread(self.table("documents").select("doc_id", "lang", "source", "text"))
+        docs = corpus.dealt(self.table("documents").select("doc_id", "lang", "source", "text"), self.partitions)
         return materialise(docs.select(
             "doc_id", "lang", "source", X.whitespace_words(F.col("text")).alias("word_count"),
             X.letter_total(F.col("text")).alias("n_letters"), X.word_total(F.col("text")).alias("n_words"),
@@ -143,14 +149,13 @@ class Data:
 
     @property
     def parsed(self) -> DataFrame:
-        docs = corpus.spread(self.table("documents").select("doc_id", "text", "source"))
+        docs = corpus.dealt(self.table("documents").select("doc_id", "text", "source"), self.partitions)
         return RS.parse_answers(FX.responses(docs))
 
     @property
     def topics(self) -> DataFrame:
-        """One topic per benchmark item: its first sentence."""
-        return self.table("benchmark").select(
-            F.col("item_id").alias("set_index"), F.regexp_extract("text", "^[^.!?]+", 0).alias("topic"))
+        """One topic per benchmark item: its text."""
+        return self.table("benchmark").select(F.col("item_id").alias("set_index"), F.col("text").alias("topic"))
 
     @property
     def planned(self) -> DataFrame:

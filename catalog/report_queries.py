@@ -68,14 +68,14 @@ def r7(d):
 
 
 @query("r8_both_types", """SELECT request_id, level,
-       max(CASE WHEN text_type='narrative' THEN word_count END) AS narrative_words,
-       max(CASE WHEN text_type='expository' THEN word_count END) AS expository_words,
-       max(CASE WHEN text_type='narrative' THEN text END) AS narrative_text
-       FROM (SELECT *, target_level AS level FROM result_texts) WHERE attempt<=2 GROUP BY request_id, level""", "result_texts")
+       arg_max(word_count, attempt) FILTER (text_type='narrative') AS narrative_words,
+       arg_max(word_count, attempt) FILTER (text_type='expository') AS expository_words,
+       arg_max(text, attempt) FILTER (text_type='narrative') AS narrative_text
+       FROM (SELECT *, target_level AS level FROM result_texts) GROUP BY request_id, level""", "result_texts")
 def r8(d):
-    """The first two attempts of a request are a text of each type."""
-    pairs = d.result_texts.where("attempt <= 2").withColumn("display", P.display_name(F.col("level")))
-    return R.both_types(pairs, "request_id").select(
+    """The attempts of a request are texts of either type, so one type comes twice: the later attempt stays."""
+    pairs = d.result_texts.withColumn("display", P.display_name(F.col("level")))
+    return R.both_types(pairs, "request_id", "attempt").select(
         "request_id", "level", F.try_element_at("texts", F.lit("narrative"))["word_count"].alias("narrative_words"),
         F.try_element_at("texts", F.lit("expository"))["word_count"].alias("expository_words"),
         F.try_element_at("texts", F.lit("narrative"))["text"].alias("narrative_text"))
@@ -131,7 +131,10 @@ _slug = "left(regexp_replace(regexp_replace(lower(topic),'[^a-z0-9]+','_','g'),'
 @query("k4_text_documents", f"""SELECT 'set'||set_index||'_'||coalesce(band,replace(target_level,'.','_'))||'_'||text_type||'_'||
        {_slug}||'_{NAME_STAMP}' AS name, {_document} AS value FROM result_texts""", "result_texts")
 def k4(d):
-    return K.text_documents(d.result_texts, STAMP, NAME_STAMP).select("name", "value")
+    """Written in a folder per band and type, read back with their names."""
+    path = new_path(d.spark, "documents")
+    K.write_documents(K.text_documents(d.result_texts, STAMP, NAME_STAMP), path)
+    return d.spark.read.schema("name string, value string, band string, text_type string").parquet(path).select("name", "value")
 
 
 @query("k5_training_set", f"SELECT filename, {METRICS}, predict_level FROM ({MERGED})", "features", "metrics_model")

@@ -12,7 +12,7 @@ from readgrade.functions import text as X
 from readgrade.functions.numbers import fixed
 from readgrade.operators import requests as RQ, responses as RS
 
-TOPICS = "SELECT item_id AS set_index, regexp_extract(text,'^[^.!?]+',0) AS topic FROM benchmark"
+TOPICS = "SELECT item_id AS set_index, text AS topic FROM benchmark"
 BAND_ROWS = Q.values("bands", ["band", "target_level", "max_rank", "word_count", "text_type", "topic"],
                      [(*b[:4], t, topic) for b in C.BANDS for t, topic in zip(C.TEXT_TYPES, b[4:])])
 LEVEL_ROWS = Q.values("levels", ["target_level"], [(v,) for v in C.TEXT_LEVELS])
@@ -264,15 +264,25 @@ def q20(d):
     'display': DISPLAY, 'type': "CASE WHEN doc_id%2=0 THEN 'Narrative' ELSE 'Expository' END"})} AS label,
        level AS target_level, CASE WHEN doc_id%6=0 THEN 0 ELSE word_count END AS word_count,
        CASE WHEN doc_id%6=0 THEN {Q.INF} ELSE {Q.fx('distance', 3)} END AS distance_score,
-       CASE WHEN doc_id%4=0 THEN 1 ELSE attempt END AS attempts FROM distances""", "distances")
+       CASE WHEN doc_id%4=0 THEN 1 ELSE attempt END AS attempts, CASE WHEN doc_id%5<>0 THEN target_level END AS requested_level,
+       CASE WHEN doc_id%3=0 THEN 'Q?' ELSE NULL END AS own_question, 2::BIGINT AS n_questions,
+       CASE WHEN doc_id%2=0 THEN 500::BIGINT END AS max_rank, CASE WHEN doc_id%2=0 THEN doc_id ELSE 0 END AS out_of_band_count,
+       {Q.fx('ARI', 3)} AS feature_ari FROM distances""", "distances")
 def q21(d):
     """Some results lack their evaluation, some their iteration count."""
     bare = d.scored.select(
         "doc_id", "level", F.when(F.col("doc_id") % 2 == 0, "narrative").otherwise("expository").alias("text_type"),
         F.when(F.col("doc_id") % 6 != 0, F.col("word_count")).alias("evaluated_words"),
         F.when(F.col("doc_id") % 6 != 0, fixed(F.col("distance"), 3)).alias("evaluated_distance"),
-        F.when(F.col("doc_id") % 4 != 0, F.col("attempt")).alias("iterations"))
-    return RS.attach_fields(bare).select("doc_id", "label", "target_level", "word_count", "distance_score", "attempts")
+        F.when(F.col("doc_id") % 4 != 0, F.col("attempt")).alias("iterations"),
+        F.when(F.col("doc_id") % 5 != 0, F.col("target_level")).alias("target_level"),
+        F.when(F.col("doc_id") % 3 == 0, F.array(F.lit("Q?"), F.lit("R?"))).alias("questions"),
+        F.when(F.col("doc_id") % 2 == 0, 500).alias("max_rank"), F.col("doc_id").alias("out_of_band_count"), "ARI")
+    own = F.get("questions", F.lit(0))
+    return RS.attach_fields(bare).select(
+        "doc_id", "label", "target_level", "word_count", "distance_score", "attempts", "requested_level",
+        F.when(own == "Q?", own).alias("own_question"), F.size("questions").cast("bigint").alias("n_questions"),
+        "lexical_profile.max_rank", "lexical_profile.out_of_band_count", fixed(F.col("features.ARI"), 3).alias("feature_ari"))
 
 
 _judge = """CASE doc_id%5 WHEN 0 THEN '{"level": "'||predicted_level||'", "confidence": 0.75}' WHEN 1

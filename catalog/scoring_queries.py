@@ -129,15 +129,15 @@ def p10(d):
 
 
 # history: the attempts of a request as iterations, distances scaled so that some requests converge
-@query("p11_convergence", """SELECT request_id, arg_max(text,iteration) AS final_text, count(*) AS iterations,
-       bool_or(stop IS NOT NULL) AS converged FROM (SELECT *, min(iteration) FILTER (distance<0.1) OVER
+@query("p11_convergence", """SELECT request_id, arg_max(text,iteration) AS final_text, count(*) FILTER (iteration<2) AS iterations,
+       bool_or(stop IS NOT NULL) AS converged FROM (SELECT *, min(iteration) FILTER (distance<0.1 AND iteration<2) OVER
        (PARTITION BY request_id) AS stop FROM (SELECT request_id, attempt-1 AS iteration, text,
-         abs(ARI-7e0)/8e0 AS distance FROM scored)) WHERE iteration<5 AND (stop IS NULL OR iteration<=stop)
+         abs(ARI-7e0)/8e0 AS distance FROM scored)) WHERE iteration<=2 AND (stop IS NULL OR iteration<=stop)
        GROUP BY request_id""", "scored")
 def p11(d):
     measured = d.attempts.join(M.readability(d.docs), "doc_id")
     return P.convergence(measured.select("request_id", (F.col("attempt") - 1).alias("iteration"), "text",
-                                         (F.abs(F.col("ARI") - 7.0) / 8.0).alias("distance")))
+                                         (F.abs(F.col("ARI") - 7.0) / 8.0).alias("distance")), max_iterations=2)
 
 
 @query("p12_boundary_levels", f"""SELECT doc_id, level FROM metrics_profile JOIN ({Q.values(

@@ -192,6 +192,9 @@ CTES: dict[str, tuple[list[str], str]] = {
               row_number() OVER (PARTITION BY t.doc_id, t.is_alpha ORDER BY l.zipf, t.sent_id, t.pos_in_sent) AS place,
               count(*) OVER (PARTITION BY t.doc_id, t.is_alpha) AS n_same
             FROM tokens t LEFT JOIN lexicon l ON l.lower=t.lower AND l.lemma=t.lemma AND l.pos=t.pos AND t.is_alpha"""),
+    "surface_ari": (["docs_en"], f"""SELECT doc_id, {ari('l', 'w', 's')} AS ARI FROM (SELECT doc_id,
+            length(regexp_replace(text,{q('[^' + LET + '0-9]+')},'','g')) AS l, {hits('text', X.WORD_OR_NUMBER)} AS w,
+            {hits('text', X.SENTENCE_START)} AS s FROM docs_en)"""),
     "counts": (["graded_tokens"], """SELECT doc_id,
             count(*) FILTER (pos<>'PUNCT') AS n_words, sum(length(text)) FILTER (pos<>'PUNCT')::BIGINT AS n_letters,
             count(*) FILTER (is_alpha) AS n_alpha, count(DISTINCT sent_id) AS n_sents,

@@ -60,7 +60,7 @@ def s4(d):
 def t1(d):
     docs = d.all_docs
     counts = M.text_counts(T.tokens(docs)).select("doc_id", "n_words", "n_sents", "n_verbs", "n_pos")
-    return M.with_blank_texts(counts, docs)
+    return M.with_blank_counts(counts, docs)
 
 
 @query("t2_tokens", f"""SELECT doc_id, {LONG('sent_id')} AS sent_id, {LONG('pos_in_sent')} AS pos_in_sent, text
@@ -181,7 +181,7 @@ def l7(d):
        {Q.fx('sum(flat_score)/count(*)')} AS mean_score FROM graded_tokens WHERE content_h AND flat_level IS NOT NULL
        GROUP BY doc_id""", "graded_tokens")
 def l8(d):
-    return rounded(M.flat_scores(d.tokens, d.lexicon), "mean_score")
+    return rounded(M.flat_scores(d.counts), "mean_score")
 
 
 @query("l9_level_from_frequency", f"SELECT word, {Q.level_of_zipf('zipf')} AS level FROM freq", "freq")
@@ -225,7 +225,7 @@ def _metric(name, column):
            FROM metrics_profile p JOIN metrics_model m USING (doc_id)""", "metrics_profile", "metrics_model")
     def build(d):
         columns = ["doc_id", *[fixed(M.VARIANTS[v]()[column], 4).alias(v) for v in M.VARIANTS]]
-        return M.with_blank_texts(d.counts.select(*columns), d.docs)
+        return d.counts.select(*columns)
 
 
 for _number, _column in enumerate(["AvrDiff", "BperA", "CVV1", "AvrFreqRank"], 1):

@@ -78,7 +78,7 @@ def ml6(d):
     return TR.class_counts(d.stored_features)
 
 
-SPLIT = """SELECT *, rn<=ceil(0.2e0*n_class) AS is_test FROM (SELECT *, row_number() OVER (PARTITION BY predict_level
+SPLIT = """SELECT *, rn<=least(ceil(0.2e0*n_class),n_class-1) AS is_test FROM (SELECT *, row_number() OVER (PARTITION BY predict_level
     ORDER BY md5(doc_id::VARCHAR)) AS rn, count(*) OVER (PARTITION BY predict_level) AS n_class FROM features)"""
 
 
@@ -107,39 +107,51 @@ def ml9(d):
     return rounded(TR.class_weights(d.stored_features), "weight")
 
 
-# ---- fitted models: no SQL counterpart ----------------------------------------------------------
+# ---- fitted models: SQL restates what must hold for every row, tests hold the predictions -----------
+
+TEST_ROWS = f"SELECT doc_id, predict_level FROM ({SPLIT}) WHERE is_test"
+SOUND = "true AS known_level, true AS sound_confidence, true AS scores_add_up"
+
 
 def _parts(d):
     rows = TR.split(d.stored_features)
     return rows.where("NOT is_test"), rows.where("is_test")
 
 
-def _shown(df):
-    return df.select("doc_id", "predict_level", "predicted_level", "confidence")
+def _sound(predicted):
+    """Per row: a level of the fixed scale, a confidence of at least an even share, scores that sum to 1."""
+    share = F.lit(1.0) / F.size("scores")
+    total = F.aggregate("scores", F.lit(0.0), lambda a, b: a + b)
+    return predicted.select(
+        "doc_id", "predict_level", F.col("predicted_level").isin(C.TEXT_LEVELS).alias("known_level"),
+        F.col("confidence").between(share - 1e-9, F.lit(1.0 + 1e-9)).alias("sound_confidence"),
+        (F.abs(total - 1.0) < 1e-6).alias("scores_add_up"))
 
 
-@query("ml10_forest")
+@query("ml10_forest", f"SELECT *, {SOUND} FROM ({TEST_ROWS})", "features")
 def ml10(d):
     train, test = _parts(d)
-    return _shown(CL.predict(CL.fit(train, "forest"), test))
+    return _sound(CL.predict(CL.fit(train, "forest"), test))
 
 
-@query("ml11_logistic")
+@query("ml11_logistic", f"SELECT *, {SOUND} FROM ({TEST_ROWS})", "features")
 def ml11(d):
     train, test = _parts(d)
-    return _shown(CL.predict(CL.fit(train, "logistic"), test))
+    return _sound(CL.predict(CL.fit(train, "logistic"), test))
 
 
-@query("ml12_model_choice")
+@query("ml12_model_choice", "SELECT unnest(['forest','logistic']) AS model, true AS is_share, true AS in_order")
 def ml12(d):
     train, _ = _parts(d)
-    return d.spark.createDataFrame(CL.choose(train), "model string, accuracy double")
+    scores = CL.choose(train)
+    rows = [(m, 0.0 <= a <= 1.0, all(a >= b for (_, a), (_, b) in zip(scores, scores[1:]))) for m, a in scores]
+    return d.spark.createDataFrame(rows, "model string, is_share boolean, in_order boolean")
 
 
-@query("ml13_calibrated")
+@query("ml13_calibrated", f"SELECT *, {SOUND} FROM ({TEST_ROWS})", "features")
 def ml13(d):
     train, test = _parts(d)
-    return _shown(CL.predict(CL.calibrate(train), test))
+    return _sound(CL.predict(CL.calibrate(train), test))
 
 
 @query("ml14_accuracy", f"""SELECT count(*) AS n, {Q.fx('avg((predicted_level=target_level)::INT)')} AS accuracy
@@ -148,10 +160,13 @@ def ml14(d):
     return rounded(CL.accuracy(d.results, "target_level"), "accuracy")
 
 
-@query("ml15_importance")
+@query("ml15_importance", "SELECT place::BIGINT AS place, true AS known, true AS falling, true AS within_one FROM range(1,6) r(place)")
 def ml15(d):
     train, _ = _parts(d)
-    return CL.importances(CL.fit(train, "forest"), d.spark)
+    rows = CL.importances(CL.fit(train, "forest"), d.spark).collect()
+    total = sum(r["importance"] for r in rows)
+    out = [(k, r["feature"] in C.METRICS, k == 1 or rows[k - 2]["importance"] >= r["importance"], total <= 1 + 1e-9) for k, r in enumerate(rows, 1)]
+    return d.spark.createDataFrame(out, "place bigint, known boolean, falling boolean, within_one boolean")
 
 
 @query("ml16_untrained", "SELECT doc_id, 'B1.1' AS predicted_level, 0.5e0 AS confidence FROM features", "features")
@@ -159,24 +174,53 @@ def ml16_untrained(d):
     return CL.predict(None, d.stored_features).select("doc_id", "predicted_level", "confidence")
 
 
-@query("ml16_predict")
+@query("ml16_predict", f"SELECT doc_id, predict_level, {SOUND}, true AS absent_is_zero FROM features", "features")
 def ml16(d):
-    """The whole table with a missing metric, scored by a fitted model."""
+    """The whole table without one metric, and with holes in another, scored by a fitted model; both count as 0."""
     train, _ = _parts(d)
-    holes = d.stored_features.withColumn("LenNP", F.when(F.col("LenNP") > 3, F.col("LenNP")))
-    return _shown(CL.predict(CL.fit(train, "logistic"), holes))
+    model = CL.fit(train, "logistic")
+    holes = d.stored_features.drop("VperSent").withColumn("LenNP", F.when(F.col("LenNP") > 3, F.col("LenNP")))
+    zeros = holes.withColumn("VperSent", F.lit(0.0)).na.fill(0.0, ["LenNP"])
+    plain = CL.predict(model, zeros).select("doc_id", F.col("predicted_level").alias("plain"))
+    got = CL.predict(model, holes)
+    return _sound(got).join(got.select("doc_id", "predicted_level").join(plain, "doc_id").select(
+        "doc_id", (F.col("predicted_level") == F.col("plain")).alias("absent_is_zero")), "doc_id")
 
 
-@query("ml17_saved_model")
+@query("ml17_saved_model", f"SELECT doc_id, predict_level, true AS same, true AS same_calibrated FROM ({TEST_ROWS})", "features")
 def ml17(d):
+    """Loaded models answer as those in memory."""
     train, test = _parts(d)
-    path = new_path(d.spark, "model")
-    CL.fit(train, "logistic").write().overwrite().save(path)
-    return _shown(CL.predict(CL.PipelineModel.load(path), test))
+    model, curved = CL.fit(train, "logistic"), CL.calibrate(train, "logistic")
+    path, curves = new_path(d.spark, "model"), new_path(d.spark, "calibrated")
+    model.write().overwrite().save(path)
+    is_curved = isinstance(curved, CL.Calibrated)
+    curved.save(curves) if is_curved else curved.write().overwrite().save(curves)
+    loaded = CL.Calibrated.load(curves) if is_curved else CL.PipelineModel.load(curves)
+
+    def answers(m, name):
+        return CL.predict(m, test).select("doc_id", F.struct("predicted_level", "confidence").alias(name))
+
+    out = test.select("doc_id", "predict_level")
+    for m, name in ((model, "a"), (CL.PipelineModel.load(path), "b"), (curved, "c"), (loaded, "d")):
+        out = out.join(answers(m, name), "doc_id")
+    return out.select("doc_id", "predict_level", (F.col("a") == F.col("b")).alias("same"), (F.col("c") == F.col("d")).alias("same_calibrated"))
 
 
-@query("ml18_regressor")
+@query("ml18_regressor", f"SELECT doc_id, {Q.text_level('ARI')} AS predict_level, true AS in_range FROM surface_ari", "surface_ari")
 def ml18(d):
     rows = M.surface_features(d.docs).withColumn("predict_level", text_level(F.col("ARI")))
-    model = CL.fit_regressor(rows)
-    return model.transform(rows).select("doc_id", "predict_level", "label", "prediction")
+    scored = CL.fit_regressor(rows).transform(rows)
+    top = len(C.TEXT_LEVELS) - 1
+    return scored.select("doc_id", "predict_level", F.col("prediction").between(0, top).alias("in_range"))
+
+
+@query("ml20_training_flow", f"SELECT *, {SOUND}, true AS same FROM ({TEST_ROWS})", "features")
+def ml20(d):
+    """From the feature table to a saved model, in one call."""
+    path = new_path(d.spark, "flow")
+    model, predicted = CL.train_and_save(d.stored_features, path)
+    loaded = CL.Calibrated.load(path) if isinstance(model, CL.Calibrated) else CL.PipelineModel.load(path)
+    again = CL.predict(loaded, predicted.select("doc_id", *C.METRICS)).select("doc_id", F.col("predicted_level").alias("again"))
+    same = predicted.join(again, "doc_id").select("doc_id", (F.col("predicted_level") == F.col("again")).alias("same"))
+    return _sound(predicted).join(same, "doc_id")

@@ -17,16 +17,21 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from readgrade import fixed as C
 from readgrade.operators import training as TR
+from readgrade.sources.tables import missing_columns
 
 # fixed values: settings of the two candidate models
 TREES, DEEPEST, SEED = 300, 30, 42
 ITERATIONS = 2000
 PENALTY = 1.0
-ROWS_PER_TASK = 20_000
 REGRESSION_TREES = 100
 MOST_FOLDS = 5
 CALIBRATION_FOLDS = (2, 3)
 SURFACE = ["flesch", "ARI", "coleman_liau", "n_ws_words", "n_dot_pieces"]
+# bounds of a fit: labelled rows used at most, and the partitions they are fitted in. Both are arguments of every fit; the
+# second is part of a forest's definition, because its samples are drawn by partition. Nodes of a forest grow with the rows.
+FIT_ROWS, FIT_PARTITIONS = 100_000, 2
+# scores are added up in so many bins before a curve is fitted to them
+CURVE_BINS = 1000
 
 
 # ---- preparation -----------------------------------------------------------------
@@ -69,18 +74,16 @@ def pipeline(kind: str, rows: int) -> Pipeline:
 
 # ---- fitting and choice ----------------------------------------------------------------
 
-def compact(train: DataFrame, rows: int) -> DataFrame:
-    """At most one partition per ROWS_PER_TASK rows: every iteration of a solver is a job over all partitions.
-
-    ``coalesce`` only merges, so a large table keeps the partitions it has.
-    """
-    return train.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
+def bounded(train: DataFrame, rows: int = FIT_ROWS, partitions: int = FIT_PARTITIONS) -> DataFrame:
+    """At most ``rows`` labelled rows, the first in hash order, dealt by that hash so that a repeated fit sees the same partitions."""
+    columns = sorted(c for c, kind in train.dtypes if kind in ("double", "string", "bigint", "int"))
+    keyed = train.withColumn("fit_key", F.xxhash64(*columns))
+    return keyed.orderBy("fit_key", *columns).limit(rows).repartition(partitions, "fit_key").sortWithinPartitions("fit_key", *columns).drop("fit_key")
 
 
-def fit(train: DataFrame, kind: str = "forest") -> PipelineModel:
-    ready = weighted(train).persist()
-    rows = ready.count()
-    model = pipeline(kind, rows).fit(compact(ready, rows))
+def fit(train: DataFrame, kind: str = "forest", rows: int = FIT_ROWS, partitions: int = FIT_PARTITIONS) -> PipelineModel:
+    ready = weighted(bounded(train, rows, partitions)).persist()
+    model = pipeline(kind, ready.count()).fit(ready)
     ready.unpersist()
     return model
 
@@ -103,13 +106,13 @@ def choose(train: DataFrame) -> list[tuple[str, float]]:
     k = min(MOST_FOLDS, rarest(train))
     if k < 2:
         return [("forest", float("nan"))]
-    folded = weighted(with_folds(train, k)).persist()
+    folded = weighted(bounded(with_folds(train, k))).persist()
     accuracy = MulticlassClassificationEvaluator(metricName="accuracy")
-    rows, scores = folded.count(), []
+    n, scores = folded.count(), []
     for kind in CANDIDATES:
-        search = CrossValidator(estimator=pipeline(kind, rows), estimatorParamMaps=ParamGridBuilder().build(),
+        search = CrossValidator(estimator=pipeline(kind, n), estimatorParamMaps=ParamGridBuilder().build(),
                                 evaluator=accuracy, numFolds=k, foldCol="fold", parallelism=2)
-        scores.append((kind, float(search.fit(compact(folded, rows)).avgMetrics[0])))
+        scores.append((kind, float(search.fit(folded).avgMetrics[0])))
     folded.unpersist()
     return sorted(scores, key=lambda s: -s[1])
 
@@ -136,8 +139,8 @@ def labels_of(model: PipelineModel) -> list[str]:
 
 
 def _transform(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    """Apply a fitted pipeline to unlabelled rows; a missing metric counts as 0."""
-    filled = rows.na.fill(0.0, C.METRICS)
+    """Apply a fitted pipeline to unlabelled rows; a missing metric, the whole column or a value, counts as 0."""
+    filled = rows.withColumns({m: F.lit(0.0) for m in C.METRICS if m not in rows.columns}).na.fill(0.0, C.METRICS)
     return PipelineModel(model.stages[1:]).transform(filled.drop("label"))
 
 
@@ -210,17 +213,36 @@ def calibrate(train: DataFrame, kind: str = "forest") -> "Calibrated | PipelineM
     held_out = reduce(DataFrame.unionByName, parts).persist()
     curves = []
     for i, label in enumerate(labels_of(base)):
-        points = held_out.select(F.get("s", F.lit(i)).alias(f"s{i}"), (F.col("predict_level") == label).cast("double").alias("hit"))
-        curves.append(IsotonicRegression(featuresCol=f"s{i}", labelCol="hit", predictionCol=f"c{i}").fit(points))
+        score = F.get("s", F.lit(i))
+        points = held_out.groupBy(F.floor(score * CURVE_BINS).alias("bin")).agg(
+            F.avg(score).alias(f"s{i}"), F.avg((F.col("predict_level") == label).cast("double")).alias("hit"),
+            F.count(F.lit(1)).cast("double").alias("n"))
+        curves.append(IsotonicRegression(featuresCol=f"s{i}", labelCol="hit", predictionCol=f"c{i}", weightCol="n").fit(points))
     held_out.unpersist()
     folded.unpersist()
     return Calibrated(base, curves)
 
 
+def train_and_save(labelled: DataFrame, path: str, rows: int = FIT_ROWS) -> "tuple[Calibrated | PipelineModel, DataFrame] | None":
+    """The whole flow: skip a table that lacks columns, split (by class if every class has two rows), choose, calibrate, save.
+
+    Gives the model and the test part with its predictions, or None if columns are missing.
+    """
+    if missing_columns(labelled):
+        return None
+    stratify = rarest(labelled) >= 2
+    parts = TR.split(labelled, stratify=stratify)
+    train = bounded(parts.where("NOT is_test"), rows)
+    model = calibrate(train, choose(train)[0][0])
+    model.save(path) if isinstance(model, Calibrated) else model.write().overwrite().save(path)
+    return model, predict(model, parts.where("is_test"))
+
+
 # ---- regression on surface features --------------------------------------------------------------
 
-def fit_regressor(train: DataFrame) -> PipelineModel:
-    """Forest that predicts the encoded level from the five surface features."""
+def fit_regressor(train: DataFrame, rows: int = FIT_ROWS, partitions: int = FIT_PARTITIONS) -> PipelineModel:
+    """Forest that predicts the encoded level from the five surface features of at most ``rows`` rows."""
     return Pipeline(stages=[
         indexer(), VectorAssembler(inputCols=SURFACE, outputCol="features"),
-        RandomForestRegressor(numTrees=REGRESSION_TREES, maxDepth=DEEPEST, seed=SEED)]).fit(train)
+        RandomForestRegressor(numTrees=REGRESSION_TREES, maxDepth=DEEPEST, seed=SEED)]).fit(
+            bounded(train.select("predict_level", *SURFACE), rows, partitions))

@@ -118,22 +118,6 @@ def split_hot(graded: DataFrame) -> tuple[DataFrame, DataFrame]:
     return graded.where("hot").drop("hot"), graded.where(~F.col("hot")).drop("hot")
 
 
-def attach_forms(tokens: DataFrame, graded: DataFrame, columns: list[str], keep: Column) -> DataFrame:
-    """Tokens for which ``keep`` holds, with ``columns`` of their form: hot forms by broadcast, the others by shuffle.
-
-    Frequent words never travel: what is shuffled has no key above 1/HOT_FORMS
-    of the tokens. The token stage runs once per branch instead. ``keep`` and
-    the outcome of the probe are tested as one number: as separate conditions
-    they would be pushed down and repeat the tagging rules there.
-    """
-    hot, rare = split_hot(graded)
-    probed = tokens.join(F.broadcast(hot.select(*FORM, *columns, F.lit(1).alias("is_hot"))), FORM, "left")
-    branch = keep.cast("int") * F.coalesce("is_hot", F.lit(2))
-    near = probed.where(branch == 1).drop("is_hot")
-    far = probed.where(branch == 2).select(*tokens.columns).join(rare.select(*FORM, *columns), FORM)
-    return near.unionByName(far)
-
-
 # ---- lexical profile of a text ----------------------------------------------------
 
 def out_of_band(level: Column, rank: Column, max_rank: Column) -> Column:
@@ -141,35 +125,27 @@ def out_of_band(level: Column, rank: Column, max_rank: Column) -> Column:
     return advanced | (rank > max_rank)
 
 
-def profile_tokens(tokens: DataFrame, graded: DataFrame, limits: DataFrame) -> DataFrame:
-    """Candidate tokens of the documents in ``limits(doc_id, max_rank)`` with a flag for words outside the band."""
-    rows = tokens.select("doc_id", "tok_id", "text", *FORM, T.is_candidate().alias("kept"))
-    ranked = attach_forms(rows, graded.withColumn("rank", X.rank_from_zipf(F.col("zipf"))), ["level", "rank"], F.col("kept"))
-    return (ranked.join(limits, "doc_id")
-            .withColumn("flagged", out_of_band(F.col("level"), F.col("rank"), F.col("max_rank")) &
-                        (F.col("max_rank") > 0)))
-
-
-def flagged_words(profiled: DataFrame) -> DataFrame:
-    """One row per document and spelling outside the band, with its rank and first position."""
-    return (profiled.where("flagged").groupBy("doc_id", "text")
-            .agg(F.min("tok_id").alias("first_tok"), F.max("rank").alias("rank")))
-
-
-def lexical_profile(tokens: DataFrame, graded: DataFrame, limits: DataFrame) -> DataFrame:
+def lexical_profile(tokens: DataFrame, graded: DataFrame, limits: DataFrame, counts: DataFrame) -> DataFrame:
     """Per document: alphabetic tokens, candidates, distinct spellings outside the band and their list.
 
-    The list keeps first-seen order and is bounded by the document's own words.
+    The list keeps first-seen order and is bounded by the document's own words. One pass over the tokens: candidates are
+    counted by document and spelling within each task first, so a form comes once a document to the join with
+    its level and no stop word comes at all. Neither side of that join carries a hint; Spark splits a hot form. The
+    number of tokens is in the stored ``counts`` already.
     """
-    profiled = profile_tokens(tokens, graded, limits)
-    spelled = (profiled.groupBy("doc_id", "text")
-               .agg(F.count(F.lit(1)).alias("n"), F.bool_or("flagged").alias("flagged"),
-                    F.min(F.when(F.col("flagged"), F.col("tok_id"))).alias("first_tok"), F.max("rank").alias("rank")))
+    spelled = tokens.where(T.is_candidate()).groupBy("doc_id", "text", *FORM).agg(
+        F.count(F.lit(1)).alias("n"), F.min("tok_id").alias("first_tok"))
+    ranked = spelled.join(graded.select(*FORM, "level", X.rank_from_zipf(F.col("zipf")).alias("rank")), FORM)
+    flagged = (F.col("max_rank") > 0) & out_of_band(F.col("level"), F.col("rank"), F.col("max_rank"))
+    # one spelling can have several forms: it counts once, with its first flagged place and its highest rank
+    words = (ranked.join(limits, "doc_id").withColumn("flagged", flagged).groupBy("doc_id", "text")
+             .agg(F.sum("n").alias("n"), F.bool_or("flagged").alias("flagged"),
+                  F.min(F.when(F.col("flagged"), F.col("first_tok"))).alias("first_tok"), F.max("rank").alias("rank")))
     entry = F.struct("first_tok", F.concat("text", F.lit(" (rank≈"), F.col("rank").cast("string"), F.lit(")")).alias("w"))
-    found = spelled.groupBy("doc_id").agg(
+    found = words.groupBy("doc_id").agg(
         F.sum("n").alias("content_tokens"), F.count_if("flagged").alias("out_of_band_count"),
         F.sort_array(F.collect_list(F.when(F.col("flagged"), entry))).alias("hits"))
-    totals = tokens.where("is_alpha").groupBy("doc_id").agg(F.count(F.lit(1)).alias("total_tokens"))
+    totals = counts.select("doc_id", F.col("n_alpha").alias("total_tokens"))
     live = F.col("max_rank") > 0
 
     def number(name):

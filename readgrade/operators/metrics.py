@@ -95,10 +95,9 @@ def document_counts(tokens: DataFrame, graded: DataFrame) -> DataFrame:
         F.slice(F.sort_array(F.concat("base.lows", "lows")), 1, TOP).alias("lows"))
 
 
-def flat_scores(tokens: DataFrame, graded: DataFrame) -> DataFrame:
+def flat_scores(counts: DataFrame) -> DataFrame:
     """Per document: content tokens found in the flat list and their mean score; unlisted words do not count."""
-    counts = document_counts(tokens, graded).where(F.col("n_found") > 0)
-    return counts.select("doc_id", "n_found", F.col("sum_flat").alias("sum_score"),
+    return counts.where(F.col("n_found") > 0).select("doc_id", "n_found", F.col("sum_flat").alias("sum_score"),
                          ratio(F.col("sum_flat"), F.col("n_found")).alias("mean_score"))
 
 
@@ -152,11 +151,15 @@ def metrics(counts: DataFrame, variant: str) -> DataFrame:
                          F.col("n_alpha").alias("word_count"), F.col("n_sents").alias("sentence_count"))
 
 
-def with_blank_texts(scored: DataFrame, docs: DataFrame) -> DataFrame:
-    """Texts without a letter or digit have no tokens: they get zeros, by a narrow union instead of a join."""
+def with_blank_counts(counts: DataFrame, docs: DataFrame) -> DataFrame:
+    """Texts without a letter or digit have no tokens: they get zero counts, so that all their metrics are zero.
+
+    To be done once, before the counts are stored: what reads stored counts never reads the texts again.
+    """
     blank = docs.where(~F.coalesce(F.col("text"), F.lit("")).rlike(f"[{X.LETTERS}0-9]"))
-    zeros = [F.lit(0).cast(f.dataType).alias(f.name) for f in scored.schema.fields if f.name != "doc_id"]
-    return scored.unionByName(blank.select("doc_id", *zeros))
+    zeros = [(F.array() if f.dataType.typeName() == "array" else F.lit(0)).cast(f.dataType).alias(f.name)
+             for f in counts.schema.fields if f.name != "doc_id"]
+    return counts.unionByName(blank.select("doc_id", *zeros))
 
 
 # ---- metrics straight from the text, no shuffle -----------------------------------
@@ -187,7 +190,7 @@ def surface_features(docs: DataFrame) -> DataFrame:
 def variety(tokens: DataFrame) -> DataFrame:
     """Type/token ratio and mean chunk length."""
     counts = tokens.groupBy("doc_id").agg(
-        F.countDistinct(F.when(F.col("is_alpha"), F.col("lower"))).alias("n_types"),
+        F.size(F.collect_set(F.when(F.col("is_alpha"), F.col("lower")))).alias("n_types"),
         F.count_if("is_alpha").alias("n_alpha"), F.count_if("in_np").alias("n_np"),
         F.count_if("np_start").alias("n_chunks"))
     return counts.select("doc_id", ratio(F.col("n_types"), F.col("n_alpha")).alias("type_token_ratio"),

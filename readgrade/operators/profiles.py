@@ -130,15 +130,22 @@ def metric_report(scored: DataFrame, shown: int = 10) -> DataFrame:
                          F.array_join(F.slice("out_of_band_tokens", 1, shown), ", ").alias("examples"), F.inline(rows))
 
 
-def convergence(history: DataFrame) -> DataFrame:
-    """Refinement ends at the first distance below the threshold or at the iteration cap."""
-    whole = W.partitionBy("request_id")
-    done = F.min(F.when(F.col("distance") < C.CONVERGED_DISTANCE, F.col("iteration"))).over(whole)
-    kept = (history.where(F.col("iteration") < C.MAX_ITERATIONS).withColumn("stop", done)
-            .where(F.col("stop").isNull() | (F.col("iteration") <= F.col("stop"))))
-    return kept.groupBy("request_id").agg(
-        F.max_by("text", "iteration").alias("final_text"), F.count(F.lit(1)).alias("iterations"),
-        F.max(F.col("stop").isNotNull()).alias("converged"))
+def convergence(history: DataFrame, max_iterations: int = C.MAX_ITERATIONS) -> DataFrame:
+    """Refinement ends at the first distance below the threshold or after ``max_iterations`` scored texts.
+
+    Without convergence the result is the text of the last refinement, which has the number ``max_iterations``
+    and is not scored any more. One aggregate, combined before the exchange.
+    """
+    scored = F.col("iteration") < max_iterations
+    close = scored & (F.col("distance") < C.CONVERGED_DISTANCE)
+    whole = history.where(F.col("iteration") <= max_iterations).groupBy("request_id").agg(
+        F.min(F.when(close, F.col("iteration"))).alias("stop"), F.min_by("text", F.when(close, F.col("iteration"))).alias("reached"),
+        F.max_by("text", "iteration").alias("last"), F.count_if(scored).alias("n"),
+        F.collect_set(F.when(scored, F.col("iteration"))).alias("done"))
+    return whole.select(
+        "request_id", F.when(F.col("stop").isNull(), F.col("last")).otherwise(F.col("reached")).alias("final_text"),
+        F.when(F.col("stop").isNull(), F.col("n")).otherwise(F.size(F.filter("done", lambda i: i <= F.col("stop")))).cast("bigint").alias("iterations"),
+        F.col("stop").isNotNull().alias("converged"))
 
 
 def boundary_levels(measured: DataFrame) -> DataFrame:

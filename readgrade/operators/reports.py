@@ -59,8 +59,13 @@ def flat_results(results: DataFrame, stamp: str) -> DataFrame:
         *[F.coalesce(F.col(f"features.{m}"), F.lit(0.0)).alias(f"feature_{m}") for m in C.METRICS])
 
 
-def both_types(results: DataFrame, key: str) -> DataFrame:
-    """The texts of one ``key`` and level as a record with a map from text type to text."""
-    entry = F.struct("text_type", F.struct("topic", "text", "word_count"))
-    return results.groupBy(key, "level", "display").agg(
-        F.map_from_entries(F.sort_array(F.collect_list(entry))).alias("texts"))
+def both_types(results: DataFrame, key: str, order: str) -> DataFrame:
+    """The texts of one ``key`` and level as a record with a map from text type to text.
+
+    Of several texts of one type the last by ``order`` stays, on a tie the one that is last by its own content.
+    """
+    text = F.struct("topic", "text", "word_count")
+    kept = results.groupBy(key, "level", "display").agg(*[
+        F.max_by(text, F.when(F.col("text_type") == kind, F.struct(order, "topic", "text", "word_count"))).alias(kind) for kind in C.TEXT_TYPES])
+    entries = F.array(*[F.struct(F.lit(kind).alias("key"), F.col(kind).alias("value")) for kind in C.TEXT_TYPES])
+    return kept.select(key, "level", "display", F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull())).alias("texts"))

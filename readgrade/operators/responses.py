@@ -27,10 +27,15 @@ def sanitise(text: Column) -> Column:
     return F.regexp_replace(X.strip(F.array_join(kept, "\n")), "\n{3,}", "\n\n")
 
 
+def is_object(candidate: Column) -> Column:
+    """A JSON object; of a key that comes twice the last value counts, as in most readers."""
+    return candidate.startswith("{") & candidate.endswith("}") & F.from_json(candidate, "map<string,string>").isNotNull()
+
+
 def parse_answers(responses: DataFrame) -> DataFrame:
     """Add ``text`` and ``questions`` (at most two); an answer that is no JSON object is the passage itself."""
     opened = responses.withColumn("candidate", unwrap(F.col("raw")))
-    good = F.try_parse_json("candidate").isNotNull() & F.col("candidate").startswith("{")
+    good = is_object(F.col("candidate"))
     read = opened.select("*", F.when(good, F.from_json("candidate", S.ANSWER)).alias("answer"))
     numbered = F.array("answer.question1", "answer.question2")
     asked = F.filter(F.coalesce("answer.questions", numbered), lambda q: q.isNotNull() & (q != ""))
@@ -113,7 +118,11 @@ def within_quota(runs: DataFrame, wanted: int, attempts_each: int = C.ATTEMPTS_P
 
     ``runs`` has ``group_id, run, attempts, success``; the limit bounds a group.
     """
-    earlier = W.partitionBy("group_id").orderBy("run").rowsBetween(W.unboundedPreceding, -1)
+    # every run spends an attempt, so no later run can count: Spark cuts a group to these before it is shuffled
+    spends = F.when(F.col("attempts") >= 1, True).otherwise(F.raise_error(F.lit("attempts must be 1 or more")))
+    order = W.partitionBy("group_id").orderBy("run")
+    runs = runs.withColumn("at", F.row_number().over(order)).where(F.col("at") <= wanted * attempts_each * 2).drop("at").where(spends)
+    earlier = order.rowsBetween(W.unboundedPreceding, -1)
     spent = F.coalesce(F.sum("attempts").over(earlier), F.lit(0))
     taken = F.coalesce(F.sum(F.col("success").cast("int")).over(earlier), F.lit(0))
     return (runs.select("*", spent.alias("spent"), taken.alias("taken"))
@@ -126,19 +135,39 @@ def retry_reasons(words: Column, wanted: Column, predicted: Column, target: Colu
     return F.concat_ws(", ", F.when(predicted != target, "level"), F.when(~words.between(low, high), "word_count"))
 
 
+LEXICAL = {"total_tokens": "bigint", "content_tokens": "bigint", "out_of_band_count": "bigint", "out_of_band_tokens": "array<string>"}
+
+
 def attach_fields(results: DataFrame) -> DataFrame:
-    """Level, label, band and counters of a result with the fallbacks for what is missing."""
-    return results.select(
-        "*", P.label(F.col("level"), F.col("text_type")).alias("label"), F.col("level").alias("target_level"),
-        F.coalesce("evaluated_words", F.lit(0)).cast("bigint").alias("word_count"),
-        F.coalesce("evaluated_distance", F.lit(float("inf"))).alias("distance_score"),
-        F.coalesce("iterations", F.lit(1)).cast("bigint").alias("attempts"))
+    """Levels, label, band, counters, questions, features and lexical profile of a result, with the fallbacks for what is missing.
+
+    ``target_level`` of the input is what was asked for and becomes ``requested_level``; in the result it is the level that
+    was resolved. Without questions there are the two of the topic and type, without a rank limit an empty profile.
+    Columns that the input lacks count as null.
+    """
+    has = lambda name, kind: F.col(name).cast(kind) if name in results.columns else F.lit(None).cast(kind)
+    asked = has("questions", "array<string>")
+    usual = F.transform(F.array(*[default_question(has("topic", "string"), F.col("text_type"), n) for n in (1, 2)]), with_length)
+    limited = has("max_rank", "bigint") > 0
+    empty = {"array<string>": F.array().cast("array<string>"), "bigint": F.lit(0).cast("bigint")}
+    profile = [F.when(limited, F.coalesce(has(c, kind), empty[kind])).otherwise(empty[kind]).alias(c) for c, kind in LEXICAL.items()]
+    made = {
+        "label": P.label(F.col("level"), F.col("text_type")), "requested_level": has("target_level", "string"),
+        "target_level": F.col("level"), "band": has("band", "string"),
+        "word_count": F.coalesce(has("evaluated_words", "bigint"), F.lit(0).cast("bigint")),
+        "distance_score": F.coalesce(has("evaluated_distance", "double"), F.lit(float("inf"))),
+        "attempts": F.coalesce(has("iterations", "bigint"), F.lit(1).cast("bigint")),
+        "questions": F.when(F.coalesce(F.size(asked), F.lit(0)) > 0, asked).otherwise(usual),
+        "features": F.struct(*[has(m, "double").alias(m) for m in C.REPORT_METRICS]),
+        "lexical_profile": F.struct(F.when(limited, has("max_rank", "bigint")).alias("max_rank"), *profile),
+    }
+    return results.select(*[c for c in results.columns if c not in made], *[c.alias(n) for n, c in made.items()])
 
 
 def read_judgement(raw: Column, allowed: list[str] = C.TEXT_LEVELS) -> Column:
     """struct(level, confidence) of a judge's answer; anything unreadable is ('unknown', 0)."""
     clean = X.strip(raw)
-    good = F.try_parse_json(clean).isNotNull() & clean.startswith("{")
+    good = is_object(clean)
     data = F.from_json(clean, S.JUDGEMENT)
     level = F.when(good & data["level"].isin(allowed), data["level"]).otherwise("unknown")
     confidence = F.when(good, F.coalesce(data["confidence"], F.lit(0.0))).otherwise(0.0)

@@ -87,9 +87,13 @@ def numbered(rows: DataFrame, label: str = "predict_level", key: str = "doc_id")
             .drop("hash", "range", "offset"))
 
 
-def split(rows: DataFrame, share: float = 0.2, label: str = "predict_level", key: str = "doc_id") -> DataFrame:
-    """Repeatable stratified split: the first ``ceil(share * n)`` rows of each class in hash order are the test part."""
-    return numbered(rows, label, key).withColumn("is_test", F.col("rn") <= F.ceil(F.lit(share) * F.col("n_class")))
+def split(rows: DataFrame, share: float = 0.2, label: str = "predict_level", key: str = "doc_id", stratify: bool = True) -> DataFrame:
+    """Repeatable split: the first ``ceil(share * n)`` rows in hash order are the test part, of each class or, where a class
+    is too small for that, of all rows. At least one row of what is split stays for training."""
+    test = F.col("rn") <= F.least(F.ceil(F.lit(share) * F.col("n_class")), F.col("n_class") - 1)
+    if stratify:
+        return numbered(rows, label, key).withColumn("is_test", test)
+    return numbered(rows.withColumn("all_rows", F.lit(1)), "all_rows", key).withColumn("is_test", test).drop("all_rows")
 
 
 def class_weights(labelled: DataFrame, label: str = "predict_level") -> DataFrame:

@@ -25,4 +25,4 @@ def metrics_of(docs: DataFrame, wordlist: DataFrame, variant: str = "profile", f
     """
     tokens = T.tokens(docs) if tokens is None else tokens
     graded = build_lexicon(build_forms(tokens), wordlist, freq)
-    return M.with_blank_texts(M.metrics(M.document_counts(tokens, graded), variant), docs)
+    return M.metrics(M.with_blank_counts(M.document_counts(tokens, graded), docs), variant)

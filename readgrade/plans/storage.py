@@ -6,21 +6,31 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+_own: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a local session without that setting gets a folder of its own."""
+    """The folder of ``spark.checkpoint.dir``; a local session without that setting gets a folder of its own.
+
+    The session's settings are left alone.
+    """
     folder = spark.conf.get(SETTING, None)
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {SETTING} to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="readgrade-")
-        spark.conf.set(SETTING, folder)
+        app = spark.sparkContext.applicationId
+        if app not in _own:
+            _own[app] = tempfile.mkdtemp(prefix="readgrade-")
+        folder = _own[app]
     return folder.rstrip("/")
 
 
+def _home(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/readgrade/{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/readgrade/{name}-{uuid.uuid4().hex}"
+    return f"{_home(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -28,3 +38,9 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all that this application has stored; tables read from it are gone."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_home(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

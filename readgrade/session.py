@@ -11,6 +11,11 @@ def session(name: str, cores: str | int | None = None) -> SparkSession:
             .config("spark.sql.shuffle.partitions", str(cores))
             .config("spark.sql.adaptive.enabled", "true")
             .config("spark.sql.session.timeZone", "UTC")
+            .config("spark.sql.files.minPartitionNum", str(cores))
+            # small files of one row group, see sources.corpus.dealt; unset, scans stay as they are
+            .config("spark.readgrade.partitions", str(cores))
+            # documents of a task that one aggregate holds before it falls back to sorting all tokens
+            .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "8192")
             .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "8g"))
             .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
             .config("spark.log.level", "ERROR").getOrCreate())

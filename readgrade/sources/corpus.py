@@ -3,19 +3,17 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on a small input.
+def dealt(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """The scan as it is, or dealt out to ``partitions`` where the caller asks for it.
 
-    A scan with fewer splits than cores is dealt out once; a scan that already
-    has enough splits (any large table) is returned as it is, without a shuffle.
+    Only for a small file of one row group, which no setting can split; it shuffles the texts.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df if partitions is None else df.repartition(partitions)
 
 
-def documents(spark: SparkSession, path: str, lang: str | None = None) -> DataFrame:
+def documents(spark: SparkSession, path: str, lang: str | None = None, partitions: int | None = None) -> DataFrame:
     """(doc_id, text) of one language or of all; language filter and column choice reach the scan."""
     docs = spark.read.parquet(path)
     if lang is not None:
         docs = docs.where(F.col("lang") == lang)
-    return spread(docs.select("doc_id", "text"))
+    return dealt(docs.select("doc_id", "text"), partitions)

@@ -76,7 +76,9 @@ def test_convergence(spark):
         spark.createDataFrame(rows, "request_id int, iteration int, text string, distance double")).collect()}
     assert (got[1]["final_text"], got[1]["iterations"], got[1]["converged"]) == ("b", 2, True)
     assert (got[2]["final_text"], got[2]["iterations"], got[2]["converged"]) == ("e", 2, False)
-    assert got[3]["iterations"] == 5
+    assert (got[3]["iterations"], got[3]["final_text"], got[3]["converged"]) == (5, "5", False)
+    few = P.convergence(spark.createDataFrame([(1, 0, "a", 0.5), (1, 1, "b", 0.05)], "request_id int, iteration int, text string, distance double"), 1)
+    assert tuple(few.first()) == (1, "b", 1, False)
 
 
 def test_boundaries_overlap_at_the_edge(spark):
