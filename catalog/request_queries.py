@@ -22,7 +22,7 @@ TYPE_REQUESTS = f"""SELECT set_index, topic, level, CASE WHEN set_index%2=0 THEN
                     FROM ({TOPICS}), ({GROUP_ROWS})"""
 LEVEL_REQUESTS = f"""SELECT set_index, topic, target_level, set_index%4+1 AS attempt, 75+25*(set_index%6) AS word_count
                      FROM ({TOPICS}), ({LEVEL_ROWS})"""
-SUM_WORDS = Q.hits("text", chr(92) + "S+")
+SUM_WORDS = Q.hits("text", f"[^{X.SPACE}]+")
 
 
 @query("q1_plan_sets", f"SELECT set_index, b.* FROM (SELECT item_id AS set_index FROM benchmark), ({BAND_ROWS}) b")

@@ -46,7 +46,11 @@ def div(a: str, b: str) -> str:
 
 
 def strip(x: str) -> str:
-    return f"regexp_replace({x},'^\\s+|\\s+$','','g')"
+    return f"regexp_replace({x},'^[{X.SPACE}]+|[{X.SPACE}]+$','','g')"
+
+
+def aside(x: str) -> str:
+    return f"regexp_replace({x},'([0-9])[.]([0-9])',{q(chr(92) + '1' + X.ASIDE + chr(92) + '2')},'g')"
 
 
 def hits(x: str, pattern: str) -> str:
@@ -98,9 +102,9 @@ _np = "(" + ",".join(q(p) for p in X.CHUNK_POS) + ")"
 def _token_ctes(suffix: str, docs: str) -> dict[str, tuple[list[str], str]]:
     return {
         f"sents{suffix}": ([docs], f"""
-            SELECT doc_id, sent_id, {strip('raw')} AS sentence FROM (
+            SELECT doc_id, sent_id, {strip(f"replace(raw,{q(X.ASIDE)},'.')")} AS sentence FROM (
               SELECT doc_id, unnest(seg) AS raw, generate_subscripts(seg,1)-1 AS sent_id FROM (
-                SELECT doc_id, regexp_extract_all(text,{q(X.SENTENCE)}) AS seg FROM {docs}))
+                SELECT doc_id, regexp_extract_all({aside(aside('text'))},{q(X.SENTENCE)}) AS seg FROM {docs}))
             WHERE regexp_matches(raw,{q(ALNUM)})"""),
         f"raw_tokens{suffix}": ([f"sents{suffix}"], f"""
             SELECT doc_id, sent_id, unnest(w) AS text, generate_subscripts(w,1)-1 AS pos_in_sent FROM (
@@ -254,7 +258,7 @@ CTES: dict[str, tuple[list[str], str]] = {
     "raw_results": ([], f"""SELECT doc_id, lang, source, text, doc_id//3 AS request_id, doc_id%3+1 AS attempt,
             {label_by_number('(doc_id//3)%9')} AS target_level, 100+25*((doc_id//3)%5) AS wanted_words,
             CASE WHEN doc_id%2=0 THEN 'narrative' ELSE 'expository' END AS text_type,
-            lang||' texts collected from the source '||source AS topic, {hits('text', chr(92) + 'S+')} AS word_count,
+            lang||' texts collected from the source '||source AS topic, {hits('text', f'[^{X.SPACE}]+')} AS word_count,
             length(regexp_replace(text,'[^{LET}0-9]+','','g')) AS n_letters, {hits('text', X.WORD_OR_NUMBER)} AS n_words,
             {hits('text', X.SENTENCE_START)} AS n_sents FROM documents"""),
     "results": (["raw_results"], f"""SELECT *, {text_level('ARI')} AS predicted_level,

@@ -127,7 +127,7 @@ def t7(d):
         "doc_id", F.col("sent_id").cast("bigint"), F.col("chunk_id").cast("bigint"), "n_alpha", "n_ws")
 
 
-@query("t8_whitespace_counts", f"""SELECT doc_id, len(list_filter(string_split_regex(text,'\\s+'), lambda w: w<>''))::BIGINT
+@query("t8_whitespace_counts", f"""SELECT doc_id, len(list_filter(string_split_regex(text,'[{X.SPACE}]+'), lambda w: w<>''))::BIGINT
        AS n_ws_words, len(string_split(text,'.'))::BIGINT AS n_dot_pieces FROM docs_all""", "docs_all")
 def t8(d):
     return T.whitespace_counts(d.all_docs)
@@ -260,7 +260,7 @@ def m10(d):
        {Q.fx(Q.ari('n_letters', 'n_words', 'n_sents'))} AS ARI,
        {Q.fx('''CASE WHEN n_words>0 THEN 0.0588e0*(n_letters*100e0/n_words)-0.296e0*(n_sents*100e0/n_words)-15.8e0
              ELSE 0e0 END''')} AS coleman_liau,
-       {Q.hits('text', chr(92) + 'S+')} AS n_ws_words, len(string_split(text,'.'))::BIGINT AS n_dot_pieces
+       {Q.hits('text', f'[^{X.SPACE}]+')} AS n_ws_words, len(string_split(text,'.'))::BIGINT AS n_dot_pieces
        FROM ({_surface})""", "docs_en")
 def m11(d):
     return rounded(M.surface_features(d.docs), "flesch", "ARI", "coleman_liau")
@@ -274,6 +274,6 @@ def m12(d):
 
 
 @query("m13_sentence_length", f"""SELECT doc_id, w AS word_count, {Q.fx(Q.div('w', 's'))} AS avg_sentence_length FROM (
-       SELECT doc_id, {Q.hits('text', chr(92) + 'S+')} AS w, {Q.hits('text', X.SENTENCE_START)} AS s FROM docs_en)""", "docs_en")
+       SELECT doc_id, {Q.hits('text', f'[^{X.SPACE}]+')} AS w, {Q.hits('text', X.SENTENCE_START)} AS s FROM docs_en)""", "docs_en")
 def m13(d):
     return rounded(M.sentence_length(d.docs), "avg_sentence_length")

@@ -8,11 +8,16 @@ from pyspark.sql import Column, functions as F
 
 from readgrade import fixed as C
 
-LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+LETTERS = r"\p{L}"
+# white space of any kind; the short class of the engines covers ASCII only
+SPACE = r"\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 WORD = f"[{LETTERS}]+"
-TOKEN = f"[{LETTERS}]+|[0-9]+|[^{LETTERS}0-9\\s]"
+# a number keeps the points and commas between its digits
+TOKEN = f"[{LETTERS}]+|[0-9]+(?:[.,][0-9]+)*|[^{LETTERS}0-9{SPACE}]"
 WORD_OR_NUMBER = f"[{LETTERS}]+|[0-9]+"
 SENTENCE = r"[^.!?]+[.!?]*|[.!?]+"
+# a point between digits ends no sentence: it stands aside as a private character while sentences are cut
+POINT_IN_NUMBER, ASIDE = r"([0-9])\.([0-9])", "\uE000"
 SENTENCE_START = f"[{LETTERS}0-9][^.!?]*"
 VOWEL_GROUP = "[aeiouyAEIOUYÀ-ÆÈ-ÏÒ-ÖØ-Ýà-æè-ïò-öø-ýÿ]+"
 CHUNK_POS = ["DET", "ADJ", "NOUN", "PROPN"]
@@ -20,7 +25,17 @@ CHUNK_POS = ["DET", "ADJ", "NOUN", "PROPN"]
 
 def strip(value: Column) -> Column:
     """Drop white space of any kind at both ends."""
-    return F.regexp_replace(value, r"^\s+|\s+$", "")
+    return F.regexp_replace(value, f"^[{SPACE}]+|[{SPACE}]+$", "")
+
+
+def points_aside(text: Column) -> Column:
+    for _ in range(2):  # twice, as matches that share a digit are found in turns
+        text = F.regexp_replace(text, POINT_IN_NUMBER, f"$1{ASIDE}$2")
+    return text
+
+
+def points_back(text: Column) -> Column:
+    return F.replace(text, F.lit(ASIDE), F.lit("."))
 
 
 def matches(value: Column, pattern: str) -> Column:
@@ -35,13 +50,15 @@ def first_code(word: Column) -> Column:
     return F.ascii(word)
 
 
-def is_letter(code: Column) -> Column:
-    """A token holds letters only or none, so its first character decides."""
-    return code.between(65, 90) | code.between(97, 122) | (code.between(192, 255) & (code != 215) & (code != 247))
+def is_letter(code: Column, word: Column) -> Column:
+    """A token holds letters only or none, so its first character decides; of other scripts only a single character needs a look."""
+    other = (code > 127) & ((F.length(word) > 1) | word.rlike(f"[{LETTERS}]"))
+    return code.between(65, 90) | code.between(97, 122) | other
 
 
-def is_capital(code: Column) -> Column:
-    return code.between(65, 90) | (code.between(192, 222) & (code != 215))
+def is_capital(code: Column, word: Column) -> Column:
+    first = F.substring(word, 1, 1)
+    return code.between(65, 90) | ((code > 127) & (F.lower(first) != first))
 
 
 def is_digit(code: Column) -> Column:
@@ -74,10 +91,11 @@ def suffix_class(lower: Column, tails: dict[int, Column]) -> Column:
     return F.when(F.length(lower) >= C.MIN_SUFFIX_WORD, expr)
 
 
-def part_of_speech(code: Column, lower: Column, tails: dict[int, Column], position: Column, closed: Column) -> Column:
+def part_of_speech(code: Column, letter: Column, capital: Column, lower: Column, tails: dict[int, Column], position: Column,
+                   closed: Column) -> Column:
     """Closed class, then a capital inside the sentence, then the ending."""
-    known = F.coalesce(closed, F.when((position > 0) & is_capital(code), "PROPN"), suffix_class(lower, tails), F.lit("NOUN"))
-    return F.when(is_letter(code), known).when(is_digit(code), "NUM").otherwise("PUNCT")
+    known = F.coalesce(closed, F.when((position > 0) & capital, "PROPN"), suffix_class(lower, tails), F.lit("NOUN"))
+    return F.when(letter, known).when(is_digit(code), "NUM").otherwise("PUNCT")
 
 
 def lemma(lower: Column, tails: dict[int, Column], pos: Column) -> Column:
@@ -97,7 +115,7 @@ def in_chunk(pos: Column) -> Column:
     return pos.isin(CHUNK_POS)
 
 
-def word_in_chunk(code: Column, lower: Column, position: Column, closed: Column) -> Column:
+def word_in_chunk(letter: Column, capital: Column, lower: Column, position: Column, closed: Column) -> Column:
     """``in_chunk`` of a word, without spelling out its whole part of speech.
 
     Among the open classes only adverbs and verbs stay outside a chunk.
@@ -105,8 +123,8 @@ def word_in_chunk(code: Column, lower: Column, position: Column, closed: Column)
     ending = F.lit(False)
     for size, rows in _endings(["ADV", "VERB"]).items():
         ending = ending | tail(lower, size).isin([e for _, endings in rows for e in endings])
-    open_class = ((position > 0) & is_capital(code)) | (F.length(lower) < C.MIN_SUFFIX_WORD) | ~ending
-    return is_letter(code) & F.when(closed.isNotNull(), in_chunk(closed)).otherwise(open_class)
+    open_class = ((position > 0) & capital) | (F.length(lower) < C.MIN_SUFFIX_WORD) | ~ending
+    return letter & F.when(closed.isNotNull(), in_chunk(closed)).otherwise(open_class)
 
 
 # ---- formulas over a whole text, no shuffle --------------------------------
@@ -125,7 +143,7 @@ def letter_total(text: Column) -> Column:
 
 
 def whitespace_words(text: Column) -> Column:
-    return matches(text, r"\S+")
+    return matches(text, f"[^{SPACE}]+")
 
 
 def full_stop_pieces(text: Column) -> Column:

@@ -16,9 +16,9 @@ SENTENCE_SHIFT = 32
 
 def sentences(docs: DataFrame) -> DataFrame:
     """One row per sentence that holds a letter or digit."""
-    cut = docs.select("doc_id", F.posexplode(F.regexp_extract_all("text", F.lit(X.SENTENCE), 0)))
+    cut = docs.select("doc_id", F.posexplode(F.regexp_extract_all(X.points_aside(F.col("text")), F.lit(X.SENTENCE), 0)))
     return (cut.where(F.col("col").rlike(f"[{X.LETTERS}0-9]"))
-            .select("doc_id", F.col("pos").alias("sent_id"), X.strip(F.col("col")).alias("sentence")))
+            .select("doc_id", F.col("pos").alias("sent_id"), X.strip(X.points_back(F.col("col"))).alias("sentence")))
 
 
 def closed_words(spark) -> DataFrame:
@@ -52,18 +52,22 @@ def tokens(docs: DataFrame) -> DataFrame:
     probed = (rows.join(F.broadcast(closed), lower == F.col("closed_word"), "left")
               .join(F.broadcast(before), F.col("before_lower") == F.col("before_word"), "left")
               .select("doc_id", "sent_id", "pos_in_sent", "text", "lower", "stop", "closed_pos", "before_lower", "before_closed",
-                      X.first_code(F.col("text")).alias("code"), X.first_code(F.col("before")).alias("before_code"),
+                      X.first_code(F.col("text")).alias("code"),
+                      X.is_letter(X.first_code(F.col("text")), F.col("text")).alias("letter"),
+                      X.is_capital(X.first_code(F.col("text")), F.col("text")).alias("capital"),
+                      X.is_letter(X.first_code(F.col("before")), F.col("before")).alias("before_letter"),
+                      X.is_capital(X.first_code(F.col("before")), F.col("before")).alias("before_capital"),
                       *[X.tail(lower, n).alias(f"tail{n}") for n in tails]))
     tagged = probed.select(
-        "doc_id", "sent_id", "pos_in_sent", "text", "lower", "stop", "code", *tails.values(),
-        X.part_of_speech(code, lower, tails, at, F.col("closed_pos")).alias("pos"),
-        X.word_in_chunk(F.col("before_code"), F.col("before_lower"), at - 1, F.col("before_closed")).alias("before_np"))
+        "doc_id", "sent_id", "pos_in_sent", "text", "lower", "stop", "letter", *tails.values(),
+        X.part_of_speech(code, F.col("letter"), F.col("capital"), lower, tails, at, F.col("closed_pos")).alias("pos"),
+        X.word_in_chunk(F.col("before_letter"), F.col("before_capital"), F.col("before_lower"), at - 1, F.col("before_closed")).alias("before_np"))
     inside = X.in_chunk(F.col("pos"))
     return tagged.select(
         "doc_id", "sent_id", "pos_in_sent",
         (F.shiftleft(F.col("sent_id").cast("bigint"), SENTENCE_SHIFT) + at).alias("tok_id"),
         "text", "lower", X.lemma(lower, tails, F.col("pos")).alias("lemma"), "pos",
-        X.is_letter(code).alias("is_alpha"),
+        F.col("letter").alias("is_alpha"),
         F.col("stop").isNotNull().alias("is_stop"),
         inside.alias("in_np"),
         (inside & ((at == 0) | ~F.col("before_np"))).alias("np_start"))

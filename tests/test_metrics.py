@@ -3,7 +3,9 @@
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
+from readgrade.functions import text as X
 from readgrade.operators import lexicon as L, metrics as M, tokens as T
 from readgrade.plans.corpus import metrics_of
 
@@ -148,7 +150,7 @@ def test_lexical_profile_edges(spark, wordlist):
     tokens = T.tokens(docs)
     graded = L.grade_forms(L.mark_hot(L.word_forms(tokens)), wordlist)
     limits = spark.createDataFrame([(1, 2000), (2, 0)], "doc_id bigint, max_rank bigint")
-    rows = {r["doc_id"]: r for r in L.lexical_profile(tokens, graded, limits).collect()}
+    rows = {r["doc_id"]: r for r in L.lexical_profile(tokens, graded, limits, M.document_counts(tokens, graded)).collect()}
     assert rows[1]["total_tokens"] == 6 and rows[1]["content_tokens"] == 4 and rows[1]["out_of_band_count"] == 2
     assert [w.split(" ")[0] for w in rows[1]["out_of_band_tokens"]] == ["Word", "word"]
     assert rows[2]["total_tokens"] == 0 and rows[2]["out_of_band_tokens"] == []
@@ -165,3 +167,16 @@ def test_looser_band_flags_no_more(spark, wordlist):
 
     counts = [flagged(limit) for limit in (1, 100, 6000, 8000, 200_000)]
     assert counts == sorted(counts, reverse=True) and counts[-1] == 0
+
+
+def test_other_scripts_numbers_and_spaces(spark):
+    """Literal expectations, written by hand."""
+    docs = spark.createDataFrame([
+        (1, "Привет мир. Costs 3.14 or 1,000.50 now! They\u00a0go.\u3000Ok?"), (2, "v1.2.3 ends. É Ñandú §")], "doc_id bigint, text string")
+    assert [r["sentence"] for r in T.sentences(docs).orderBy("doc_id", "sent_id").collect()] == [
+        "Привет мир.", "Costs 3.14 or 1,000.50 now!", "They\u00a0go.", "Ok?", "v1.2.3 ends.", "É Ñandú §"]
+    found = T.tokens(docs).orderBy("doc_id", "tok_id").collect()
+    assert [(r["text"], r["pos"]) for r in found if r["doc_id"] == 2] == [
+        ("v", "NOUN"), ("1.2.3", "NUM"), ("ends", "NOUN"), (".", "PUNCT"), ("É", "NOUN"), ("Ñandú", "PROPN"), ("§", "PUNCT")]
+    assert [r["text"] for r in found if r["doc_id"] == 1 and r["is_alpha"]] == ["Привет", "мир", "Costs", "or", "now", "They", "go", "Ok"]
+    assert spark.range(1).select(X.strip(F.lit("\u3000 a b\u00a0"))).first()[0] == "a b"
