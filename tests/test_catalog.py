@@ -6,9 +6,9 @@ import __spark_entry__ as entry
 
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 FITTED = {"ml10_forest", "ml11_logistic", "ml12_model_choice", "ml13_calibrated", "ml15_importance", "ml16_predict",
-          "ml17_saved_model", "ml18_regressor", "ml20_training_flow"}
+          "ml17_saved_model", "ml18_regressor"}
 # full-size forests, fitted many times over: test_training covers them with small settings, tools/check.py as they are
-SLOW = {"ml12_model_choice", "ml13_calibrated", "ml17_saved_model", "ml20_training_flow"}
+SLOW = {"ml12_model_choice", "ml13_calibrated", "ml17_saved_model"}
 
 
 @pytest.fixture(scope="module")

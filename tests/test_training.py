@@ -108,3 +108,11 @@ def test_calibration(labelled, tmp_path):
 def test_untrained(labelled):
     row = CL.predict(None, labelled).first()
     assert (row["predicted_level"], row["confidence"]) == ("B1.1", 0.5)
+
+
+def test_flow_from_table_to_saved_model(labelled, tmp_path):
+    assert CL.train_and_save(labelled.drop("ARI"), str(tmp_path / "none")) is None
+    model, predicted = CL.train_and_save(labelled, str(tmp_path / "flow"))
+    first = check(predicted, 18)
+    loaded = CL.Calibrated.load(str(tmp_path / "flow")) if isinstance(model, CL.Calibrated) else CL.PipelineModel.load(str(tmp_path / "flow"))
+    assert first == check(CL.predict(loaded, predicted.drop("scores", "predicted_level", "confidence")), 18)
