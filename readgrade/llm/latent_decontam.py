@@ -105,17 +105,19 @@ def encode(docs: DataFrame, id: str, text: str, bench: Benchmark) -> DataFrame:
     return docs.select(F.col(id), F.col(text).cast("string")).mapInArrow(run, f"`{id}` {kind}, places binary, df binary")
 
 
-def added(parts: DataFrame, length: int, pieces: int = 64) -> np.ndarray:
-    """The sum of all arrays of doubles in the one binary column: cut into pieces, added by piece after a shuffle."""
-    size = -(-length // pieces)
+PIECES, PIECE_ROWS = 64, "k long, piece binary"
+
+
+def pieces(whole: np.ndarray) -> pa.RecordBatch:
+    """An array of doubles cut into PIECES rows (k, piece)."""
+    flat = np.asarray(whole, np.float64).ravel()
+    size = -(-len(flat) // PIECES)
+    return pa.RecordBatch.from_arrays([pa.array(range(PIECES), pa.int64()), pa.array(
+        [flat[k * size:(k + 1) * size].tobytes() for k in range(PIECES)], pa.binary())], names=["k", "piece"])
 
-    def cut(batches):
-        for batch in batches:
-            for blob in batch.column(0).to_pylist():
-                whole = np.frombuffer(blob, np.float64)
-                yield pa.RecordBatch.from_arrays([pa.array(range(pieces), pa.int64()), pa.array(
-                    [whole[k * size:(k + 1) * size].tobytes() for k in range(pieces)], pa.binary())], names=["k", "piece"])
 
+def added(parts: DataFrame, length: int) -> np.ndarray:
+    """The sum of all arrays in a table of pieces, added by piece after a shuffle."""
     def add(batches):
         held: dict = {}
         for batch in batches:
@@ -125,8 +127,7 @@ def added(parts: DataFrame, length: int, pieces: int = 64) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array([x.tobytes() for x in held.values()], pa.binary())],
                                              names=["k", "piece"])
 
-    schema = "k long, piece binary"
-    rows = parts.mapInArrow(cut, schema).repartition("k").mapInArrow(add, schema).collect()
+    rows = parts.repartition("k").mapInArrow(add, PIECE_ROWS).collect()
     out = [np.frombuffer(r["piece"], np.float64) for r in sorted(rows, key=lambda r: r["k"])]
     return np.concatenate(out) if out else np.zeros(length)
 
@@ -157,9 +158,9 @@ def projected(coded: DataFrame, weights: np.ndarray, kind, width: int) -> np.nda
             own = rows[passage, column]
             for k in range(width):
                 total[:, k] += np.bincount(own, y[k, passage], size)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["total"])
+        yield pieces(total)
 
-    return added(coded.select("id", "places").mapInArrow(run, "total binary"), size * width).reshape(size, width)
+    return added(coded.select("id", "places").mapInArrow(run, PIECE_ROWS), size * width).reshape(size, width)
 
 
 def latent(coded: DataFrame, weights: np.ndarray, kind, rank: int = RANK) -> np.ndarray:
@@ -328,7 +329,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text:
             one = spark.createDataFrame([], schema)
         else:
             coded = stored(encode(docs, id, text, bench).withColumnRenamed(id, "id"), "coded-texts")
-            df = added(coded.where("df is not null").select("df").mapInArrow(_as_doubles, "df binary"), bench.size)
+            df = added(coded.where("df is not null").select("df").mapInArrow(_df_pieces, PIECE_ROWS), bench.size)
             weights = np.log((df[0] + 1) / (df + 1))
             weights[0] = 0.0
             texts = coded.where("df is null and octet_length(places) > 0").select("id", "places")
@@ -350,10 +351,10 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", **opti
     return keyed.join(checked_broadcast(leaks), key, "left_anti").drop(key)
 
 
-def _as_doubles(batches):
+def _df_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        yield pa.RecordBatch.from_arrays([pa.array([np.frombuffer(x, np.int64).astype(np.float64).tobytes()
-                                                    for x in batch.column(0).to_pylist()], pa.binary())], names=["df"])
+        for blob in batch.column(0).to_pylist():
+            yield pieces(np.frombuffer(blob, np.int64))
 
 
 def op9_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
