@@ -64,17 +64,13 @@ def test_stored_counts_spare_the_text(spark, sf):
         spark.conf.set("spark.readgrade.partitions", asked)
 
 
-def test_nothing_is_left_behind(spark, tmp_path):
-    import os
+def test_nothing_is_left_behind(spark, tmp_path, monkeypatch):
     from readgrade.plans import storage
-    spark.conf.set(storage.SETTING, str(tmp_path))
-    try:
-        storage.materialise(spark.range(3), "x")
-        assert os.listdir(tmp_path / "readgrade")
-        storage.release(spark)
-        assert os.listdir(tmp_path / "readgrade") == []
-    finally:
-        spark.conf.unset(storage.SETTING)
+    monkeypatch.setattr(storage, "_home", lambda _: str(tmp_path / "own"))
+    assert storage.materialise(spark.range(3), "x").count() == 3
+    assert (tmp_path / "own").exists()
+    storage.release(spark)
+    assert not (tmp_path / "own").exists()
 
 
 def test_entry(spark, sf):
