@@ -1,6 +1,6 @@
 """Documents to a training mixture: STAGES in order, each stored as Parquet and read again as the next one's input."""
 
-from readgrade.llm import byte_cnn, exact_dedup, latent_decontam, mixing, near_copies as near
+from readgrade.llm import byte_cnn, exact_dedup, latent_decontam, mixing, simhash
 from readgrade.llm.common import stored, table
 
 
@@ -15,8 +15,8 @@ def exact_copies(spark, docs, sf_dir):
 
 
 def near_copies(spark, docs, sf_dir):
-    """Of texts connected by a similarity of 0.8 on five-word shingles the one with the smallest id stays."""
-    return near.drop_near_copies(docs)
+    """Of texts whose fingerprints of three-word shingles are connected over three differing bits or fewer, the one with the smallest id stays."""
+    return simhash.drop_near_copies(docs, width=3, radius=3)
 
 
 def decontamination(spark, docs, sf_dir):
