@@ -9,7 +9,7 @@ from readgrade.llm.queries import ORACLES, QUERIES
 def test_stages_in_their_order():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "exact_copies", "near_copies", "decontamination", "mixture"]
     assert corpus_pipeline.ORACLE_SQL is None
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11)) and set(ORACLES) <= set(QUERIES)
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14)) and set(ORACLES) <= set(QUERIES)
 
 
 def test_stages_take_out_what_is_planted(spark, tmp_path, rng, monkeypatch):
