@@ -1,7 +1,8 @@
 """Registered queries of the operators and their SQL counterparts."""
 
 from readgrade.llm import (
-    byte_cnn, exact_dedup, kn_toxicity, language_id, latent_decontam, line_dedup, lm_scoring, mixing, simhash, token_counts)
+    byte_cnn, conversations, exact_dedup, hard_negatives, kn_toxicity, language_id, latent_decontam, line_dedup, lm_scoring, mixing, simhash, token_counts,
+    topk)
 
 QUERIES = {
     "op1_lm_scoring": lm_scoring.op1_lm_scoring,
@@ -14,6 +15,11 @@ QUERIES = {
     "op8_site_lines": line_dedup.op8_site_lines,
     "op9_latent_decontamination": latent_decontam.op9_latent_decontamination,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+    "op11_conversation_repair": conversations.op11_conversation_repair,
+    "op12_threshold_topk": topk.op12_threshold_topk,
+    "op13_hard_negatives": hard_negatives.op13_hard_negatives,
 }
 ORACLES = {"op5_temperature_mixing": mixing.OP5_SQL, "op8_site_lines": line_dedup.OP8_SQL,
-           "op10_exact_dedup": exact_dedup.OP10_SQL}
+           "op10_exact_dedup": exact_dedup.OP10_SQL,
+           "op11_conversation_repair": conversations.OP11_SQL, "op12_threshold_topk": topk.OP12_SQL,
+           "op13_hard_negatives": hard_negatives.OP13_SQL}
