@@ -68,7 +68,13 @@ class Data:
 
     @cached_property
     def counts(self) -> DataFrame:
-        return materialise(M.with_blank_counts(M.document_counts(self.tokens, self.lexicon), self.docs), "counts")
+        return materialise(flow.counts_of(self.tokens, self.lexicon, self.docs), "counts")
+
+    @cached_property
+    def listed_counts(self) -> DataFrame:
+        """Counts with the classes of the list, in both variants' queries."""
+        lexicon = flow.build_lexicon(self.forms, self.wordlist, list_tags=True)
+        return materialise(flow.counts_of(self.tokens, lexicon, self.docs), "listed-counts")
 
     def metrics(self, variant: str) -> DataFrame:
         return M.metrics(self.counts, variant)

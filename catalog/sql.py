@@ -49,8 +49,16 @@ def strip(x: str) -> str:
     return f"regexp_replace({x},'^[{X.SPACE}]+|[{X.SPACE}]+$','','g')"
 
 
-def aside(x: str) -> str:
-    return f"regexp_replace({x},'([0-9])[.]([0-9])',{q(chr(92) + '1' + X.ASIDE + chr(92) + '2')},'g')"
+def apart(x: str) -> str:
+    """Private characters before clitics; three turns, as matches that share a character are found one after another."""
+    for _ in range(3):
+        x = f"regexp_replace({x},{q(f'([{LET}])({X.CLITIC_ENDS})($|[^{LET}])')},{q(f'{chr(92)}1{X.CLITIC}{chr(92)}2{chr(92)}3')},'g')"
+    stems = "|".join(C.CLITIC_STEMS)
+    return f"regexp_replace({x},{q(f'(?i)(^|[^{LET}])({stems})({X.CLITIC}n[{chr(39)}’]t)')},{q(f'{chr(92)}1{X.STEM}{chr(92)}2{chr(92)}3')},'g')"
+
+
+def joint(piece: str, following: str) -> str:
+    return "(" + " OR ".join(f"(regexp_matches({piece},{q(a)}) AND regexp_matches({following},{q(b)}))" for a, b in X.JOINTS) + ")"
 
 
 def hits(x: str, pattern: str) -> str:
@@ -91,7 +99,8 @@ def label_by_number(n: str) -> str:
 
 
 ALNUM = f"[{LET}0-9]"
-_tags = {w: t for t, listed in reversed(C.CLOSED_CLASSES.items()) for w in listed}
+LETTER_COUNT = f"length(regexp_replace(text,{q('[^' + LET + '0-9]+')},'','g'))::BIGINT"
+_tags = {w: t for t, listed in reversed(C.CLOSED_CLASSES.items()) for w in listed} | C.CLITICS
 _suffix = "CASE " + " ".join(
     f"WHEN {' OR '.join(f'suffix(lower,{q(e)})' for e in ends)} THEN {q(t)}" for t, ends in C.OPEN_CLASS_SUFFIXES) + " END"
 _content = "(" + ",".join(q(p) for p in C.CONTENT_POS["profile"]) + ")"
@@ -99,20 +108,7 @@ _content_h = "(" + ",".join(q(p) for p in C.CONTENT_POS["model"]) + ")"
 _np = "(" + ",".join(q(p) for p in X.CHUNK_POS) + ")"
 
 
-def _token_ctes(suffix: str, docs: str) -> dict[str, tuple[list[str], str]]:
-    return {
-        f"sents{suffix}": ([docs], f"""
-            SELECT doc_id, sent_id, {strip(f"replace(raw,{q(X.ASIDE)},'.')")} AS sentence FROM (
-              SELECT doc_id, unnest(seg) AS raw, generate_subscripts(seg,1)-1 AS sent_id FROM (
-                SELECT doc_id, regexp_extract_all({aside(aside('text'))},{q(X.SENTENCE)}) AS seg FROM {docs}))
-            WHERE regexp_matches(raw,{q(ALNUM)})"""),
-        f"raw_tokens{suffix}": ([f"sents{suffix}"], f"""
-            SELECT doc_id, sent_id, unnest(w) AS text, generate_subscripts(w,1)-1 AS pos_in_sent FROM (
-              SELECT doc_id, sent_id, regexp_extract_all(sentence,{q(X.TOKEN)}) AS w FROM sents{suffix})"""),
-        f"tokens{suffix}": ([f"raw_tokens{suffix}", "closed"], f"""
-            SELECT *, in_np AND NOT coalesce(lag(in_np) OVER (PARTITION BY doc_id, sent_id ORDER BY pos_in_sent), false)
-                   AS np_start
-            FROM (SELECT *, pos IN {_np} AS in_np, CASE
+_lemma = f"""CASE
                 WHEN pos='VERB' AND length(lower)>={C.MIN_SUFFIX_WORD} THEN
                   CASE WHEN suffix(lower,'ing') THEN left(lower,length(lower)-3)
                        WHEN suffix(lower,'ed') THEN left(lower,length(lower)-2) ELSE lower END
@@ -121,31 +117,100 @@ def _token_ctes(suffix: str, docs: str) -> dict[str, tuple[list[str], str]]:
                        WHEN regexp_matches(lower,'(ss|sh|ch|x)es$') THEN left(lower,length(lower)-2)
                        WHEN regexp_matches(lower,'[sui]s$') THEN lower
                        WHEN suffix(lower,'s') THEN left(lower,length(lower)-1) ELSE lower END
-                ELSE lower END AS lemma
-              FROM (SELECT *, CASE WHEN is_alpha THEN coalesce(closed_pos,
+                ELSE lower END"""
+
+
+def _token_ctes(suffix: str, docs: str) -> dict[str, tuple[list[str], str]]:
+    return {
+        f"pieces{suffix}": ([docs], f"""
+            SELECT doc_id, piece, raw, coalesce({joint('raw', 'following')},false) AS joined FROM (
+              SELECT *, lead(raw) OVER (PARTITION BY doc_id ORDER BY piece) AS following FROM (
+                SELECT doc_id, unnest(seg) AS raw, generate_subscripts(seg,1)-1 AS piece FROM (
+                  SELECT doc_id, regexp_extract_all(text,{q(X.SENTENCE)}) AS seg FROM {docs})))"""),
+        f"sents{suffix}": ([f"pieces{suffix}"], f"""
+            SELECT doc_id, sent_id, {strip('raw')} AS sentence FROM (
+              SELECT doc_id, sent_id, string_agg(raw,'' ORDER BY piece) AS raw FROM (
+                SELECT *, sum(CASE WHEN before THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY piece) - 1 AS sent_id FROM (
+                  SELECT *, coalesce(lag(joined) OVER (PARTITION BY doc_id ORDER BY piece),false) AS before FROM pieces{suffix}))
+              GROUP BY doc_id, sent_id)
+            WHERE regexp_matches(raw,{q(ALNUM)})"""),
+        f"n_sents{suffix}": ([docs, f"sents{suffix}"], f"""
+            SELECT doc_id, coalesce(n,0)::BIGINT AS n_sents FROM {docs}
+            LEFT JOIN (SELECT doc_id, count(*) AS n FROM sents{suffix} GROUP BY doc_id) USING (doc_id)"""),
+        f"raw_tokens{suffix}": ([f"sents{suffix}"], f"""
+            SELECT doc_id, sent_id, CASE WHEN prefix(marked,{q(X.CLITIC)}) OR prefix(marked,{q(X.STEM)}) THEN substr(marked,2) ELSE marked END AS text,
+              prefix(marked,{q(X.CLITIC)}) AS clitic, prefix(marked,{q(X.STEM)}) AS stem, pos_in_sent FROM (
+              SELECT doc_id, sent_id, unnest(w) AS marked, generate_subscripts(w,1)-1 AS pos_in_sent FROM (
+                SELECT doc_id, sent_id, regexp_extract_all({apart('sentence')},{q(X.TOKEN)}) AS w FROM sents{suffix}))"""),
+        f"tokens{suffix}": ([f"raw_tokens{suffix}", "closed"], f"""
+            SELECT *, in_np AND NOT coalesce(lag(in_np) OVER (PARTITION BY doc_id, sent_id ORDER BY pos_in_sent), false)
+                   AS np_start
+            FROM (SELECT *, pos IN {_np} AS in_np, {_lemma} AS lemma
+              FROM (SELECT *, CASE WHEN is_alpha THEN coalesce(closed_pos, CASE WHEN stem THEN 'AUX' END,
                         CASE WHEN pos_in_sent>0 AND left(text,1)<>lower(left(text,1)) THEN 'PROPN' END,
                         CASE WHEN length(lower)>={C.MIN_SUFFIX_WORD} THEN {_suffix} END, 'NOUN')
+                      WHEN clitic THEN CASE WHEN lower=chr(39)||'s' AND before_closed='PRON' THEN 'AUX' ELSE closed_pos END
                       WHEN regexp_matches(text,'^[0-9]') THEN 'NUM' ELSE 'PUNCT' END AS pos
-                    FROM (SELECT t.*, lower(text) AS lower, regexp_matches(text,'^[{LET}]') AS is_alpha,
-                                 closed_pos, word IS NOT NULL AS is_stop
-                          FROM raw_tokens{suffix} t LEFT JOIN closed ON lower(text)=word)))"""),
+                    FROM (SELECT *, lag(closed_pos) OVER (PARTITION BY doc_id, sent_id ORDER BY pos_in_sent) AS before_closed
+                      FROM (SELECT t.*, closed_pos, word IS NOT NULL AS is_stop FROM (
+                        SELECT *, CASE WHEN clitic THEN replace(lower(text),'’',chr(39)) ELSE lower(text) END AS lower,
+                          NOT clitic AND regexp_matches(text,'^[{LET}]') AS is_alpha FROM raw_tokens{suffix}) t
+                        LEFT JOIN closed ON lower=word))))"""),
+    }
+
+
+def _graded_ctes(suffix: str) -> dict[str, tuple[list[str], str]]:
+    return {
+        f"lexicon{suffix}": ([f"forms{suffix}", "by_pos", "by_word", "flat", "freq"], f"""
+            SELECT f.lower, f.lemma, f.pos, f.n, fl.level AS flat_level, coalesce(z.zipf,0e0) AS zipf,
+              coalesce(p1.level,p2.level,w1.level,w2.level, CASE WHEN f.pos<>'PROPN' THEN 'C1'
+                ELSE {level_of_zipf('coalesce(nullif(z.zipf,0),zl.zipf,0)')} END) AS level
+            FROM forms{suffix} f LEFT JOIN by_pos p1 ON p1.word=f.lemma AND p1.pos=f.pos
+              LEFT JOIN by_pos p2 ON p2.word=f.lower AND p2.pos=f.pos
+              LEFT JOIN by_word w1 ON w1.word=f.lemma LEFT JOIN by_word w2 ON w2.word=f.lower
+              LEFT JOIN flat fl ON fl.word=f.lemma
+              LEFT JOIN freq z ON z.word=f.lower LEFT JOIN freq zl ON zl.word=f.lemma"""),
+        f"graded_tokens{suffix}": ([f"tokens{suffix}", f"lexicon{suffix}"], f"""
+            SELECT t.*, l.level, l.flat_level, l.zipf, {rank('l.zipf')} AS rank,
+              t.is_alpha AND t.pos IN {_content} AS content, t.is_alpha AND t.pos IN {_content_h} AS content_h,
+              {score('l.level', 4)} AS score, {score('l.flat_level', 0)} AS flat_score,
+              row_number() OVER (PARTITION BY t.doc_id, t.is_alpha ORDER BY l.zipf, t.sent_id, t.pos_in_sent) AS place,
+              count(*) OVER (PARTITION BY t.doc_id, t.is_alpha) AS n_same
+            FROM tokens{suffix} t LEFT JOIN lexicon{suffix} l ON l.lower=t.lower AND l.lemma=t.lemma AND l.pos=t.pos AND t.is_alpha"""),
+        f"counts{suffix}": ([f"graded_tokens{suffix}"], f"""SELECT doc_id,
+            count(*) FILTER (pos<>'PUNCT' AND NOT clitic) AS n_words,
+            sum(length(regexp_replace(text,'[.,{chr(39) * 2}’]','','g'))) FILTER (pos<>'PUNCT')::BIGINT AS n_letters,
+            count(*) FILTER (is_alpha) AS n_alpha, count(DISTINCT sent_id) AS n_sents,
+            count(*) FILTER (pos='VERB') AS n_verbs, count(DISTINCT lemma) FILTER (pos='VERB') AS n_verb_types,
+            count(DISTINCT pos) FILTER (is_alpha) AS n_pos_alpha, count(DISTINCT pos) AS n_pos,
+            count(*) FILTER (in_np) AS n_np, count(*) FILTER (np_start) AS n_chunks,
+            count(*) FILTER (content) AS n_content, coalesce(sum(score) FILTER (content),0)::BIGINT AS sum_score,
+            count(*) FILTER (content AND score<=2) AS n_a, count(*) FILTER (content AND score>=3) AS n_b,
+            count(*) FILTER (content_h AND flat_level IS NOT NULL) AS n_found,
+            coalesce(sum(flat_score) FILTER (content_h AND flat_level IS NOT NULL),0)::BIGINT AS sum_flat,
+            count(*) FILTER (content_h AND prefix(flat_level,'A')) AS n_flat_a,
+            count(*) FILTER (content_h AND prefix(flat_level,'B')) AS n_flat_b,
+            count(*) FILTER (is_alpha AND (n_same<=3 OR place>3)) AS n_kept,
+            coalesce(sum(rank) FILTER (is_alpha AND (n_same<=3 OR place>3)),0)::BIGINT AS kept_rank,
+            sum(10e0-zipf) FILTER (is_alpha AND (n_same<=3 OR place>3)) AS kept_inverse
+            FROM graded_tokens{suffix} GROUP BY doc_id"""),
     }
 
 
-def _metric_select(variant: str) -> str:
+def _metric_select(variant: str, counts: str = "counts") -> str:
     if variant == "profile":
         return f"""SELECT doc_id, {ari('n_letters', 'n_words', 'n_sents')} AS ARI,
             {div('sum_score', 'n_content')} AS AvrDiff, {div('n_b', 'greatest(1,n_a)')} AS BperA,
             CASE WHEN n_verbs>0 THEN n_verb_types/sqrt(n_verbs)*2 ELSE 0e0 END AS CVV1,
             {div('kept_rank', 'n_kept')} AS AvrFreqRank, {div('n_verbs', 'greatest(1,n_sents)')} AS VperSent,
             n_pos_alpha::DOUBLE AS POStypes, {div('n_np', 'n_chunks')} AS LenNP,
-            n_alpha AS word_count, n_sents AS sentence_count FROM counts"""
+            n_alpha AS word_count, n_sents AS sentence_count FROM {counts}"""
     return f"""SELECT doc_id, {ari('n_letters', 'n_words', 'n_sents')} AS ARI,
             {div('sum_flat', 'n_found')} AS AvrDiff, {div('n_flat_b', 'n_flat_a')} AS BperA,
             CASE WHEN n_verbs>0 THEN n_verb_types/sqrt(2*n_verbs) ELSE 0e0 END AS CVV1,
             {div('kept_inverse', 'n_kept')} AS AvrFreqRank, {div('n_verbs', 'n_sents')} AS VperSent,
             n_pos::DOUBLE AS POStypes, {div('n_np', 'n_sents')} AS LenNP,
-            n_alpha AS word_count, n_sents AS sentence_count FROM counts"""
+            n_alpha AS word_count, n_sents AS sentence_count FROM {counts}"""
 
 
 def _with_blanks(name: str) -> str:
@@ -156,7 +221,7 @@ def _with_blanks(name: str) -> str:
 CTES: dict[str, tuple[list[str], str]] = {
     "docs_en": ([], "SELECT doc_id, text FROM documents WHERE lang='en'"),
     "docs_all": ([], "SELECT doc_id, text FROM documents"),
-    "closed": ([], values("closed", ["word", "closed_pos"], [(w, _tags.get(w)) for w in dict.fromkeys(C.STOP_WORDS)])),
+    "closed": ([], values("closed", ["word", "closed_pos"], [(w, _tags.get(w)) for w in dict.fromkeys([*C.STOP_WORDS, *C.CLITICS])])),
     **_token_ctes("", "docs_en"),
     **_token_ctes("_all", "docs_all"),
     "forms": (["tokens"], "SELECT lower, lemma, pos, count(*) AS n FROM tokens WHERE is_alpha GROUP BY ALL"),
@@ -180,43 +245,24 @@ CTES: dict[str, tuple[list[str], str]] = {
               coalesce(nullif(regexp_extract(c,'^([ABC][12])',1),''),c) AS level
               FROM (SELECT *, replace(upper({strip('cefr')}),' ','') AS c FROM wordlist))
             WHERE word<>'' AND level<>'' GROUP BY word"""),
-    "lexicon": (["forms", "by_pos", "by_word", "flat", "freq"], f"""
-            SELECT f.lower, f.lemma, f.pos, f.n, fl.level AS flat_level, coalesce(z.zipf,0e0) AS zipf,
-              coalesce(p1.level,p2.level,w1.level,w2.level, CASE WHEN f.pos<>'PROPN' THEN 'C1'
-                ELSE {level_of_zipf('coalesce(nullif(z.zipf,0),zl.zipf,0)')} END) AS level
-            FROM forms f LEFT JOIN by_pos p1 ON p1.word=f.lemma AND p1.pos=f.pos
-              LEFT JOIN by_pos p2 ON p2.word=f.lower AND p2.pos=f.pos
-              LEFT JOIN by_word w1 ON w1.word=f.lemma LEFT JOIN by_word w2 ON w2.word=f.lower
-              LEFT JOIN flat fl ON fl.word=f.lemma
-              LEFT JOIN freq z ON z.word=f.lower LEFT JOIN freq zl ON zl.word=f.lemma"""),
-    "graded_tokens": (["tokens", "lexicon"], f"""
-            SELECT t.*, l.level, l.flat_level, l.zipf, {rank('l.zipf')} AS rank,
-              t.is_alpha AND t.pos IN {_content} AS content, t.is_alpha AND t.pos IN {_content_h} AS content_h,
-              {score('l.level', 4)} AS score, {score('l.flat_level', 0)} AS flat_score,
-              row_number() OVER (PARTITION BY t.doc_id, t.is_alpha ORDER BY l.zipf, t.sent_id, t.pos_in_sent) AS place,
-              count(*) OVER (PARTITION BY t.doc_id, t.is_alpha) AS n_same
-            FROM tokens t LEFT JOIN lexicon l ON l.lower=t.lower AND l.lemma=t.lemma AND l.pos=t.pos AND t.is_alpha"""),
-    "surface_ari": (["docs_en"], f"""SELECT doc_id, {ari('l', 'w', 's')} AS ARI FROM (SELECT doc_id,
-            length(regexp_replace(text,{q('[^' + LET + '0-9]+')},'','g')) AS l, {hits('text', X.WORD_OR_NUMBER)} AS w,
-            {hits('text', X.SENTENCE_START)} AS s FROM docs_en)"""),
-    "counts": (["graded_tokens"], """SELECT doc_id,
-            count(*) FILTER (pos<>'PUNCT') AS n_words, sum(length(text)) FILTER (pos<>'PUNCT')::BIGINT AS n_letters,
-            count(*) FILTER (is_alpha) AS n_alpha, count(DISTINCT sent_id) AS n_sents,
-            count(*) FILTER (pos='VERB') AS n_verbs, count(DISTINCT lemma) FILTER (pos='VERB') AS n_verb_types,
-            count(DISTINCT pos) FILTER (is_alpha) AS n_pos_alpha, count(DISTINCT pos) AS n_pos,
-            count(*) FILTER (in_np) AS n_np, count(*) FILTER (np_start) AS n_chunks,
-            count(*) FILTER (content) AS n_content, coalesce(sum(score) FILTER (content),0)::BIGINT AS sum_score,
-            count(*) FILTER (content AND score<=2) AS n_a, count(*) FILTER (content AND score>=3) AS n_b,
-            count(*) FILTER (content_h AND flat_level IS NOT NULL) AS n_found,
-            coalesce(sum(flat_score) FILTER (content_h AND flat_level IS NOT NULL),0)::BIGINT AS sum_flat,
-            count(*) FILTER (content_h AND prefix(flat_level,'A')) AS n_flat_a,
-            count(*) FILTER (content_h AND prefix(flat_level,'B')) AS n_flat_b,
-            count(*) FILTER (is_alpha AND (n_same<=3 OR place>3)) AS n_kept,
-            coalesce(sum(rank) FILTER (is_alpha AND (n_same<=3 OR place>3)),0)::BIGINT AS kept_rank,
-            sum(10e0-zipf) FILTER (is_alpha AND (n_same<=3 OR place>3)) AS kept_inverse
-            FROM graded_tokens GROUP BY doc_id"""),
+    **_graded_ctes(""),
+    **_graded_ctes("_listed"),
+    "surface": (["docs_en", "n_sents"], f"""SELECT doc_id, text, n_sents, {LETTER_COUNT} AS n_letters,
+            {hits(apart('text'), X.WORD_OR_NUMBER)} AS n_words FROM docs_en JOIN n_sents USING (doc_id)"""),
+    "surface_ari": (["surface"], f"SELECT doc_id, {ari('n_letters', 'n_words', 'n_sents')} AS ARI FROM surface"),
     "found_profile": (["counts"], _metric_select("profile")),
     "found_model": (["counts"], _metric_select("model")),
+    "tokens_listed": (["tokens", "listed"], f"""
+            SELECT *, in_np AND NOT coalesce(lag(in_np) OVER (PARTITION BY doc_id, sent_id ORDER BY pos_in_sent), false) AS np_start
+            FROM (SELECT *, {_lemma} AS lemma, pos IN {_np} AS in_np FROM (
+              SELECT t.* EXCLUDE (pos, lemma, in_np, np_start), CASE WHEN t.is_alpha AND t.pos NOT IN ({','.join(q(p) for p in [*C.CLOSED_CLASSES, 'PROPN'])})
+                THEN coalesce(b.pos,t.pos) ELSE t.pos END AS pos
+              FROM tokens t LEFT JOIN (SELECT word, arg_min(pos,seq) AS pos FROM listed GROUP BY word) b ON b.word=t.lower))"""),
+    "forms_listed": (["tokens_listed"], "SELECT lower, lemma, pos, count(*) AS n FROM tokens_listed WHERE is_alpha GROUP BY ALL"),
+    "found_profile_listed": (["counts_listed"], _metric_select("profile", "counts_listed")),
+    "found_model_listed": (["counts_listed"], _metric_select("model", "counts_listed")),
+    "metrics_profile_listed": (["docs_en", "found_profile_listed"], _with_blanks("found_profile_listed")),
+    "metrics_model_listed": (["docs_en", "found_model_listed"], _with_blanks("found_model_listed")),
     "metrics_profile": (["docs_en", "found_profile"], _with_blanks("found_profile")),
     "metrics_model": (["docs_en", "found_model"], _with_blanks("found_model")),
     "features": (["metrics_profile"], f"""SELECT 'Text_'||doc_id||'.txt' AS filename, *, {text_level('ARI')} AS predict_level
@@ -255,12 +301,12 @@ CTES: dict[str, tuple[list[str], str]] = {
             LEFT JOIN (SELECT doc_id, count(*) AS n, list(text||' (rank≈'||rank||')' ORDER BY first_tok) AS words
                        FROM spelled GROUP BY doc_id) s USING (doc_id)"""),
     # light result table over all languages
-    "raw_results": ([], f"""SELECT doc_id, lang, source, text, doc_id//3 AS request_id, doc_id%3+1 AS attempt,
+    "raw_results": (["n_sents_all"], f"""SELECT doc_id, lang, source, text, doc_id//3 AS request_id, doc_id%3+1 AS attempt,
             {label_by_number('(doc_id//3)%9')} AS target_level, 100+25*((doc_id//3)%5) AS wanted_words,
             CASE WHEN doc_id%2=0 THEN 'narrative' ELSE 'expository' END AS text_type,
             lang||' texts collected from the source '||source AS topic, {hits('text', f'[^{X.SPACE}]+')} AS word_count,
-            length(regexp_replace(text,'[^{LET}0-9]+','','g')) AS n_letters, {hits('text', X.WORD_OR_NUMBER)} AS n_words,
-            {hits('text', X.SENTENCE_START)} AS n_sents FROM documents"""),
+            {LETTER_COUNT} AS n_letters, {hits(apart('text'), X.WORD_OR_NUMBER)} AS n_words, n_sents
+            FROM documents JOIN n_sents_all USING (doc_id)"""),
     "results": (["raw_results"], f"""SELECT *, {text_level('ARI')} AS predicted_level,
             floor(1e0/(1e0+abs(ARI-7e0))*10000e0+0.5e0)/10000e0 AS confidence, attempt AS attempts,
             {text_level('ARI')}=target_level AND word_count BETWEEN low AND high AS success FROM (

@@ -54,7 +54,7 @@ def s4(d):
 
 @query("t1_blank_guard", """SELECT d.doc_id, coalesce(n_words,0) AS n_words, coalesce(n_sents,0) AS n_sents,
        coalesce(n_verbs,0) AS n_verbs, coalesce(n_pos,0) AS n_pos FROM docs_all d LEFT JOIN (
-         SELECT doc_id, count(*) FILTER (pos<>'PUNCT') AS n_words, count(DISTINCT sent_id) AS n_sents,
+         SELECT doc_id, count(*) FILTER (pos<>'PUNCT' AND NOT clitic) AS n_words, count(DISTINCT sent_id) AS n_sents,
          count(*) FILTER (pos='VERB') AS n_verbs, count(DISTINCT pos) AS n_pos FROM tokens_all GROUP BY doc_id)
        USING (doc_id)""", "docs_all", "tokens_all")
 def t1(d):
@@ -64,7 +64,7 @@ def t1(d):
 
 
 @query("t2_tokens", f"""SELECT doc_id, {LONG('sent_id')} AS sent_id, {LONG('pos_in_sent')} AS pos_in_sent, text
-       FROM raw_tokens_all WHERE regexp_matches(text,{Q.q('^' + Q.ALNUM)})""", "raw_tokens_all")
+       FROM raw_tokens_all WHERE clitic OR regexp_matches(text,{Q.q('^' + Q.ALNUM)})""", "raw_tokens_all")
 def t2(d):
     return T.words(T.tokens(d.all_docs)).select(
         "doc_id", F.col("sent_id").cast("bigint"), F.col("pos_in_sent").cast("bigint"), "text")
@@ -123,7 +123,7 @@ def t6(d):
            pos_in_sent - row_number() OVER (PARTITION BY doc_id, sent_id ORDER BY pos_in_sent) AS island
          FROM tokens WHERE in_np) GROUP BY doc_id, sent_id, island""", "tokens")
 def t7(d):
-    return T.noun_chunks(d.tokens).select(
+    return T.noun_chunks(d.docs).select(
         "doc_id", F.col("sent_id").cast("bigint"), F.col("chunk_id").cast("bigint"), "n_alpha", "n_ws")
 
 
@@ -199,10 +199,7 @@ def l11(d):
     return L.frequencies(d.forms).select("word", fixed(X.inverse_zipf(F.col("zipf")), 4).alias("inverse"))
 
 
-@query("l11_without_frequency", f"""SELECT doc_id, {Q.fx('greatest(0e0,10e0-ARI)')} AS inverse
-       FROM (SELECT doc_id, {Q.ari('l', 'w', 's')} AS ARI FROM (SELECT doc_id,
-         length(regexp_replace(text,{Q.q('[^' + Q.LET + '0-9]+')},'','g')) AS l, {Q.hits('text', X.WORD_OR_NUMBER)} AS w,
-         {Q.hits('text', X.SENTENCE_START)} AS s FROM docs_en))""", "docs_en")
+@query("l11_without_frequency", f"SELECT doc_id, {Q.fx('greatest(0e0,10e0-ARI)')} AS inverse FROM surface_ari", "surface_ari")
 def l11b(d):
     return M.readability(d.docs).select("doc_id", fixed(X.inverse_zipf(None, F.col("ARI")), 4).alias("inverse"))
 
@@ -233,13 +230,7 @@ for _number, _column in enumerate(["AvrDiff", "BperA", "CVV1", "AvrFreqRank"], 1
 for _number, _column in enumerate(["VperSent", "POStypes", "LenNP"], 6):
     _metric(f"m{_number}", _column)
 
-_surface = f"""SELECT doc_id, length(regexp_replace(text,{Q.q('[^' + Q.LET + '0-9]+')},'','g'))::BIGINT AS n_letters,
-     {Q.hits('text', X.WORD_OR_NUMBER)} AS n_words, {Q.hits('text', X.SENTENCE_START)} AS n_sents,
-     {Q.hits('text', X.VOWEL_GROUP)} AS n_syll, text FROM docs_en"""
-
-
-@query("m5_ari", f"""SELECT doc_id, n_letters, n_words, n_sents, {Q.fx(Q.ari('n_letters', 'n_words', 'n_sents'))} AS ARI
-       FROM ({_surface})""", "docs_en")
+@query("m5_ari", f"SELECT doc_id, n_letters, n_words, n_sents, {Q.fx(Q.ari('n_letters', 'n_words', 'n_sents'))} AS ARI FROM surface", "surface")
 def m5(d):
     return rounded(M.readability(d.docs), "ARI")
 
@@ -250,6 +241,23 @@ for _variant in M.VARIANTS:
         return rounded(d.metrics(variant).drop("word_count", "sentence_count"), *C.METRICS)
 
 
+for _variant in M.VARIANTS:
+    @query(f"m9_metrics_{_variant}_list_tags" if _variant != "profile" else "m9_metrics_list_tags",
+           f"SELECT doc_id, {METRICS}, word_count, sentence_count FROM metrics_{_variant}_listed", f"metrics_{_variant}_listed")
+    def m9_listed(d, variant=_variant):
+        return rounded(M.metrics(d.listed_counts, variant), *C.METRICS)
+
+
+@query("m5_equals_m9", """SELECT doc_id, n_letters, n_words, n_sents, true AS same FROM surface""", "surface")
+def m5_equals_m9(d):
+    """One ARI: the counts taken from the raw text are those of the tokens, for every document."""
+    counted = d.counts.select("doc_id", *[F.col(c).alias(f"t_{c}") for c in ("n_letters", "n_words", "n_sents")])
+    same = F.lit(True)
+    for c in ("n_letters", "n_words", "n_sents"):
+        same = same & (F.col(c) == F.col(f"t_{c}"))
+    return M.surface_counts(d.docs).join(counted, "doc_id").select("doc_id", "n_letters", "n_words", "n_sents", same.alias("same"))
+
+
 @query("m10_counts", "SELECT doc_id, word_count, sentence_count FROM metrics_profile", "metrics_profile")
 def m10(d):
     return d.metrics("profile").select("doc_id", "word_count", "sentence_count")
@@ -261,7 +269,7 @@ def m10(d):
        {Q.fx('''CASE WHEN n_words>0 THEN 0.0588e0*(n_letters*100e0/n_words)-0.296e0*(n_sents*100e0/n_words)-15.8e0
              ELSE 0e0 END''')} AS coleman_liau,
        {Q.hits('text', f'[^{X.SPACE}]+')} AS n_ws_words, len(string_split(text,'.'))::BIGINT AS n_dot_pieces
-       FROM ({_surface})""", "docs_en")
+       FROM (SELECT *, {Q.hits('text', X.VOWEL_GROUP)} AS n_syll FROM surface)""", "surface")
 def m11(d):
     return rounded(M.surface_features(d.docs), "flesch", "ARI", "coleman_liau")
 
@@ -273,7 +281,7 @@ def m12(d):
     return rounded(M.variety(d.tokens), "type_token_ratio", "mean_chunk")
 
 
-@query("m13_sentence_length", f"""SELECT doc_id, w AS word_count, {Q.fx(Q.div('w', 's'))} AS avg_sentence_length FROM (
-       SELECT doc_id, {Q.hits('text', f'[^{X.SPACE}]+')} AS w, {Q.hits('text', X.SENTENCE_START)} AS s FROM docs_en)""", "docs_en")
+@query("m13_sentence_length", f"""SELECT doc_id, w AS word_count, {Q.fx(Q.div('w', 'n_sents'))} AS avg_sentence_length FROM (
+       SELECT doc_id, {Q.hits('text', f'[^{X.SPACE}]+')} AS w, n_sents FROM surface)""", "surface")
 def m13(d):
     return rounded(M.sentence_length(d.docs), "avg_sentence_length")

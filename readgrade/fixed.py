@@ -85,6 +85,14 @@ CLOSED_CLASSES = {
     "NUM": ["one", "two", "three", "four", "five", "six", "seven", "eight", "nine", "ten",
             "hundred", "thousand", "million"],
 }
+# clitics, with a straight apostrophe; 's after a pronoun is a verb
+CLITICS = {"n't": "PART", "'ll": "AUX", "'re": "AUX", "'ve": "AUX", "'m": "AUX", "'d": "AUX", "'s": "PART"}
+# what is left of a verb before n't where it is no word of its own
+CLITIC_STEMS = ["ca", "wo", "sha", "ai"]
+# a point after these ends no sentence: before a name, and before a small letter, a digit or a comma
+TITLES = ["mr", "mrs", "ms", "messrs", "dr", "prof", "st", "rev", "hon", "gen", "col", "capt", "lt", "sgt", "gov", "sen"]
+ABBREVIATIONS = ["etc", "vs", "approx", "inc", "ltd", "co", "corp", "dept", "est", "fig", "figs", "vol", "jr", "sr", "ave", "cf", "al",
+                 "jan", "feb", "aug", "sept", "oct", "nov", "dec"]
 EXTRA_STOP_WORDS = ["very", "just", "also", "too", "only", "here", "there", "then", "now",
                     "so", "more", "most", "much", "many", "how", "why", "again", "once", "own",
                     "same", "other", "few", "up", "down", "out", "off"]

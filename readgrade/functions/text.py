@@ -12,13 +12,16 @@ LETTERS = r"\p{L}"
 # white space of any kind; the short class of the engines covers ASCII only
 SPACE = r"\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 WORD = f"[{LETTERS}]+"
+# private characters before a clitic and before the rest of a verb in front of one
+CLITIC, STEM = "\uE000", "\uE001"
 # a number keeps the points and commas between its digits
-TOKEN = f"[{LETTERS}]+|[0-9]+(?:[.,][0-9]+)*|[^{LETTERS}0-9{SPACE}]"
-WORD_OR_NUMBER = f"[{LETTERS}]+|[0-9]+"
+NUMBER = "[0-9]+(?:[.,][0-9]+)*"
+TOKEN = f"{CLITIC}[{LETTERS}]*['’][{LETTERS}]+|{STEM}[{LETTERS}]+|[{LETTERS}]+|{NUMBER}|[^{LETTERS}0-9{SPACE}]"
+# a word with its clitics counts once
+WORD_OR_NUMBER = f"[{LETTERS}]+(?:{CLITIC}[{LETTERS}]*['’][{LETTERS}]+)*|{NUMBER}"
+CLITIC_ENDS = "[nN]['’][tT]|['’](?i:" + "|".join(c[1:] for c in C.CLITICS if c[0] == "'") + ")"
 SENTENCE = r"[^.!?]+[.!?]*|[.!?]+"
-# a point between digits ends no sentence: it stands aside as a private character while sentences are cut
-POINT_IN_NUMBER, ASIDE = r"([0-9])\.([0-9])", "\uE000"
-SENTENCE_START = f"[{LETTERS}0-9][^.!?]*"
+CUT = "\uE000\uE001"
 VOWEL_GROUP = "[aeiouyAEIOUYÀ-ÆÈ-ÏÒ-ÖØ-Ýà-æè-ïò-öø-ýÿ]+"
 CHUNK_POS = ["DET", "ADJ", "NOUN", "PROPN"]
 
@@ -28,14 +31,47 @@ def strip(value: Column) -> Column:
     return F.regexp_replace(value, f"^[{SPACE}]+|[{SPACE}]+$", "")
 
 
-def points_aside(text: Column) -> Column:
-    for _ in range(2):  # twice, as matches that share a digit are found in turns
-        text = F.regexp_replace(text, POINT_IN_NUMBER, f"$1{ASIDE}$2")
-    return text
+def _last_word(words: list[str]) -> str:
+    return f"(?i)(?:^|[^{LETTERS}])(?:{'|'.join(words)})[.]\\z"
 
 
-def points_back(text: Column) -> Column:
-    return F.replace(text, F.lit(ASIDE), F.lit("."))
+# end of a piece and start of the next between which no sentence ends
+JOINTS = [
+    (r"[0-9][.]\z", "^[0-9]"),
+    (f"(?:^|[^{LETTERS}])[{LETTERS}][.]\\z", f"^(?:[{LETTERS},;]|[{SPACE}]+[a-z0-9])"),  # U.S. and e.g.
+    (f"(?:^|[^{LETTERS}])[A-HJ-Z][.]\\z", f"^[{SPACE}]+\\p{{Lu}}"),  # initials
+    (_last_word(C.TITLES), f"^[{SPACE}]+[{LETTERS}]"),
+    (_last_word(C.ABBREVIATIONS), f"^[{SPACE}]*[a-z0-9,;]"),
+]
+POSSIBLE_JOINT = f"(?i)(?:[0-9]|(?:^|[^{LETTERS}])(?:[{LETTERS}]|{'|'.join(C.TITLES + C.ABBREVIATIONS)}))[.]\\z"
+TAIL = 12  # holds the longest of them with the character before
+
+
+def sentences_in(text: Column) -> Column:
+    """Pieces that end at full stops, question and exclamation marks, joined again where a point belongs to a number or a short form.
+
+    Only the end of each piece is looked at. Texts without such an end keep their pieces; in the others the ends that count get
+    a mark, and the whole is split at the marks: in proportion to the text, whatever its length.
+    """
+    def joint(piece, following):
+        end, hit = F.substring(piece, -TAIL, TAIL), F.lit(False)
+        for before, after in JOINTS:
+            hit = hit | (end.rlike(before) & following.rlike(after))
+        return piece.endswith(".") & F.coalesce(hit, F.lit(False))
+
+    def joined(pieces):
+        marked = F.transform(pieces, lambda p, i: F.when(joint(p, F.get(pieces, i + 1)), p).otherwise(F.concat(p, F.lit(CUT))))
+        possible = F.exists(pieces, lambda p: p.endswith(".") & F.substring(p, -TAIL, TAIL).rlike(POSSIBLE_JOINT))
+        return F.when(possible, F.split(F.array_join(marked, ""), CUT)).otherwise(pieces)
+
+    return F.get(F.transform(F.array(F.regexp_extract_all(text, F.lit(SENTENCE), 0)), joined), F.lit(0))
+
+
+def clitics_apart(text: Column) -> Column:
+    """A private character before each clitic; only texts with an apostrophe are searched."""
+    marked = F.regexp_replace(text, f"(?<=[{LETTERS}])({CLITIC_ENDS})(?![{LETTERS}])", f"{CLITIC}$1")
+    marked = F.regexp_replace(marked, f"(?i)(?<![{LETTERS}])({'|'.join(C.CLITIC_STEMS)})(?={CLITIC}n['’]t)", f"{STEM}$1")
+    return F.when(text.contains("'") | text.contains("’"), marked).otherwise(text)
 
 
 def matches(value: Column, pattern: str) -> Column:
@@ -50,9 +86,28 @@ def first_code(word: Column) -> Column:
     return F.ascii(word)
 
 
+def plain(marked: Column) -> Column:
+    """A token without the private character in front of it."""
+    code = first_code(marked)
+    return F.when(code.isin(ord(CLITIC), ord(STEM)) & (F.length(marked) > 1), F.substring(marked, 2, 1 << 30)).otherwise(marked)
+
+
+def plain_lower(marked: Column, word: Column) -> Column:
+    """In small letters, clitics with a straight apostrophe."""
+    return F.when(is_clitic(first_code(marked)), F.replace(F.lower(word), F.lit("’"), F.lit("'"))).otherwise(F.lower(word))
+
+
+def is_clitic(code: Column) -> Column:
+    return code == ord(CLITIC)
+
+
+def is_stem(code: Column) -> Column:
+    return code == ord(STEM)
+
+
 def is_letter(code: Column, word: Column) -> Column:
     """A token holds letters only or none, so its first character decides; of other scripts only a single character needs a look."""
-    other = (code > 127) & ((F.length(word) > 1) | word.rlike(f"[{LETTERS}]"))
+    other = (code > 127) & (code != ord(CLITIC)) & ((F.length(word) > 1) | word.rlike(f"[{LETTERS}]"))
     return code.between(65, 90) | code.between(97, 122) | other
 
 
@@ -92,10 +147,11 @@ def suffix_class(lower: Column, tails: dict[int, Column]) -> Column:
 
 
 def part_of_speech(code: Column, letter: Column, capital: Column, lower: Column, tails: dict[int, Column], position: Column,
-                   closed: Column) -> Column:
-    """Closed class, then a capital inside the sentence, then the ending."""
-    known = F.coalesce(closed, F.when((position > 0) & capital, "PROPN"), suffix_class(lower, tails), F.lit("NOUN"))
-    return F.when(letter, known).when(is_digit(code), "NUM").otherwise("PUNCT")
+                   closed: Column, before_closed: Column) -> Column:
+    """Closed class, then a capital inside the sentence, then the ending; 's after a pronoun is a verb."""
+    known = F.coalesce(closed, F.when(is_stem(code), "AUX"), F.when((position > 0) & capital, "PROPN"), suffix_class(lower, tails), F.lit("NOUN"))
+    attached = F.when((lower == "'s") & (before_closed == "PRON"), "AUX").otherwise(closed)
+    return F.when(letter, known).when(is_clitic(code), attached).when(is_digit(code), "NUM").otherwise("PUNCT")
 
 
 def lemma(lower: Column, tails: dict[int, Column], pos: Column) -> Column:
@@ -130,12 +186,12 @@ def word_in_chunk(letter: Column, capital: Column, lower: Column, position: Colu
 # ---- formulas over a whole text, no shuffle --------------------------------
 
 def word_total(text: Column) -> Column:
-    return matches(text, WORD_OR_NUMBER)
+    return matches(clitics_apart(text), WORD_OR_NUMBER)
 
 
 def sentence_total(text: Column) -> Column:
     """Sentences that hold a letter or digit."""
-    return matches(text, SENTENCE_START)
+    return F.size(F.filter(sentences_in(text), lambda s: s.rlike(f"[{LETTERS}0-9]"))).cast("bigint")
 
 
 def letter_total(text: Column) -> Column:

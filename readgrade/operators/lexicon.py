@@ -85,6 +85,24 @@ def frequencies(forms: DataFrame) -> DataFrame:
             .select("word", "n", X.zipf(F.col("n"), total).alias("zipf")))
 
 
+def first_classes(wordlist: DataFrame) -> DataFrame:
+    """word -> class of its first row in the list."""
+    return with_token_pos(clean_list(wordlist)).groupBy("word").agg(F.min_by("pos", "seq").alias("list_pos"))
+
+
+def retag_forms(forms: DataFrame, wordlist: DataFrame) -> DataFrame:
+    """Forms with the class and lemma that the list gives to open-class words; ``tag_pos`` and ``tag_lemma`` hold those of the rules.
+
+    The list meets the vocabulary, never the tokens.
+    """
+    listed = first_classes(wordlist)
+    pos = F.when(F.col("pos").isin(list(C.CLOSED_CLASSES) + ["PROPN"]), F.col("pos")).otherwise(F.coalesce("list_pos", "pos"))
+    lemma = X.lemma(F.col("lower"), {n: X.tail(F.col("lower"), n) for n in (2, 3, 4)}, F.col("new_pos"))
+    return forms.join(listed, F.col("lower") == F.col("word"), "left").select(
+        "lower", F.col("lemma").alias("tag_lemma"), F.col("pos").alias("tag_pos"), "n", "hot", pos.alias("new_pos")).select(
+        "lower", lemma.alias("lemma"), F.col("new_pos").alias("pos"), "n", "hot", "tag_lemma", "tag_pos")
+
+
 def grade_forms(forms: DataFrame, wordlist: DataFrame, freq: DataFrame | None = None) -> DataFrame:
     """Level, score and zipf of every form: (lemma, pos), (surface, pos), lemma, surface, then the rule
     for unlisted words. No hint on either side: both grow, so their run-time size decides the join."""
@@ -104,7 +122,7 @@ def grade_forms(forms: DataFrame, wordlist: DataFrame, freq: DataFrame | None =
         X.level_from_zipf(F.col("zipf"), F.col("lemma_zipf")))
     level = F.coalesce(of_pos(""), of_pos("s_"), F.col("first_level"), F.col("s_first_level"), unlisted)
     return (forms.join(surface, "lower", "left").join(base, "lemma", "left")
-            .select(*FORM, "n", "hot", level.alias("level"), "flat_level", F.coalesce("zipf", F.lit(0.0)).alias("zipf")))
+            .select(*FORM, *[c for c in forms.columns if c.startswith("tag_")], "n", "hot", level.alias("level"), "flat_level", F.coalesce("zipf", F.lit(0.0)).alias("zipf")))
 
 
 def mark_hot(forms: DataFrame) -> DataFrame:
@@ -128,29 +146,49 @@ def out_of_band(level: Column, rank: Column, max_rank: Column) -> Column:
 def lexical_profile(tokens: DataFrame, graded: DataFrame, limits: DataFrame, counts: DataFrame) -> DataFrame:
     """Per document: alphabetic tokens, candidates, distinct spellings outside the band and their list.
 
-    The list keeps first-seen order and is bounded by the document's own words. One pass over the tokens: candidates are
-    counted by document and spelling within each task first, so a form comes once a document to the join with
-    its level and no stop word comes at all. Neither side of that join carries a hint; Spark splits a hot form. The
-    number of tokens is in the stored ``counts`` already.
+    The list keeps first-seen order and is bounded by the document's own words. One pass over the tokens: hot forms get their
+    level and rank from a bounded broadcast, the rare words of a document travel as one array and are joined by shuffle behind a
+    header entry with a key of its own, so no exchange is keyed by a frequent word. The number of tokens is in the
+    stored ``counts`` already.
     """
-    spelled = tokens.where(T.is_candidate()).groupBy("doc_id", "text", *FORM).agg(
-        F.count(F.lit(1)).alias("n"), F.min("tok_id").alias("first_tok"))
-    ranked = spelled.join(graded.select(*FORM, "level", X.rank_from_zipf(F.col("zipf")).alias("rank")), FORM)
-    flagged = (F.col("max_rank") > 0) & out_of_band(F.col("level"), F.col("rank"), F.col("max_rank"))
-    # one spelling can have several forms: it counts once, with its first flagged place and its highest rank
-    words = (ranked.join(limits, "doc_id").withColumn("flagged", flagged).groupBy("doc_id", "text")
-             .agg(F.sum("n").alias("n"), F.bool_or("flagged").alias("flagged"),
-                  F.min(F.when(F.col("flagged"), F.col("first_tok"))).alias("first_tok"), F.max("rank").alias("rank")))
-    entry = F.struct("first_tok", F.concat("text", F.lit(" (rank≈"), F.col("rank").cast("string"), F.lit(")")).alias("w"))
-    found = words.groupBy("doc_id").agg(
-        F.sum("n").alias("content_tokens"), F.count_if("flagged").alias("out_of_band_count"),
-        F.sort_array(F.collect_list(F.when(F.col("flagged"), entry))).alias("hits"))
+    levels = graded.select(*FORM, "hot", F.struct("level", X.rank_from_zipf(F.col("zipf")).alias("rank")).alias("g"))
+    hot, rare = split_hot(levels)
+    seen = tokens.where(T.is_candidate()).select("doc_id", "text", "tok_id", *FORM).join(F.broadcast(hot), FORM, "left")
+    known = F.struct("text", "tok_id", F.col("g.rank").alias("rank"), F.col("g.level").alias("level"))
+    per_doc = seen.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("content_tokens"), F.collect_list(F.when(F.col("g").isNotNull(), known)).alias("known"),
+        F.collect_list(F.when(F.col("g").isNull(), F.struct(*FORM, "text", "tok_id"))).alias("rare_words"))
+
+    def flagged(level, rank):
+        return (F.col("max_rank") > 0) & out_of_band(level, rank, F.col("max_rank"))
+
+    hits = F.transform(F.filter("known", lambda w: flagged(w["level"], w["rank"])), lambda w: w.dropFields("level"))
     totals = counts.select("doc_id", F.col("n_alpha").alias("total_tokens"))
-    live = F.col("max_rank") > 0
+    asked = limits.join(per_doc, "doc_id", "left").join(totals, "doc_id", "left").select(
+        "doc_id", F.struct("max_rank", "total_tokens", "content_tokens", hits.alias("hits")).alias("base"), "rare_words")
+    header = F.struct(F.lit("").alias("lower"), F.col("doc_id").cast("string").alias("lemma"), F.lit("").alias("pos"),
+                      F.lit("").alias("text"), F.lit(None).cast("bigint").alias("tok_id"))
+    entries = F.concat(F.array(F.struct(header.alias("w"), F.col("base").alias("base"))), F.transform(
+        F.coalesce("rare_words", F.array().cast(per_doc.schema["rare_words"].dataType)),
+        lambda w: F.struct(w.alias("w"), F.when(F.lit(False), F.col("base")).alias("base"))))
+    # the limit of a document is needed at its rare words
+    spread = asked.select("doc_id", F.col("base.max_rank").alias("max_rank"), F.inline(entries)).select("doc_id", "max_rank", "base", "w.*")
+    joined = spread.join(rare, FORM, "left")
+    hit = F.struct("text", "tok_id", F.col("g.rank").alias("rank"))
+    both = joined.groupBy("doc_id").agg(
+        F.first("base", ignorenulls=True).alias("base"),
+        F.collect_list(F.when(flagged(F.col("g.level"), F.col("g.rank")), hit)).alias("more"))
+    # one spelling can have several forms and places: it counts once, at its first flagged place
+    found = F.sort_array(F.concat(F.coalesce("base.hits", F.array().cast(both.schema["more"].dataType)), "more"))
+    first = F.filter("found", lambda w, i: (i == 0) | (w["text"] != F.get(F.col("found"), i - 1)["text"]))
+    entry = F.sort_array(F.transform("first", lambda w: F.struct(
+        w["tok_id"].alias("tok_id"), F.concat(w["text"], F.lit(" (rank≈"), w["rank"].cast("string"), F.lit(")")).alias("w"))))
+    listed = both.select("doc_id", "base", found.alias("found")).select("doc_id", "base", first.alias("first"))
+    max_rank = F.col("base.max_rank")
 
     def number(name):
-        return F.when(live, F.coalesce(F.col(name), F.lit(0))).otherwise(0).cast("bigint").alias(name)
+        return F.when(max_rank > 0, F.coalesce(F.col(f"base.{name}"), F.lit(0))).otherwise(0).cast("bigint").alias(name)
 
-    return (limits.join(totals, "doc_id", "left").join(found, "doc_id", "left")
-            .select("doc_id", "max_rank", number("total_tokens"), number("content_tokens"), number("out_of_band_count"),
-                    F.coalesce(F.col("hits.w"), F.array().cast("array<string>")).alias("out_of_band_tokens")))
+    return listed.select("doc_id", max_rank.alias("max_rank"), number("total_tokens"), number("content_tokens"),
+                         F.size("first").cast("bigint").alias("out_of_band_count"),
+                         F.transform(entry, lambda w: w["w"]).alias("out_of_band_tokens"))

@@ -18,8 +18,8 @@ TOKEN_SUMS = ["n_words", "n_letters", "n_alpha", "n_sents", "n_verbs", "n_verb_t
 TOP = C.TRIMMED_TOKENS
 
 
-def form_weights(graded: DataFrame) -> DataFrame:
-    """What one token of a form adds to the counts of its document."""
+def form_weights(graded: DataFrame, *more: Column) -> DataFrame:
+    """What one token of a form adds to the counts of its document, and further columns."""
     content = F.col("pos").isin(C.CONTENT_POS["profile"])
     listed = F.col("pos").isin(C.CONTENT_POS["model"]) & F.col("flat_level").isNotNull()
     score = X.level_score(F.col("level"), C.UNKNOWN_SCORE["profile"])
@@ -34,25 +34,39 @@ def form_weights(graded: DataFrame) -> DataFrame:
         flag(listed).alias("n_found"), F.when(listed, flat).otherwise(0).alias("sum_flat"),
         flag(listed & F.col("flat_level").startswith("A")).alias("n_flat_a"),
         flag(listed & F.col("flat_level").startswith("B")).alias("n_flat_b"),
-        X.rank_from_zipf(F.col("zipf")).alias("sum_rank"), X.inverse_zipf(F.col("zipf")).alias("sum_inverse"))
+        X.rank_from_zipf(F.col("zipf")).alias("sum_rank"), X.inverse_zipf(F.col("zipf")).alias("sum_inverse"), *more)
+
+
+def _bit(pos: Column) -> Column:
+    """One bit per part of speech: counting kinds needs no distinct."""
+    place = F.array_position(F.array(*[F.lit(t) for t in C.POS_TAGS]), pos)
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), place.cast("int"))
+
+
+def _kinds(bits: Column) -> Column:
+    return F.bit_count(F.bit_or(bits)).cast("bigint")
+
+
+def surface_sums() -> list[Column]:
+    """Words, letters and sentences as the surface counts of the text have them: clitics belong to their word, points
+    and commas to no word."""
+    counted = ~F.col("pos").isin("PUNCT", "SPACE")
+    letters = F.when(F.col("is_alpha"), F.length("text")).when(counted, F.length(F.translate("text", ".,'’", ""))).otherwise(0)
+    return [F.count_if(counted & (F.col("is_alpha") | ~F.col("lower").isin(list(C.CLITICS)))).alias("n_words"),
+            F.sum(letters).alias("n_letters"), F.count_if("is_alpha").alias("n_alpha"),
+            F.count_if(F.col("pos_in_sent") == 0).alias("n_sents")]
 
 
 def token_counts() -> list[Column]:
     """Aggregates that need no word list."""
     pos, verb = F.col("pos"), F.col("pos") == "VERB"
-    word = ~pos.isin("PUNCT", "SPACE")
-    # one bit per part of speech: counting kinds needs no distinct
-    place = F.array_position(F.array(*[F.lit(t) for t in C.POS_TAGS]), pos)
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place.cast("int"))
+    bit = _bit(pos)
     return [
-        F.count_if(word).alias("n_words"),
-        F.sum(F.when(word, F.length("text")).otherwise(0)).alias("n_letters"),
-        F.count_if("is_alpha").alias("n_alpha"),
-        F.count_if(F.col("pos_in_sent") == 0).alias("n_sents"),
+        *surface_sums(),
         F.count_if(verb).alias("n_verbs"),
         F.size(F.collect_set(F.when(verb, F.col("lemma")))).cast("bigint").alias("n_verb_types"),
-        F.bit_count(F.bit_or(F.when(F.col("is_alpha"), bit).otherwise(F.lit(0).cast("bigint")))).cast("bigint").alias("n_pos_alpha"),
-        F.bit_count(F.bit_or(bit)).cast("bigint").alias("n_pos"),
+        _kinds(F.when(F.col("is_alpha"), bit).otherwise(F.lit(0).cast("bigint"))).alias("n_pos_alpha"),
+        _kinds(bit).alias("n_pos"),
         F.count_if("in_np").alias("n_np"),
         F.count_if("np_start").alias("n_chunks"),
     ]
@@ -95,6 +109,62 @@ def document_counts(tokens: DataFrame, graded: DataFrame) -> DataFrame:
         F.slice(F.sort_array(F.concat("base.lows", "lows")), 1, TOP).alias("lows"))
 
 
+def _retagged_weights(graded: DataFrame) -> DataFrame:
+    """Weights of the forms as the list tags them, found by the form that the rules gave the token; ``tag`` has what else
+    depends on the class."""
+    tag = F.struct(F.when(F.col("pos") == "VERB", F.col("lemma")).alias("verb"), _bit(F.col("pos")).alias("bit"),
+                   F.when(X.in_chunk(F.col("pos")), "1").otherwise("0").alias("np"))
+    weights = form_weights(graded, "tag_lemma", "tag_pos", tag.alias("tag"))
+    return weights.select("lower", F.col("tag_lemma").alias("lemma"), F.col("tag_pos").alias("pos"),
+                          *[c for c in weights.columns if c not in (*FORM, "tag_lemma", "tag_pos")])
+
+
+def retagged_counts(tokens: DataFrame, graded: DataFrame) -> DataFrame:
+    """:func:`document_counts` with the classes of ``retag_forms``: tokens carry the tags of the rules, ``graded`` the others.
+
+    The same split: hot forms come by a bounded broadcast, rare ones as an array of the document through one join. A document
+    keeps a string of its tokens, one for inside a noun chunk, nought for outside, a question mark for a rare word; the
+    answers of the join fill the marks in order, and the chunks are the runs of ones, counted inside the row.
+    """
+    hot, rare = split_hot(_retagged_weights(graded))
+    seen = tokens.join(F.broadcast(hot), FORM, "left")
+    missed = F.col("is_alpha") & F.col("tag").isNull()
+    sign = F.when(F.col("is_alpha"), F.coalesce("tag.np", F.lit("?"))).otherwise(F.when(F.col("in_np"), "1").otherwise("0"))
+    mark = F.struct("tok_id", F.concat(F.when(F.col("pos_in_sent") == 0, "|").otherwise(""), sign).alias("m"))
+    word_sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in WORD_SUMS]
+    lows = F.slice(F.sort_array(F.collect_list("zipf")), 1, TOP).alias("lows")
+    none = F.lit(0).cast("bigint")
+    verbs = [F.count("tag.verb").alias("n_verbs"), F.collect_set("tag.verb").alias("verbs"),
+             F.bit_or(F.coalesce("tag.bit", none)).alias("bits")]
+    per_doc = seen.groupBy("doc_id").agg(
+        *surface_sums(), *verbs, F.bit_or(F.when(F.col("is_alpha"), none).otherwise(_bit(F.col("pos")))).alias("other_bits"),
+        F.sort_array(F.collect_list(mark)).alias("marks"), *word_sums, lows,
+        F.collect_list(F.when(missed, F.struct(*FORM, "tok_id", F.when(F.col("in_np"), "1").otherwise("0").alias("own")))).alias("rare_words"))
+    base = F.struct("n_words", "n_letters", "n_alpha", "n_sents", "n_verbs", "verbs", "bits", "other_bits",
+                    F.array_join(F.transform("marks", lambda x: x["m"]), "").alias("marks"), *WORD_SUMS, "lows")
+    none_such = F.when(F.lit(False), base)
+    header = F.struct(F.lit("").alias("lower"), F.col("doc_id").cast("string").alias("lemma"), F.lit("").alias("pos"),
+                      F.lit(None).cast("bigint").alias("tok_id"), F.lit("").alias("own"), base.alias("base"))
+    entries = F.concat(F.array(header), F.transform("rare_words", lambda w: F.struct(
+        *[w[c].alias(c) for c in (*FORM, "tok_id", "own")], none_such.alias("base"))))
+    joined = per_doc.select("doc_id", F.inline(entries)).join(rare, FORM, "left")
+    answer = F.struct("tok_id", F.coalesce("tag.np", "own").alias("m"))
+    both = joined.groupBy("doc_id").agg(
+        F.first("base", ignorenulls=True).alias("base"), *verbs, *word_sums, lows,
+        F.sort_array(F.collect_list(F.when(F.col("tok_id").isNotNull(), answer))).alias("answers"))
+    filled = F.array_join(F.transform(F.split("base.marks", "[?]"), lambda part, i: F.concat(
+        part, F.coalesce(F.get(F.col("answers"), i)["m"], F.lit("")))), "")
+    bits, other = F.col("bits").bitwiseOR(F.col("base.bits")), F.col("base.other_bits")
+    return both.withColumn("filled", filled).select(
+        "doc_id", *[F.col(f"base.{c}").alias(c) for c in ("n_words", "n_letters", "n_alpha", "n_sents")],
+        (F.col("base.n_verbs") + F.col("n_verbs")).alias("n_verbs"),
+        F.size(F.array_union("base.verbs", "verbs")).cast("bigint").alias("n_verb_types"),
+        F.bit_count(bits).cast("bigint").alias("n_pos_alpha"), F.bit_count(bits.bitwiseOR(other)).cast("bigint").alias("n_pos"),
+        X.matches(F.col("filled"), "1").alias("n_np"), X.matches(F.col("filled"), "1+").alias("n_chunks"),
+        *[(F.col(f"base.{c}") + F.col(c)).alias(c) for c in WORD_SUMS],
+        F.slice(F.sort_array(F.concat("base.lows", "lows")), 1, TOP).alias("lows"))
+
+
 def flat_scores(counts: DataFrame) -> DataFrame:
     """Per document: content tokens found in the flat list and their mean score; unlisted words do not count."""
     return counts.where(F.col("n_found") > 0).select("doc_id", "n_found", F.col("sum_flat").alias("sum_score"),

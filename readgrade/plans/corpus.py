@@ -12,17 +12,25 @@ def build_forms(tokens: DataFrame) -> DataFrame:
     return L.mark_hot(counted)
 
 
-def build_lexicon(forms: DataFrame, wordlist: DataFrame, freq: DataFrame | None = None) -> DataFrame:
+def build_lexicon(forms: DataFrame, wordlist: DataFrame, freq: DataFrame | None = None, list_tags: bool = False) -> DataFrame:
     """Graded forms as a stored table, so that the cascade runs once and later joins read plain columns."""
+    forms = L.retag_forms(forms, wordlist) if list_tags else forms
     return materialise(L.grade_forms(forms, wordlist, freq), "lexicon")
 
 
+def counts_of(tokens: DataFrame, graded: DataFrame, docs: DataFrame) -> DataFrame:
+    """Counts of every document by the classes that ``graded`` has."""
+    counts = M.retagged_counts(tokens, graded) if "tag_pos" in graded.columns else M.document_counts(tokens, graded)
+    return M.with_blank_counts(counts, docs)
+
+
 def metrics_of(docs: DataFrame, wordlist: DataFrame, variant: str = "profile", freq: DataFrame | None = None,
-               tokens: DataFrame | None = None) -> DataFrame:
+               tokens: DataFrame | None = None, list_tags: bool = False) -> DataFrame:
     """The eight metrics of every document, zeros for blank texts.
 
-    Pass ``tokens`` to use another annotator's token table.
+    Pass ``tokens`` to use another annotator's token table. With ``list_tags`` the graded list decides the class of open-class
+    words before their ending does; it is asked once per word form.
     """
     tokens = T.tokens(docs) if tokens is None else tokens
-    graded = build_lexicon(build_forms(tokens), wordlist, freq)
-    return M.metrics(M.with_blank_counts(M.document_counts(tokens, graded), docs), variant)
+    graded = build_lexicon(build_forms(tokens), wordlist, freq, list_tags)
+    return M.metrics(counts_of(tokens, graded, docs), variant)

@@ -44,9 +44,21 @@ def test_tags_and_chunks(docs):
     rows = {(r["text"], r["pos"], r["lemma"]) for r in T.tokens(docs).where("doc_id = 1").collect()}
     assert {("The", "DET", "the"), ("cat", "NOUN", "cat"), ("walking", "VERB", "walk"), ("quickly", "ADV", "quickly"),
             (".", "PUNCT", "."), ("garden", "NOUN", "garden"), ("A", "DET", "a"), ("!", "PUNCT", "!")} == rows
-    chunks = T.noun_chunks(T.tokens(docs).where("doc_id in (1, 4)")).collect()
-    assert sorted((r["doc_id"], r["sent_id"], r["chunk_id"], r["n_alpha"]) for r in chunks) == [
-        (1, 0, 0, 2), (1, 1, 0, 2), (4, 0, 0, 2), (4, 0, 1, 2)]
+    for found in (T.noun_chunks(docs), T.chunks_of(T.tokens(docs))):
+        chunks = found.where("doc_id in (1, 4)").collect()
+        assert sorted((r["doc_id"], r["sent_id"], r["chunk_id"], r["n_alpha"]) for r in chunks) == [
+            (1, 0, 0, 2), (1, 1, 0, 2), (4, 0, 0, 2), (4, 0, 1, 2)]
+
+
+def test_chunks_are_found_inside_the_row(spark, sf):
+    """No exchange, and the same chunks as from the token table."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    inside = T.noun_chunks(docs)
+    plan = inside._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+    from_tokens = T.chunks_of(T.tokens(docs)).select([F.col(c).cast("long") for c in inside.columns])
+    own = inside.select([F.col(c).cast("long") for c in inside.columns])
+    assert own.count() > 1000 and own.exceptAll(from_tokens).isEmpty() and from_tokens.exceptAll(own).isEmpty()
 
 
 def test_proper_noun_needs_a_place_inside_the_sentence(docs):
@@ -163,7 +175,7 @@ def test_looser_band_flags_no_more(spark, wordlist):
 
     def flagged(limit):
         limits = docs.selectExpr("doc_id", f"{limit}L AS max_rank")
-        return L.lexical_profile(tokens, graded, limits).agg({"out_of_band_count": "sum"}).first()[0]
+        return L.lexical_profile(tokens, graded, limits, M.document_counts(tokens, graded)).agg({"out_of_band_count": "sum"}).first()[0]
 
     counts = [flagged(limit) for limit in (1, 100, 6000, 8000, 200_000)]
     assert counts == sorted(counts, reverse=True) and counts[-1] == 0
@@ -180,3 +192,91 @@ def test_other_scripts_numbers_and_spaces(spark):
         ("v", "NOUN"), ("1.2.3", "NUM"), ("ends", "NOUN"), (".", "PUNCT"), ("É", "NOUN"), ("Ñandú", "PROPN"), ("§", "PUNCT")]
     assert [r["text"] for r in found if r["doc_id"] == 1 and r["is_alpha"]] == ["Привет", "мир", "Costs", "or", "now", "They", "go", "Ok"]
     assert spark.range(1).select(X.strip(F.lit("\u3000 a b\u00a0"))).first()[0] == "a b"
+
+
+def test_contractions(spark):
+    """Literal expectations, written by hand: clitics are tokens with a class of their own, and no content words."""
+    docs = spark.createDataFrame([(1, "We'll see it doesn’t hurt."), (2, "I can't've won't SHOULDN'T"), (3, "He's Ann's; rock'n'roll 'tis o'clock"),
+                                  (4, "ca wo sha ai n't 's")], "doc_id bigint, text string")
+    found = {}
+    for r in T.tokens(docs).orderBy("doc_id", "tok_id").collect():
+        found.setdefault(r["doc_id"], []).append((r["text"], r["pos"]))
+    assert found[1] == [("We", "PRON"), ("'ll", "AUX"), ("see", "NOUN"), ("it", "PRON"), ("does", "AUX"), ("n’t", "PART"), ("hurt", "NOUN"), (".", "PUNCT")]
+    assert found[2] == [("I", "PRON"), ("ca", "AUX"), ("n't", "PART"), ("'ve", "AUX"), ("wo", "AUX"), ("n't", "PART"), ("SHOULD", "AUX"), ("N'T", "PART")]
+    assert found[3] == [("He", "PRON"), ("'s", "AUX"), ("Ann", "PROPN"), ("'s", "PART"), (";", "PUNCT"), ("rock", "NOUN"), ("'", "PUNCT"), ("n", "NOUN"),
+                        ("'", "PUNCT"), ("roll", "NOUN"), ("'", "PUNCT"), ("tis", "NOUN"), ("o", "NOUN"), ("'", "PUNCT"), ("clock", "NOUN")]
+    assert [p for _, p in found[4]] == ["NOUN"] * 4 + ["NOUN", "PUNCT", "NOUN", "PUNCT", "NOUN"]
+    clitics = T.tokens(docs).where(F.col("lower").isin(list(M.C.CLITICS)))
+    assert clitics.where("is_alpha or not is_stop or in_np").isEmpty() and clitics.count() == 8
+    assert T.predicates(clitics).where("is_content or is_content_model").isEmpty()
+
+
+def test_sentence_ends(spark):
+    """Literal expectations, written by hand."""
+    docs = spark.createDataFrame([
+        (1, "Mr. Smith left. Dr. J. R. Who, M.D., came at 5 p.m. and sat."), (2, "It costs $3.50. Tell Prof. Lee, e.g. by mail, etc. or not."),
+        (3, "In the U.S. it is so. I came. I saw... No? Yes!"), (4, "He met Mr."), (5, "Mr. 5 x.y Z. Next")], "doc_id bigint, text string")
+    found = {}
+    for r in T.sentences(docs).orderBy("doc_id", "sent_id").collect():
+        found.setdefault(r["doc_id"], []).append(r["sentence"])
+    assert found == {
+        1: ["Mr. Smith left.", "Dr. J. R. Who, M.D., came at 5 p.m. and sat."], 2: ["It costs $3.50.", "Tell Prof. Lee, e.g. by mail, etc. or not."],
+        3: ["In the U.S. it is so.", "I came.", "I saw...", "No?", "Yes!"], 4: ["He met Mr."], 5: ["Mr.", "5 x.y Z. Next"]}
+
+
+def test_one_ari(spark, sf, wordlist):
+    """The counts of the raw text are those of its tokens, decimals, clitics and short forms included."""
+    own = [(-1, "It costs 3.14, or 1,000.50! Mr. Smith doesn't say 'tis 2.5.1. We'll v1.2 see."), (-2, "e.g. A.B.C. x. \u00c9t\u00e9 n'y 's"), (-3, "3.14"), (-4, "I'd've")]
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").unionByName(spark.createDataFrame(own, "doc_id bigint, text string"))
+    surface = {r["doc_id"]: tuple(r)[1:] for r in M.surface_counts(docs).drop("text").collect()}
+    counted = {r["doc_id"]: (r["n_letters"], r["n_words"], r["n_sents"]) for r in M.text_counts(T.tokens(docs)).collect()}
+    assert len(counted) > 190 and counted == {d: n for d, n in surface.items() if n[1]}
+    assert surface[-1] == (50, 15, 3) and surface[-4] == (4, 1, 1)
+    ari = {r["doc_id"]: r["ARI"] for r in M.readability(docs).where("doc_id < 0").collect()}
+    metric = {r["doc_id"]: r["ARI"] for r in metrics_of(docs.where("doc_id < 0"), wordlist).collect()}
+    assert ari == pytest.approx(metric)
+
+
+LISTED = [(1, "go", "verb", "A1"), (2, "home", "noun", "A1"), (3, "make", "verb", "A1"), (4, "fast", "adverb", "A2"), (5, "make", "noun", "C2"),
+          (6, "jogging", "noun", "B1"), (7, "paint", "verb", "B2"), (8, "they", "noun", "C2"), (9, "rapid", "adjective", "B1")]
+
+
+def test_list_decides_classes_in_the_metrics(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "They go home and we'll make it."), (2, "The rapid jogging home. Paint makes make"), (3, ""),
+                                  (4, "Go fast home fast. The old home")], "doc_id bigint, text string")
+    words = spark.createDataFrame(LISTED, "seq bigint, headword string, pos string, cefr string")
+    plain = {r["doc_id"]: r for r in metrics_of(docs, words).collect()}
+
+    def listed(variant="profile"):
+        return {r["doc_id"]: r for r in metrics_of(docs, words, variant, list_tags=True).collect()}
+
+    rows = listed()
+    assert plain[1]["VperSent"] == 0 and rows[1]["VperSent"] == 2 and rows[1]["CVV1"] == pytest.approx(2 * 2 / math.sqrt(2))
+    assert metrics_of(docs.where("doc_id = 1").selectExpr("doc_id", "'They go home.' AS text"), words, list_tags=True).first()["VperSent"] == 1
+    assert rows[1]["AvrDiff"] == pytest.approx(1.0) and rows[1]["LenNP"] == 1.0  # home alone
+    # jogging is a noun by the list: the chunk is "The rapid jogging home"; "makes" is no listed word and stays a noun
+    assert rows[2]["LenNP"] == pytest.approx((4 + 1) / 2) and rows[2]["VperSent"] == 1.0
+    assert rows[4]["LenNP"] == pytest.approx((1 + 3) / 2) and rows[3]["word_count"] == 0
+    model = listed("model")
+    for slots in (0, 3, 9):
+        monkeypatch.setattr(L, "HOT_FORMS", slots)
+        assert listed() == rows and listed("model") == model
+
+
+def test_token_table_with_the_list_can_be_measured(spark, wordlist):
+    """Re-tagged tokens are a whole token table; their metrics are those of the vocabulary's way."""
+    docs = spark.createDataFrame([(1, "They go home and we'll make it. The rapid jogging home."), (2, "Go fast home fast")], "doc_id bigint, text string")
+    words = spark.createDataFrame(LISTED, "seq bigint, headword string, pos string, cefr string")
+    tagged = T.retag_with_list(T.tokens(docs), L.first_classes(words))
+    assert tagged.columns == T.tokens(docs).columns
+    one = metrics_of(docs, words, tokens=tagged).orderBy("doc_id").collect()
+    assert one == metrics_of(docs, words, list_tags=True).orderBy("doc_id").collect()
+
+
+def test_hot_words_do_not_travel_in_the_lexical_profile(spark, wordlist):
+    docs = spark.createDataFrame([(i, "cat garden zebra walking quickly zorro " * 3) for i in range(1, 6)], "doc_id bigint, text string")
+    tokens = T.tokens(docs)
+    graded = L.grade_forms(L.mark_hot(L.word_forms(tokens)), wordlist)
+    limits = docs.selectExpr("doc_id", "1000L AS max_rank")
+    plan = L.lexical_profile(tokens, graded, limits, M.document_counts(tokens, graded))._jdf.queryExecution().optimizedPlan().toString()
+    assert "ResolvedHint (strategy=broadcast)" in plan or "rightHint=(strategy=broadcast)" in plan
