@@ -37,12 +37,38 @@ def s2(d):
     return tables.tolerant_wordlist(tables.headed_csv(d.spark, path, listed.schema))
 
 
-@query("s3_text_files", "SELECT text FROM benchmark")
+@query("s1_csv_rejects", f"""SELECT CASE WHEN doc_id%9<>0 THEN filename END AS filename, CASE WHEN doc_id%9<>0 THEN {Q.fx('ARI')} END AS ARI,
+       CASE doc_id%9 WHEN 0 THEN CASE WHEN doc_id%2=0 THEN filename||',broken' ELSE filename||',1.0,none,1.0,1.0,1.0,1.0,1.0,1.0,A1.1' END END AS record
+       FROM features""", "features")
+def s1_csv(d):
+    """Every ninth line is malformed: too short, or with a word for a number; both frames in one table."""
+    path = new_path(d.spark, "labelled-csv")
+    doc, name = F.expr("doc_id % 9"), F.col("filename")
+    line = F.concat_ws(",", "filename", *[F.col(m).cast("string") for m in C.METRICS], "predict_level")
+    bad = F.when(F.col("doc_id") % 2 == 0, F.concat(name, F.lit(",broken"))).otherwise(F.concat(name, F.lit(",1.0,none,1.0,1.0,1.0,1.0,1.0,1.0,A1.1")))
+    d.stored_features.select(F.when(doc == 0, bad).otherwise(line).alias("line")).write.text(path)
+    rows, rejects = tables.features_csv(d.spark, path, header=False)
+    return rounded(rows, *C.METRICS).select("filename", "ARI", F.lit(None).cast("string").alias("record")).unionByName(
+        rejects.select(F.lit(None).cast("string").alias("filename"), F.lit(None).cast("double").alias("ARI"), "record"))
+
+
+@query("s2_explicit_schema", "SELECT seq, headword, pos, cefr FROM wordlist", "wordlist")
+def s2_explicit(d):
+    """The list in its own column names, with a column that the schema does not know."""
+    path = new_path(d.spark, "own-wordlist")
+    d.wordlist.withColumn("note", F.lit("x")).write.parquet(path)
+    return tables.wordlist(d.spark, path).select("seq", "headword", "pos", "cefr")
+
+
+@query("s3_text_files", "SELECT item_id, true AS is_text_file, text FROM benchmark")
 def s3(d):
+    """A folder of files by item, each read back whole next to its name."""
     path = new_path(d.spark, "texts")
-    d.table("benchmark").select("text").write.option("maxRecordsPerFile", 1).text(path)
+    d.table("benchmark").select("item_id", "text").repartition("item_id").write.option("maxRecordsPerFile", 1).partitionBy("item_id").text(path)
     # the writer ends every file with a line feed
-    return tables.text_files(d.spark, path).select(F.regexp_replace("text", "\n\\z", "").alias("text"))
+    return tables.text_files(d.spark, path).select(
+        F.regexp_extract("path", "item_id=([0-9]+)/", 1).cast("bigint").alias("item_id"), F.col("filename").endswith(".txt").alias("is_text_file"),
+        F.regexp_replace("text", "\n\\z", "").alias("text"))
 
 
 @query("s4_word_frequency", f"SELECT word, n, {Q.fx('zipf')} AS zipf FROM freq", "freq")
@@ -189,6 +215,15 @@ def l9(d):
     return L.frequencies(d.forms).select("word", X.level_from_zipf(F.col("zipf"), F.lit(0.0)).alias("level"))
 
 
+@query("l9_level_from_lemma", f"""SELECT f.lower, f.lemma, f.pos, {Q.level_of_zipf('coalesce(z.zipf,0)')} AS level
+       FROM forms f LEFT JOIN freq z ON z.word=f.lemma""", "forms", "freq")
+def l9_lemma(d):
+    """Forms that have no frequency of their own go by that of their lemma."""
+    known = L.frequencies(d.forms).select(F.col("word").alias("lemma"), F.col("zipf").alias("lemma_zipf"))
+    return d.forms.join(known, "lemma", "left").select(
+        "lower", "lemma", "pos", X.level_from_zipf(F.lit(0.0), F.col("lemma_zipf")).alias("level"))
+
+
 @query("l10_frequency_rank", f"SELECT word, {Q.rank('zipf')} AS rank FROM freq", "freq")
 def l10(d):
     return L.frequencies(d.forms).select("word", X.rank_from_zipf(F.col("zipf")).alias("rank"))

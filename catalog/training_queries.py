@@ -10,7 +10,7 @@ from catalog.text_queries import METRICS, rounded
 from readgrade import fixed as C
 from readgrade.functions.numbers import fixed
 from readgrade.operators import classifier as CL, metrics as M, training as TR
-from readgrade.plans.storage import new_path
+from readgrade.plans.storage import materialise, new_path
 
 NAMES = ["'Text_'||doc_id||'.txt'", "' text '||doc_id||'.v2.TXT'", "'TEXT-'||doc_id||'.md'", "'Essay'||doc_id"]
 NAME = "CASE doc_id%4 " + " ".join(f"WHEN {i} THEN {n}" for i, n in enumerate(NAMES)) + " END"
@@ -107,10 +107,27 @@ def ml9(d):
     return rounded(TR.class_weights(d.stored_features), "weight")
 
 
-# ---- fitted models: SQL restates what must hold for every row, tests hold the predictions -----------
+# ---- fitted models: SQL states what must hold for every row and for the answers as a whole; tests hold the predictions ------
 
 TEST_ROWS = f"SELECT doc_id, predict_level FROM ({SPLIT}) WHERE is_test"
 SOUND = "true AS known_level, true AS sound_confidence, true AS scores_add_up"
+# fixed values: share of right answers on rows that were not learnt from, and how far above the commonest level's share
+FLOORS = {"forest": 0.6, "logistic": 0.0}
+ABOVE_MAJORITY = 1.25
+
+
+def learnt(rows: str) -> str:
+    """What a model that always answers one level can't have, next to the share that such a model would get."""
+    share = Q.fx(f"(SELECT max(n)*1e0/sum(n) FROM (SELECT count(*) AS n FROM ({rows}) GROUP BY predict_level))")
+    return f"{share} AS majority, true AS above_floor, true AS beats_majority, true AS several_levels"
+
+
+def _with_learnt(out, predicted, kind: str):
+    hit = (F.col("predicted_level") == F.col("predict_level")).cast("int")
+    most = predicted.groupBy("predict_level").agg(F.count("*").alias("n")).agg((F.max("n") / F.sum("n")).alias("m")).scalar()
+    right, levels = predicted.agg(F.avg(hit).alias("r")).scalar(), predicted.agg(F.count_distinct("predicted_level").alias("k")).scalar()
+    return out.select("*", fixed(most, 4).alias("majority"), (right >= FLOORS[kind]).alias("above_floor"),
+                      (right >= ABOVE_MAJORITY * most).alias("beats_majority"), (levels > 1).alias("several_levels"))
 
 
 def _parts(d):
@@ -118,40 +135,51 @@ def _parts(d):
     return rows.where("NOT is_test"), rows.where("is_test")
 
 
-def _sound(predicted):
-    """Per row: a level of the fixed scale, a confidence of at least an even share, scores that sum to 1."""
+def _sound(predicted, kind):
+    """Per row: a level of the fixed scale, a confidence of at least an even share, scores that sum to 1. Of all rows: what
+    shows that something was learnt."""
+    predicted = materialise(predicted, "predicted")
     share = F.lit(1.0) / F.size("scores")
     total = F.aggregate("scores", F.lit(0.0), lambda a, b: a + b)
-    return predicted.select(
+    sound = predicted.select(
         "doc_id", "predict_level", F.col("predicted_level").isin(C.TEXT_LEVELS).alias("known_level"),
         F.col("confidence").between(share - 1e-9, F.lit(1.0 + 1e-9)).alias("sound_confidence"),
         (F.abs(total - 1.0) < 1e-6).alias("scores_add_up"))
+    return _with_learnt(sound, predicted, kind)
 
 
-@query("ml10_forest", f"SELECT *, {SOUND} FROM ({TEST_ROWS})", "features")
+@query("ml10_forest", f"SELECT *, {SOUND}, {learnt(TEST_ROWS)} FROM ({TEST_ROWS})", "features")
 def ml10(d):
     train, test = _parts(d)
-    return _sound(CL.predict(CL.fit(train, "forest"), test))
+    return _sound(CL.predict(CL.fit(train, "forest"), test), "forest")
 
 
-@query("ml11_logistic", f"SELECT *, {SOUND} FROM ({TEST_ROWS})", "features")
+@query("ml11_logistic", f"SELECT *, {SOUND}, {learnt(TEST_ROWS)} FROM ({TEST_ROWS})", "features")
 def ml11(d):
     train, test = _parts(d)
-    return _sound(CL.predict(CL.fit(train, "logistic"), test))
+    return _sound(CL.predict(CL.fit(train, "logistic"), test), "logistic")
+
+
+TRAIN_ROWS = f"SELECT doc_id, predict_level FROM ({SPLIT}) WHERE NOT is_test"
 
 
-@query("ml12_model_choice", "SELECT unnest(['forest','logistic']) AS model, true AS is_share, true AS in_order")
+@query("ml12_model_choice", f"""SELECT unnest(['forest','logistic']) AS model, unnest([1,2])::BIGINT AS place, count(*) AS n_rows, true AS is_share,
+       true AS in_order, true AS above_floor, true AS beats_majority FROM ({TRAIN_ROWS})""", "features")
 def ml12(d):
+    """Candidates by validated accuracy; the level depends on one metric by cuts, so the forest must come first."""
     train, _ = _parts(d)
+    n, most = train.groupBy("predict_level").agg(F.count("*").alias("n")).agg(F.sum("n"), F.max("n") / F.sum("n")).first()
     scores = CL.choose(train)
-    rows = [(m, 0.0 <= a <= 1.0, all(a >= b for (_, a), (_, b) in zip(scores, scores[1:]))) for m, a in scores]
-    return d.spark.createDataFrame(rows, "model string, is_share boolean, in_order boolean")
+    rows = [(m, k, n, 0.0 <= a <= 1.0, all(a >= b for _, b in scores[k:]), a >= FLOORS[m], a >= ABOVE_MAJORITY * most)
+            for k, (m, a) in enumerate(scores, 1)]
+    return d.spark.createDataFrame(rows, "model string, place bigint, n_rows bigint, is_share boolean, in_order boolean, above_floor boolean, "
+                                   "beats_majority boolean")
 
 
-@query("ml13_calibrated", f"SELECT *, {SOUND} FROM ({TEST_ROWS})", "features")
+@query("ml13_calibrated", f"SELECT *, {SOUND}, {learnt(TEST_ROWS)} FROM ({TEST_ROWS})", "features")
 def ml13(d):
     train, test = _parts(d)
-    return _sound(CL.predict(CL.calibrate(train), test))
+    return _sound(CL.predict(CL.calibrate(train), test), "forest")
 
 
 @query("ml14_accuracy", f"""SELECT count(*) AS n, {Q.fx('avg((predicted_level=target_level)::INT)')} AS accuracy
@@ -160,13 +188,16 @@ def ml14(d):
     return rounded(CL.accuracy(d.results, "target_level"), "accuracy")
 
 
-@query("ml15_importance", "SELECT place::BIGINT AS place, true AS known, true AS falling, true AS within_one FROM range(1,6) r(place)")
+@query("ml15_importance", """SELECT place::BIGINT AS place, CASE WHEN place=1 THEN 'ARI' END AS first_feature, true AS known, true AS falling,
+       true AS within_one FROM range(1,6) r(place)""")
 def ml15(d):
+    """The level of a text is given by cuts of its ARI, so a forest that has learnt anything puts that metric first."""
     train, _ = _parts(d)
-    rows = CL.importances(CL.fit(train, "forest"), d.spark).collect()
+    rows = CL.importances(CL.fit(train, "forest"), d.spark).collect()  # five
     total = sum(r["importance"] for r in rows)
-    out = [(k, r["feature"] in C.METRICS, k == 1 or rows[k - 2]["importance"] >= r["importance"], total <= 1 + 1e-9) for k, r in enumerate(rows, 1)]
-    return d.spark.createDataFrame(out, "place bigint, known boolean, falling boolean, within_one boolean")
+    out = [(k, r["feature"] if k == 1 else None, r["feature"] in C.METRICS, k == 1 or rows[k - 2]["importance"] >= r["importance"],
+            total <= 1 + 1e-9) for k, r in enumerate(rows, 1)]
+    return d.spark.createDataFrame(out, "place bigint, first_feature string, known boolean, falling boolean, within_one boolean")
 
 
 @query("ml16_untrained", "SELECT doc_id, 'B1.1' AS predicted_level, 0.5e0 AS confidence FROM features", "features")
@@ -174,7 +205,7 @@ def ml16_untrained(d):
     return CL.predict(None, d.stored_features).select("doc_id", "predicted_level", "confidence")
 
 
-@query("ml16_predict", f"SELECT doc_id, predict_level, {SOUND}, true AS absent_is_zero FROM features", "features")
+@query("ml16_predict", f"SELECT doc_id, predict_level, {SOUND}, {learnt('SELECT * FROM features')}, true AS absent_is_zero FROM features", "features")
 def ml16(d):
     """The whole table without one metric, and with holes in another, scored by a fitted model; both count as 0."""
     train, _ = _parts(d)
@@ -183,7 +214,7 @@ def ml16(d):
     zeros = holes.withColumn("VperSent", F.lit(0.0)).na.fill(0.0, ["LenNP"])
     plain = CL.predict(model, zeros).select("doc_id", F.col("predicted_level").alias("plain"))
     got = CL.predict(model, holes)
-    return _sound(got).join(got.select("doc_id", "predicted_level").join(plain, "doc_id").select(
+    return _sound(got, "logistic").join(got.select("doc_id", "predicted_level").join(plain, "doc_id").select(
         "doc_id", (F.col("predicted_level") == F.col("plain")).alias("absent_is_zero")), "doc_id")
 
 
@@ -207,15 +238,20 @@ def ml17(d):
     return out.select("doc_id", "predict_level", (F.col("a") == F.col("b")).alias("same"), (F.col("c") == F.col("d")).alias("same_calibrated"))
 
 
-@query("ml18_regressor", f"SELECT doc_id, {Q.text_level('ARI')} AS predict_level, true AS in_range FROM surface_ari", "surface_ari")
+@query("ml18_regressor", f"""SELECT doc_id, {Q.text_level('ARI')} AS predict_level, true AS in_range, true AS fits FROM surface_ari""", "surface_ari")
 def ml18(d):
-    rows = M.surface_features(d.docs).withColumn("predict_level", text_level(F.col("ARI")))
-    scored = CL.fit_regressor(rows).transform(rows)
+    """Fitted on a part; on the rest the squared error must be less than half of what the mean of the rest leaves."""
+    rows = TR.split(M.surface_features(d.docs).withColumn("predict_level", text_level(F.col("ARI"))))
+    model = CL.fit_regressor(rows.where("NOT is_test"))
+    scored = materialise(model.transform(rows).select("doc_id", "predict_level", "is_test", "label", "prediction"), "scored")
+    unseen = scored.where("is_test")
+    left = unseen.agg(F.sum(F.pow(F.col("prediction") - F.col("label"), 2)).alias("e")).scalar()
+    spread = unseen.agg((F.var_pop("label") * F.count("*")).alias("e")).scalar()
     top = len(C.TEXT_LEVELS) - 1
-    return scored.select("doc_id", "predict_level", F.col("prediction").between(0, top).alias("in_range"))
+    return scored.select("doc_id", "predict_level", F.col("prediction").between(0, top).alias("in_range"), (left < 0.5 * spread).alias("fits"))
 
 
-@query("ml20_training_flow", f"SELECT *, {SOUND}, true AS same FROM ({TEST_ROWS})", "features")
+@query("ml20_training_flow", f"SELECT *, {SOUND}, {learnt(TEST_ROWS)}, true AS same FROM ({TEST_ROWS})", "features")
 def ml20(d):
     """From the feature table to a saved model, in one call."""
     path = new_path(d.spark, "flow")
@@ -223,4 +259,4 @@ def ml20(d):
     loaded = CL.Calibrated.load(path) if isinstance(model, CL.Calibrated) else CL.PipelineModel.load(path)
     again = CL.predict(loaded, predicted.select("doc_id", *C.METRICS)).select("doc_id", F.col("predicted_level").alias("again"))
     same = predicted.join(again, "doc_id").select("doc_id", (F.col("predicted_level") == F.col("again")).alias("same"))
-    return _sound(predicted).join(same, "doc_id")
+    return _sound(predicted, "forest").join(same, "doc_id")

@@ -28,8 +28,11 @@ MOST_FOLDS = 5
 CALIBRATION_FOLDS = (2, 3)
 SURFACE = ["flesch", "ARI", "coleman_liau", "n_ws_words", "n_dot_pieces"]
 # bounds of a fit: labelled rows used at most, and the partitions they are fitted in. Both are arguments of every fit; the
-# second is part of a forest's definition, because its samples are drawn by partition. Nodes of a forest grow with the rows.
-FIT_ROWS, FIT_PARTITIONS = 100_000, 2
+# second is part of a forest's definition, because its samples are drawn by partition: rows are dealt to them by a hash of their
+# values, so a fit does not depend on how the table was partitioned. Nodes of a forest grow with the rows.
+FIT_ROWS, FIT_PARTITIONS = 100_000, 4
+# MB of node statistics that a forest gathers at a time
+NODE_MB = 64
 # scores are added up in so many bins before a curve is fitted to them
 CURVE_BINS = 1000
 
@@ -56,7 +59,7 @@ def weighted(train: DataFrame) -> DataFrame:
 
 
 def forest(rows: int) -> RandomForestClassifier:
-    return RandomForestClassifier(numTrees=TREES, maxDepth=DEEPEST, seed=SEED, weightCol="weight")
+    return RandomForestClassifier(numTrees=TREES, maxDepth=DEEPEST, seed=SEED, weightCol="weight", maxMemoryInMB=NODE_MB)
 
 
 def logistic(rows: int) -> OneVsRest:
@@ -75,10 +78,18 @@ def pipeline(kind: str, rows: int) -> Pipeline:
 # ---- fitting and choice ----------------------------------------------------------------
 
 def bounded(train: DataFrame, rows: int = FIT_ROWS, partitions: int = FIT_PARTITIONS) -> DataFrame:
-    """At most ``rows`` labelled rows, the first in hash order, dealt by that hash so that a repeated fit sees the same partitions."""
+    """At most ``rows`` labelled rows, the first in hash order, dealt by that hash so that a repeated fit sees the same partitions.
+
+    The count gives a threshold that slightly more rows than wanted stay below; only those are ordered and cut.
+    """
     columns = sorted(c for c, kind in train.dtypes if kind in ("double", "string", "bigint", "int"))
-    keyed = train.withColumn("fit_key", F.xxhash64(*columns))
-    return keyed.orderBy("fit_key", *columns).limit(rows).repartition(partitions, "fit_key").sortWithinPartitions("fit_key", *columns).drop("fit_key")
+    keyed, total = train.withColumn("fit_key", F.xxhash64(*columns)), train.count()
+    if total > rows:
+        wanted = 1.02 * rows + 10 * rows ** 0.5 + 100
+        if wanted < total:
+            keyed = keyed.where(F.col("fit_key") <= int((wanted / total - 0.5) * 2 ** 64))
+        keyed = keyed.orderBy("fit_key", *columns).limit(rows)
+    return keyed.repartition(partitions, "fit_key").sortWithinPartitions("fit_key", *columns).drop("fit_key")
 
 
 def fit(train: DataFrame, kind: str = "forest", rows: int = FIT_ROWS, partitions: int = FIT_PARTITIONS) -> PipelineModel:
@@ -244,5 +255,5 @@ def fit_regressor(train: DataFrame, rows: int = FIT_ROWS, partitions: int = FIT_
     """Forest that predicts the encoded level from the five surface features of at most ``rows`` rows."""
     return Pipeline(stages=[
         indexer(), VectorAssembler(inputCols=SURFACE, outputCol="features"),
-        RandomForestRegressor(numTrees=REGRESSION_TREES, maxDepth=DEEPEST, seed=SEED)]).fit(
+        RandomForestRegressor(numTrees=REGRESSION_TREES, maxDepth=DEEPEST, seed=SEED, maxMemoryInMB=NODE_MB)]).fit(
             bounded(train.select("predict_level", *SURFACE), rows, partitions))
