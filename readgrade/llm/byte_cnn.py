@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from readgrade.llm.common import fresh, held_out, per_text, sample_labelled, table, with_columns
 
 WIDTH, EMBED, FILTERS, HIDDEN, BLOCK = 6, 6, 16, 16, 128
-#: The classifier is fitted on at most so many labelled rows of each class, of at most so many bytes each.
-ROWS_PER_CLASS, MAX_TRAIN_BYTES = 1500, 32 << 10
+#: The classifier is fitted on at most so many labelled rows of each class, of at most so many bytes together.
+ROWS_PER_CLASS, CLASS_BYTES = 1500, 8 << 20
 
 
 def layout(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -147,13 +147,13 @@ def shifted(p: dict, ones: int, zeros: int) -> dict:
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", id: str = "doc_id", text: str = "text",
-          rows_per_class: int = ROWS_PER_CLASS, max_bytes: int = MAX_TRAIN_BYTES) -> dict[str, np.ndarray]:
+          rows_per_class: int = ROWS_PER_CLASS, class_bytes: int = CLASS_BYTES) -> dict[str, np.ndarray]:
     """Fit on a bounded sample of the labelled rows outside the held-out quarter.
 
-    At most ``rows_per_class`` rows of each class in the order of a hash of their id, of which those of at most ``max_bytes``
-    are used, whole. Null labels, null ids and labels without a document are no examples.
+    At most ``rows_per_class`` rows of each class in the order of a hash of their id, whole, as long as they come to
+    ``class_bytes`` at most together. Null labels, null ids and labels without a document are no examples.
     """
-    sample, counts = sample_labelled(docs, labels, label, id, text, rows_per_class, max_bytes)
+    sample, counts = sample_labelled(docs, labels, label, id, text, rows_per_class, class_bytes)
     rows = sample.orderBy(F.xxhash64(id), text).toPandas()
     if not len(rows):
         return initial(np.random.default_rng(0)) | {"out": np.zeros(2 * HIDDEN, np.float32)}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructField, StructType
 
 from readgrade.plans.storage import materialise
@@ -118,12 +118,28 @@ def ship(spark: SparkSession) -> None:
 
 
 def sample_labelled(docs: DataFrame, labels: DataFrame, label: str, id: str, text: str, rows_per_class: int,
-                    max_bytes: int) -> tuple[DataFrame, dict[int, int]]:
-    """(id, text, label) of a bounded sample outside the held-out quarter, and how many labelled rows each class has there."""
+                    class_bytes: int) -> tuple[DataFrame, dict[int, int]]:
+    """(id, text, label) of a bounded sample outside the held-out quarter, and how many labelled rows each class has there.
+
+    Of each class the first rows in the order of a hash of the id, ``rows_per_class`` at most, as long as their texts come to
+    ``class_bytes`` at most together; texts are whole, and only one that is larger than a whole sample can't be in it.
+    """
     known = labels.where(F.col(label).isin(0, 1) & F.col(id).isNotNull() & ~held_out(id)).select(
-        F.col(id).alias("i"), F.col(label).cast("int").alias("y")).distinct()
+        F.col(id).alias("i"), F.col(label).cast("int").alias("y")).distinct().withColumn("h", F.xxhash64("i"))
     counts = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    parts = [known.where(F.col("y") == y).orderBy(F.xxhash64("i"), "i").limit(rows_per_class) for y in (0, 1)]
-    chosen = F.broadcast(parts[0].unionByName(parts[1]))  # 2 * rows_per_class rows
-    rows = docs.where(F.col(text).isNotNull() & (F.octet_length(text) <= max_bytes)).select(id, text)
-    return rows.join(chosen, F.col(id) == F.col("i")).select(id, text, F.col("y").alias(label)), counts
+    wanted = 1.02 * rows_per_class + 10 * rows_per_class ** 0.5 + 100
+
+    def first(y: int) -> DataFrame:
+        """A threshold from the count leaves little more than what is wanted to be put in order."""
+        own, total = known.where(F.col("y") == y), counts.get(y, 0)
+        if wanted < total:
+            own = own.where(F.col("h") <= int((wanted / total - 0.5) * 2 ** 64))
+        return own.orderBy("h", "i").limit(rows_per_class)
+
+    chosen = stored(first(0).unionByName(first(1)), "sample-ids")  # 2 * rows_per_class rows
+    sizes = docs.where(F.col(text).isNotNull()).select(F.col(id).alias("i"), F.octet_length(F.col(text).cast("string")).alias("bytes")).join(
+        F.broadcast(chosen), "i").groupBy("i", "y", "h").agg(F.sum("bytes").alias("bytes")).where(F.col("bytes") <= class_bytes)
+    so_far = F.sum("bytes").over(Window.partitionBy("y").orderBy("h", "i").rowsBetween(Window.unboundedPreceding, 0))
+    kept = stored(sizes.withColumn("so_far", so_far).where(F.col("so_far") <= class_bytes).select("i", "y"), "sample")
+    rows = docs.where(F.col(text).isNotNull()).select(id, text)
+    return rows.join(F.broadcast(kept), F.col(id) == F.col("i")).select(id, text, F.col("y").alias(label)), counts

@@ -20,11 +20,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from readgrade.llm.common import held_out, per_text, sample_labelled, ship, slices, stored, table
 from readgrade.llm.word_hashes import RARE, START, Table, hash_words, pair, split_words
 
-#: The models are fitted on at most so many labelled rows of each class, of at most so many bytes each.
-ROWS_PER_CLASS, MAX_TRAIN_BYTES = 4000, 32 << 10
+#: The models are fitted on at most so many labelled rows of each class, of at most so many bytes together.
+ROWS_PER_CLASS, CLASS_BYTES = 4000, 16 << 20
 DISCOUNT = 0.75
-#: Discounts of pair counts and of continuation counts to choose from.
-DISCOUNTS = [(pairs, words) for pairs in (10.0, 100.0, 1000.0) for words in (1.0, 3.0, 10.0)]
+#: Discounts of pair counts and of continuation counts to choose from, on rows kept apart.
+DISCOUNTS = [(pairs, words) for pairs in (0.5, 0.75, 1.0, 2.0, 3.0, 10.0, 100.0, 1000.0) for words in (0.75, 1.0, 3.0, 10.0)]
 #: Words of a passage that is compared on its own.
 WINDOW = 4
 #: One labelled row in so many is kept apart for the logistic curve.
@@ -37,12 +37,12 @@ class Models:
     ``pairs`` (first, second, n0, n1) holds the pairs that a class has more often than the smallest discount, ``heads``
     (first, n0, n1) all occurrences by first word, ``kinds`` (second, f0, f1, f) by second word how many
     different words stand before it in each class and in both together. ``discounts``: taken from each pair count and from each continuation
-    count of a class; what is taken goes to the level below. They are large because a class is a small sample: a count
-    that both classes could have by chance should leave the shared level in charge.
+    count of a class; what is taken goes to the level below. Where a class is a small sample large ones win: a count that both
+    classes could have by chance then leaves the shared level in charge.
     """
 
     def __init__(self, pairs: dict, heads: dict, kinds: dict, discounts: tuple[float, float]) -> None:
-        pooled = kinds["f"]
+        self.discounts, pooled = discounts, kinds["f"]
         shared = np.maximum(pooled - DISCOUNT, 0) / max(pooled.sum(), 1)
         shared += max(1 - shared.sum(), 1e-9) / (len(shared) + 1)
         self.unseen = max(1 - shared.sum(), 1e-9)
@@ -56,7 +56,8 @@ class Models:
             own = np.maximum(kinds[f"f{c}"] - discounts[1], 0) / max(kinds[f"f{c}"].sum(), 1)
             unigram[f"u{c}"] = own
             self.left.append(1 - own.sum())
-        self.pairs = Table(pair(pairs["first"], pairs["second"]), **gain)
+        some = (gain["p0"] > 0) | (gain["p1"] > 0)  # pairs that get nothing need no place
+        self.pairs = Table(pair(pairs["first"][some], pairs["second"][some]), **{c: v[some] for c, v in gain.items()})
         self.heads = Table(heads["first"], **taken)
         self.kinds = Table(kinds["second"], **unigram)
 
@@ -89,7 +90,8 @@ class Models:
         spread[np.arange(len(delta)) + np.repeat(WINDOW * np.arange(len(full)), lengths)] = delta
         total = np.concatenate(([0.0], np.cumsum(spread)))
         means = (total[WINDOW:] - total[:-WINDOW]) / WINDOW
-        out[full, 1] = np.maximum.reduceat(means, starts + WINDOW * np.arange(len(full)))
+        begin = starts + WINDOW * np.arange(len(full))  # passages start at a word of the text, those behind it reach into the next text
+        out[full, 1] = np.maximum.reduceat(means, np.stack((begin, begin + lengths), axis=1).ravel())[::2]
         return out
 
 
@@ -155,16 +157,16 @@ def _arrays(table: DataFrame) -> dict[str, np.ndarray]:
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id: str = "doc_id", text: str = "text",
-          rows_per_class: int = ROWS_PER_CLASS, max_bytes: int = MAX_TRAIN_BYTES) -> Classifier:
+          rows_per_class: int = ROWS_PER_CLASS, class_bytes: int = CLASS_BYTES) -> Classifier:
     """Fit on a bounded sample of the labelled rows outside the held-out quarter.
 
-    At most ``rows_per_class`` rows of each class in the order of a hash of their id, of which those of at most ``max_bytes``
-    are used, whole; equal texts of a class count once. Word pairs are counted in tasks; the driver holds sums
+    At most ``rows_per_class`` rows of each class in the order of a hash of their id, whole, as long as they come to
+    ``class_bytes`` at most together; equal texts of a class count once. Word pairs are counted in tasks; the driver holds sums
     over them and the frequent ones, which the sample bounds. One row in APART serves only to choose the discounts and to fit the
     curve. Without rows of both classes every text gets the score 0.5.
     """
     ship(docs.sparkSession)
-    sample, counts = sample_labelled(docs, labels, label, id, text, rows_per_class, max_bytes)
+    sample, counts = sample_labelled(docs, labels, label, id, text, rows_per_class, class_bytes)
     rows = stored(sample.select(F.col(text).cast("string").alias("text"), F.col(label).cast("long").alias("y")).distinct()
                   .withColumn("apart", F.pmod(F.xxhash64("text"), F.lit(APART)) == 0), "toxicity-sample")
     fitted = rows.where(~F.col("apart")).select("text", "y")

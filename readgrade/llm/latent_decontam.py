@@ -14,6 +14,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ RANK, MORE, SEED = 32, 8, 11
 COSINE = 0.55
 #: Shares of the item that must be in the document in order: alone, and together with the answer words.
 VERBATIM, PARAPHRASE, ANSWER = 0.8, 0.5, 0.5
-#: Items that are held against all documents in one go; more are taken in parts.
+#: Items that are searched for in one go; more are searched for in parts.
 ITEMS = 50_000
 WINDOWS_AT_ONCE = 2048
 
@@ -40,11 +41,12 @@ class Benchmark:
 
     def __init__(self, ids: list, texts: list[str], answers: list[str | None]) -> None:
         hashed = split_words([(t or "").encode() for t in texts])
-        self.vocabulary = np.unique(np.concatenate([np.empty(0, np.uint64), *hashed]))
+        answered = [words(a.encode()) if a else None for a in answers]
+        self.vocabulary = np.unique(np.concatenate([np.empty(0, np.uint64), *hashed, *(w for w in answered if w is not None)]))
         kept = [k for k, w in enumerate(hashed) if len(w)]
         self.ids = [ids[k] for k in kept]
         self.items = [self.places(hashed[k]) for k in kept]
-        self.answers = [self.places(words(answers[k].encode())) if answers[k] else None for k in kept]
+        self.answers = [None if answered[k] is None else self.places(answered[k]) for k in kept]
 
     def places(self, hashed: np.ndarray) -> np.ndarray:
         if not len(self.vocabulary):
@@ -213,8 +215,10 @@ class Marks:
             if c.answer:
                 self.items[k] = np.bitwise_or.reduce(self.bit[sorted(c.answer)])
             kinds = len(c.masks)
-            # so many answer words can be missing: by the answer rule, or if all words that may be missing are answer words
-            missing = max(len(c.answer) - int(np.ceil(ANSWER * len(c.answer))), c.length - int(np.ceil(VERBATIM * c.length)))
+            # so many answer words can be missing: by the answer rule, or, with the item word for word, those that are
+            # no words of the item and as many of the others as the item may lack
+            outside = len(c.answer.difference(c.masks))
+            missing = max(len(c.answer) - int(np.ceil(ANSWER * len(c.answer))), outside + c.length - int(np.ceil(VERBATIM * c.length)))
             self.least[k] = max(0, int(self.items[k]).bit_count() - missing) if kinds else 0
 
     def blocks(self, lengths: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -255,10 +259,11 @@ class Checker:
         return (self.length - state.bit_count()) / self.length, share
 
 
-def search(coded: DataFrame, id_type: str, bench: Benchmark, weights: np.ndarray, points: np.ndarray, cosine: float) -> DataFrame:
-    """(id, item, cosine, lcs, answer_share, word): for each document and item found in it, the best place."""
+def search(coded: DataFrame, id_type: str, bench: Benchmark, weights: np.ndarray, points: np.ndarray, cosine: float, begin_at: int, end_at: int) -> DataFrame:
+    """(id, item, cosine, lcs, answer_share, word): for each document and each of the items from ``begin_at`` to before ``end_at`` found in it,
+    the best place."""
     context = coded.sparkSession.sparkContext
-    shared, kind = context.broadcast((bench.items, bench.answers, weights, points)), bench.kind
+    shared, kind = context.broadcast((bench.items[begin_at:end_at], bench.answers[begin_at:end_at], weights, points)), bench.kind
     schema = f"id {id_type}, item long, cosine double, lcs double, answer_share double, word long"
 
     def run(batches):
@@ -298,7 +303,7 @@ def search(coded: DataFrame, id_type: str, bench: Benchmark, weights: np.ndarray
                 keys = sorted(best)
                 found = [best[x] for x in keys]
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array([t for t, _ in keys])), pa.array([k for _, k in keys], pa.int64()), pa.array([float(x[2]) for x in found]),
+                    [ids.take(pa.array([t for t, _ in keys])), pa.array([begin_at + k for _, k in keys], pa.int64()), pa.array([float(x[2]) for x in found]),
                      pa.array([float(x[0]) for x in found]), pa.array([float(x[1]) for x in found]), pa.array([-x[3] for x in found], pa.int64())],
                     names=["id", "item", "cosine", "lcs", "answer_share", "word"])
 
@@ -311,36 +316,34 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text:
 
     ``lcs`` is the share of the item's words that the document has in order near ``word``, the first word of the window. Null and
     empty texts on either side, and items without a word, match nothing. Repeated rows are found each on its own. The benchmark
-    is the query set: it is read by the driver, ``items_at_once`` items at a time. Other columns are not looked at.
+    is the query set and is read by the driver. Vocabulary, weights and latent space are fitted once over all items; only the search goes
+    through the items ``items_at_once`` at a time, so what is found for an item does not depend on how many others there are in a part.
+    Words of a separate ``answer`` are part of the vocabulary. Of places of one item in a document the best counts, of equal ones the
+    first. An empty table on either side gives no rows; texts of any length are searched window by window. Other columns, whatever
+    their names, are not looked at.
     """
     spark = docs.sparkSession
     ship(spark)
     rows = benchmark.select(F.col(item_id).alias("i"), F.col(item_text).cast("string").alias("t"),
                             (F.col(answer).cast("string") if answer else F.lit(None).cast("string")).alias("a")).where("t is not null")
-    parts = -(-rows.count() // items_at_once) or 1
     kind = benchmark.schema[item_id].dataType.simpleString()
     id_type = docs.schema[id].dataType.simpleString()
-    found = None
-    for part in range(parts):
-        own = rows.where(F.pmod(F.xxhash64("t"), F.lit(parts)) == part).orderBy("t", "i").toPandas() if parts > 1 else rows.orderBy("t", "i").toPandas()
-        bench = Benchmark(own["i"].tolist(), own["t"].tolist(), own["a"].tolist())
-        schema = f"`{id}` {id_type}, `{item_id}` {kind}, cosine double, lcs double, answer_share double, word long"
-        if not bench.items:
-            one = spark.createDataFrame([], schema)
-        else:
-            coded = stored(encode(docs, id, text, bench).withColumnRenamed(id, "id"), "coded-texts")
-            df = added(coded.where("df is not null").select("df").mapInArrow(_df_pieces, PIECE_ROWS), bench.size)
-            weights = np.log((df[0] + 1) / (df + 1))
-            weights[0] = 0.0
-            texts = coded.where("df is null and octet_length(places) > 0").select("id", "places")
-            points = latent(texts, weights, bench.kind, rank)
-            if not points.shape[1]:
-                points = np.eye(bench.size, dtype=np.float32)[:, :1]  # no passage has a word: nothing is found
-            names = spark.createDataFrame(list(enumerate(bench.ids)), f"item long, name {kind}")
-            one = search(texts, id_type, bench, weights, points, cosine).join(F.broadcast(names), "item").select(
-                F.col("id").alias(id), F.col("name").alias(item_id), "cosine", "lcs", "answer_share", "word")
-        found = one if found is None else found.unionByName(one)
-    return found
+    own = rows.orderBy("t", "i").toPandas()
+    bench = Benchmark(own["i"].tolist(), own["t"].tolist(), own["a"].tolist())
+    if not bench.items:
+        return spark.createDataFrame([], f"`{id}` {id_type}, `{item_id}` {kind}, cosine double, lcs double, answer_share double, word long")
+    coded = stored(encode(docs, id, text, bench).withColumnRenamed(id, "id"), "coded-texts")
+    df = added(coded.where("df is not null").select("df").mapInArrow(_df_pieces, PIECE_ROWS), bench.size)
+    weights = np.log((df[0] + 1) / (df + 1))
+    weights[0] = 0.0
+    texts = coded.where("df is null and octet_length(places) > 0").select("id", "places")
+    points = latent(texts, weights, bench.kind, rank)
+    if not points.shape[1]:
+        points = np.eye(bench.size, dtype=np.float32)[:, :1]  # no passage has a word: nothing is found
+    parts = [search(texts, id_type, bench, weights, points, cosine, k, k + items_at_once) for k in range(0, len(bench.items), items_at_once)]
+    names = spark.createDataFrame(list(enumerate(bench.ids)), f"item long, name {kind}")
+    return reduce(DataFrame.unionByName, parts).join(F.broadcast(names), "item").select(
+        F.col("id").alias(id), F.col("name").alias(item_id), "cosine", "lcs", "answer_share", "word")
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:

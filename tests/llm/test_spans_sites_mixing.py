@@ -172,7 +172,21 @@ def test_leaks_by_recall_against_brute_force(exam):
     plain = {r[0]: (r[1] or "").lower().split() for r in rows if r[0] < 900}
     for i, k in got - want:  # what else is found is in the document in order
         assert lcs(known[k], plain[i]) >= 0.5 * len(known[k])
-    assert D.find_leaks(docs, items, items_at_once=10).count() >= 0.95 * len(want)
+    whole, parts = (sorted(map(tuple, D.find_leaks(docs, items, items_at_once=n).drop("cosine").collect()), key=repr) for n in (50_000, 10))
+    assert whole == parts
+
+
+def test_answers_apart_from_the_item(spark, rng):
+    """A word-for-word copy needs no answer near it; a half copy needs answer words, and unknown words are none."""
+    item = [prose(rng, 1) + f"q{k}" for k in range(20)]
+    answer = ["ans1", "ans2", "ans3"]
+    items = spark.createDataFrame([(1, " ".join(item), " ".join(answer))], "item_id long, text string, answer string")
+    half = [w if k % 5 < 3 else f"other{k}" for k, w in enumerate(item)]
+    rows = [(1, " ".join(item)), (2, " ".join(half + answer)), (3, " ".join(half + ["zz1", "zz2", "zz3"])), (4, prose(rng, 60)), (5, " ".join(half + ["ans2", "x", "ans3"]))]
+    docs = spark.createDataFrame([(i, prose(rng, 12) + " " + t + " " + prose(rng, 12)) for i, t in rows], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in D.find_leaks(docs, items, answer="answer", cosine=-1.0).collect()}
+    assert set(got) == {1, 2, 5}
+    assert got[1]["lcs"] == 1.0 and got[1]["answer_share"] == 0.0 and got[2]["answer_share"] == 1.0
 
 
 def test_subsequence_and_marks():

@@ -86,7 +86,7 @@ def test_tables_score_like_the_network_on_whole_texts():
 
 def test_quality_by_held_out_accuracy(labelled):
     docs, labels, truth = labelled
-    sample = B.sample_labelled(docs, labels, "quality", "doc_id", "text", 1500, 1 << 15)[0].toPandas()
+    sample = B.sample_labelled(docs, labels, "quality", "doc_id", "text", 1500, 8 << 20)[0].toPandas()
     net = B.fit([t.encode() for t in sample["text"]], sample["quality"].to_numpy(), steps=60)
     assert accuracy(B.score_quality(docs, net), truth, 0) > 0.9
     kept = B.keep_good(docs, net)
@@ -197,3 +197,71 @@ def test_losses_by_brute_force(spark, odd, odd_rows, monkeypatch):
         near = [g for g in rows if g[0] == i and g[1] == size and (size == 0 or abs(g[2] - a) < 1e-6 and abs(g[3] - b) < 1e-6)]
         assert near, (i, size, a, b)
         assert size or (near[0][2] is None and near[0][4] == 0)
+
+
+def test_kneser_ney_by_brute_force(spark, monkeypatch):
+    """Counts, both likelihoods and the best passage restated with dictionaries of words."""
+    import math
+    import re
+    from collections import Counter, defaultdict
+
+    rng = np.random.default_rng(4)
+    vocabulary = [f"w{i}" for i in range(25)]
+    texts = [" ".join(rng.choice(vocabulary, rng.integers(3, 30))) + (" Bad word bad" if i % 3 == 0 else "") + f" once{i}" for i in range(60)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)], "doc_id long, toxic int")
+    for d_pairs, d_words in ((0.75, 0.75), (2.0, 1.0)):
+        monkeypatch.setattr(K, "DISCOUNTS", [(d_pairs, d_words)])
+        model = K.train(docs, labels).models
+        rows = K.stored(docs.join(labels, "doc_id").where(~K.held_out()).selectExpr("text", "toxic", "pmod(xxhash64(text), 5) = 0 AS apart"), "brute").collect()
+        fitted = [(re.findall(r"\w+", r["text"].lower()), r["toxic"]) for r in rows if not r["apart"]]
+        n = Counter(w for t, _ in fitted for w in t)
+        known = lambda t: [w if n[w] > 1 else None for w in t]
+        pairs, before = (Counter(), Counter()), (defaultdict(set), defaultdict(set))
+        for t, y in fitted:
+            for a, b in zip(["<s>", *known(t)], known(t)):
+                pairs[y][a, b] += 1
+                before[y][b].add(a)
+        heads = [Counter() for _ in pairs]
+        for y in (0, 1):
+            for (a, _), k in pairs[y].items():
+                heads[y][a] += k
+        pooled = {b: len(before[0][b] | before[1][b]) for b in {*before[0], *before[1]}}
+        whole = sum(pooled.values())
+        shared = {b: max(k - 0.75, 0) / whole for b, k in pooled.items()}
+        rest = max(1 - sum(shared.values()), 1e-9) / (len(shared) + 1)
+        shared = {b: s + rest for b, s in shared.items()}
+        unseen = max(1 - sum(shared.values()), 1e-9)
+
+        def likelihood(y, a, b):
+            kinds = sum(len(x) for x in before[y].values())
+            own = {w: max(len(x) - d_words, 0) / kinds for w, x in before[y].items()}
+            lower = own.get(b, 0) + (1 - sum(own.values())) * shared.get(b, unseen)
+            share = lambda x: max(pairs[y][a, x] - d_pairs, 0) / max(heads[y][a], 1)
+            return share(b) + (1 - sum(share(x) for _, x in [p for p in pairs[y] if p[0] == a])) * lower
+
+        for t in [texts[0], texts[1], "bad word unknown w1 w2", "", "w3"]:
+            own = known(re.findall(r"\w+", t.lower()))
+            delta = [math.log(likelihood(1, a, b)) - math.log(likelihood(0, a, b)) for a, b in zip(["<s>", *own], own)]
+            padded = delta + [0.0] * K.WINDOW
+            want = [sum(delta) / len(delta), max(sum(padded[i:i + K.WINDOW]) / K.WINDOW for i in range(len(delta)))] if delta else [0, 0]
+            assert np.allclose(model.differences(H.split_words([t.encode()]))[0], want, atol=2e-3)
+
+
+def test_sample_is_bounded_by_its_bytes_together(spark):
+    docs = spark.createDataFrame([(i, "x" * (100 if i % 2 else 5000)) for i in range(400)] + [(1, "y" * 50), (7, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 < 2)) for i in range(400)], "doc_id long, toxic int")
+    for rows, size in ((1000, 1 << 30), (40, 1 << 30), (1000, 60_000), (1000, 3000)):
+        sample, counts = K.sample_labelled(docs, labels, "toxic", "doc_id", "text", rows, size)
+        found = sample.toPandas()
+        assert sum(counts.values()) == sum(1 for i in range(400) if K_bucket(i) != 2)
+        for y in (0, 1):
+            own = found[found["toxic"] == y]
+            assert own["doc_id"].nunique() <= rows and own["text"].str.len().sum() <= size and len(own) > 10
+            if size > 5000 and rows >= 1000:
+                assert (own["text"].str.len() == 5000).any()  # long texts are learnt from
+
+
+def K_bucket(i):
+    import zlib
+    return zlib.crc32(str(i).encode()) % 4
