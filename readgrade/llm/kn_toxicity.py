@@ -34,8 +34,8 @@ APART = 5
 class Models:
     """Both classes' models from counts of word pairs, with the words of the shared vocabulary only.
 
-    ``pairs`` (first, second, n0, n1) holds the pairs that a class has more often than the smallest discount, ``heads``
-    (first, n0, n1) all occurrences by first word, ``kinds`` (second, f0, f1, f) by second word how many
+    ``pairs`` (first, second, n0, n1) holds the pairs that a class has more often than the discount, or those that are asked for, ``heads``
+    (first, n0, n1) all occurrences by first word and, as t0_ and t1_ with the discount, what is left of them after it, ``kinds`` (second, f0, f1, f) by second word how many
     different words stand before it in each class and in both together. ``discounts``: taken from each pair count and from each continuation
     count of a class; what is taken goes to the level below. Where a class is a small sample large ones win: a count that both
     classes could have by chance then leaves the shared level in charge.
@@ -52,7 +52,9 @@ class Models:
         self.left = []
         for c in (0, 1):
             share = np.maximum(pairs[f"n{c}"] - discounts[0], 0) / np.maximum(heads[f"n{c}"][where], 1)
-            gain[f"p{c}"], taken[f"t{c}"] = share, np.bincount(where, share, len(order))
+            whole = heads.get(f"t{c}_{discounts[0]}")  # what all pairs of a head keep, if not all pairs are here
+            gain[f"p{c}"] = share
+            taken[f"t{c}"] = np.bincount(where, share, len(order)) if whole is None else whole / np.maximum(heads[f"n{c}"], 1)
             own = np.maximum(kinds[f"f{c}"] - discounts[1], 0) / max(kinds[f"f{c}"].sum(), 1)
             unigram[f"u{c}"] = own
             self.left.append(1 - own.sum())
@@ -162,7 +164,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id: str = "d
 
     At most ``rows_per_class`` rows of each class in the order of a hash of their id, whole, as long as they come to
     ``class_bytes`` at most together; equal texts of a class count once. Word pairs are counted in tasks; the driver holds sums
-    over them and the frequent ones, which the sample bounds. One row in APART serves only to choose the discounts and to fit the
+    over them, to choose the discounts the pairs of the rows kept apart, and then the pairs above the chosen one, all of which the
+    sample bounds. One row in APART serves only to choose the discounts and to fit the
     curve. Without rows of both classes every text gets the score 0.5.
     """
     ship(docs.sparkSession)
@@ -172,20 +175,25 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id: str = "d
     fitted = rows.where(~F.col("apart")).select("text", "y")
     vocabulary = count_words(fitted).where("n > 1").select("w").toPandas()["w"].to_numpy(np.int64).view(np.uint64)
     counted = stored(count_pairs(fitted, np.append(vocabulary, np.array([RARE], np.uint64))), "toxicity-pairs")
-    least = min(pairs for pairs, _ in DISCOUNTS)
-    pairs = _arrays(counted.where(F.greatest("n0", "n1") > least))
-    heads = _arrays(counted.groupBy("first").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
+    kept = [(c, d) for d in sorted({pairs for pairs, _ in DISCOUNTS}) for c in (0, 1)]
+    heads = _arrays(counted.groupBy("first").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), *[
+        F.sum(F.greatest(F.col(f"n{c}") - F.lit(d), F.lit(0.0))).alias(f"k{k}") for k, (c, d) in enumerate(kept)]))
+    heads |= {f"t{c}_{d}": heads.pop(f"k{k}") for k, (c, d) in enumerate(kept)}
+    # the choice needs the pairs of the rows kept apart only
+    asked = count_pairs(rows.where("apart").select("text", "y"), np.append(vocabulary, np.array([RARE], np.uint64))).select("first", "second")
+    near = _arrays(counted.join(asked, ["first", "second"], "left_semi"))
     kinds = _arrays(counted.groupBy("second").agg(F.count_if(F.col("n0") > 0).alias("f0"), F.count_if(F.col("n1") > 0).alias("f1"),
                                                   F.count("*").alias("f")))
     apart = rows.where("apart").select("text", "y").orderBy("text", "y").toPandas()
     known, y = split_words([t.encode() for t in apart["text"]]), apart["y"].to_numpy(np.float64)
     best = None
     for discounts in DISCOUNTS:
-        models = Models(pairs, heads, kinds, discounts)
+        models = Models(near, heads, kinds, discounts)
         weights, loss = logistic(models.differences([w.copy() for w in known]), y)
         if best is None or loss < best[0]:
-            best = loss, models, weights
-    _, models, weights = best
+            best = loss, discounts, weights
+    _, discounts, weights = best
+    models = Models(_arrays(counted.where(F.greatest("n0", "n1") > discounts[0])), heads, kinds, discounts)
     if len(y) and y.min() < y.max():  # from the shares in the sample to the real ones
         real = np.log((counts.get(1, 0) + 1) / (counts.get(0, 0) + 1))
         weights = np.append(weights[:-1], weights[-1] + real - np.log(y.sum() / (len(y) - y.sum())))
