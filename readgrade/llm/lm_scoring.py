@@ -1,155 +1,224 @@
 """LM scoring: cross-entropy difference between a target and a background model.
 
-Both are bigram models over one vocabulary with the same kept pairs and the same smoothing; the background counts are
-scaled to the target's number of words, so that a discount weighs the same in both. All texts
-are counted. What is broadcast has a bound that holds for any corpus, since it is a share of all words: a word that makes
-up at least 1 / WORDS of them is in the vocabulary, a pair that makes up 1 / PAIRS of them is kept, so there are at most
-WORDS and PAIRS of these. Everything else is the rare word, or left to the single word.
+Both are interpolated bigram models over one vocabulary with the same kept pairs and the same smoothing; the background
+counts are scaled to the target's number of words, so that a discount weighs the same in both. All texts are counted. A
+word or pair seen twice or more in the whole corpus is kept, whatever the size of the corpus; words seen once are one
+unknown word. The model is a table that grows with the corpus and is never whole in one place.
+
+The loss of a text falls into pieces that add up: of each word the loss it has alone and, as the word before another, the
+weight of its unseen successors; of each kept pair what it saves. Pieces are longs, so sums do not depend on their order. At most
+3 * HOT + 1 pieces are broadcast, those of words and pairs that make up 1 / HOT of all words; a text asks for the others
+by a join, where no key has more than 1 / HOT of the rows. HOT decides who looks a piece up, not what it is worth.
+
+Null and empty texts have no word. Very long texts are read in parts. Repeated rows count and are scored one by one, ids
+may be null or repeated, empty tables give empty results, other columns are not looked at. Nothing is
+ranked, so there are no ties.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from readgrade.llm.common import checked_broadcast, per_text, ship, slices, stored, table
-from readgrade.llm.word_hashes import hash_words
+from readgrade.llm.common import checked_broadcast, ship, slices, stored, table
+from readgrade.llm.word_hashes import RARE, START, hash_words, pair
 
-WORDS, PAIRS, DISCOUNT = 1 << 20, 1 << 21, 0.75
-#: Kinds of words or pairs that a task adds up before it hands them to the exchange.
-HELD = 1 << 20
+SEEN, DISCOUNT, HOT = 2, 0.75, 1 << 19
+#: Second halves of pieces that are no pair: a word for itself, a word that ends a text. No hash of a word is so low.
+WORD, END = 0, RARE
+#: Losses are kept in this fraction of a nat.
+UNIT = 1 << 20
+#: Kinds of pieces that a task adds up before it hands them to the exchange; rows of a batch on the way out.
+HELD, ROWS = 1 << 20, 1 << 17
 
 
-def added(rows: DataFrame, keys_of) -> DataFrame:
-    """(key, n, t): occurrences of the keys in all rows and in target rows of (text, target), added up within each task first.
+def _neighbours(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The word before each (START for the first), the texts that have words, and the last word of each of these."""
+    full = np.flatnonzero(counts)
+    first = (np.cumsum(counts) - counts)[full]
+    before = np.concatenate((hashes[:0], hashes[:1], hashes[:-1]))[:len(hashes)]
+    before[first] = START
+    return before, full, hashes[first + counts[full] - 1]
 
-    ``keys_of()`` gives a function from the word hashes of texts one after another, and the words of each, to keys.
-    """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, parts, size = keys_of(), [], 0
 
-        def merged():
-            key, where = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-            return key, *(np.bincount(where, np.concatenate([p[k] for p in parts]), len(key)).astype(np.int64) for k in (1, 2))
+def _same(n: int, value: int) -> np.ndarray:
+    return np.full(n, value, np.uint64)
+
+
+def counted(rows: DataFrame) -> DataFrame:
+    """(a, b, n, t): occurrences in all rows and in target rows of (text, target), of words (b is WORD) and pairs.
+
+    START with WORD is the number of texts that have words. Added up within each task first.
+    """
+    def merged(parts):
+        a, b = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+        _, at, where = np.unique(pair(a, b), return_index=True, return_inverse=True)
+        return a[at], b[at], *(np.bincount(where, np.concatenate([p[k] for p in parts]), len(at)).astype(np.int64) for k in (2, 3))
 
-        def out(part):
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in part], names=["key", "n", "t"])
+    def out(part):
+        return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in part], names=["a", "b", "n", "t"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size = [], 0
         for batch in batches:
             column = batch.column(0).cast(pa.large_binary())
             for begin, end in slices(column):
                 hashes, counts = hash_words(column.slice(begin, end - begin).to_pylist())
-                target = np.repeat(batch.column(1).slice(begin, end - begin).to_numpy(zero_copy_only=False), counts)
-                key, where = np.unique(keys(hashes, counts), return_inverse=True)
-                parts.append((key, np.bincount(where, minlength=len(key)), np.bincount(where, target, len(key)).astype(np.int64)))
-                size += len(key)
+                target = batch.column(1).slice(begin, end - begin).to_numpy(zero_copy_only=False).astype(np.int64)
+                before, full, _ = _neighbours(hashes, counts)
+                each = np.repeat(target, counts)
+                parts.append(merged([(np.concatenate((hashes, _same(len(full), START), before)),
+                                      np.concatenate((_same(len(hashes) + len(full), WORD), hashes)),
+                                      np.ones(2 * len(hashes) + len(full)), np.concatenate((each, target[full], each)))]))
+                size += len(parts[-1][0])
                 if size > 2 * HELD:
-                    parts = [merged()]
+                    parts = [merged(parts)]
                     size = len(parts[0][0])
                     if size > HELD:
                         yield out(parts[0])
                         parts, size = [], 0
         if parts:
-            yield out(merged())
-
-    return rows.mapInArrow(run, "key long, n long, t long").groupBy("key").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
+            yield out(merged(parts))
 
+    return rows.mapInArrow(run, "a long, b long, n long, t long").groupBy("a", "b").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
 
-class Coder:
-    """Word hashes to places in the vocabulary; 0 is the rare word, the text start is as large as the vocabulary."""
 
-    def __init__(self, vocabulary: np.ndarray) -> None:
-        self.hashes = vocabulary
+class Pieces:
+    """The broadcast pieces: sorted codes with two losses each; what is not there has none."""
 
-    def __call__(self, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.hashes):
-            return np.zeros(len(hashes), np.int64)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, at + 1, 0)
+    def __init__(self, a: np.ndarray, b: np.ndarray, losses: np.ndarray) -> None:
+        codes = pair(a.view(np.uint64), b.view(np.uint64))
+        order = np.argsort(codes)
+        self.codes, self.losses = codes[order], np.concatenate((losses[order], np.zeros((1, 2), np.int64)))
 
-    def pairs(self, hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        own = self(hashes)
-        before = np.concatenate((np.zeros(1, np.int64), own[:-1]))[:len(own)]
-        before[(np.cumsum(counts) - counts)[counts > 0]] = len(self.hashes) + 1
-        return before << 32 | own
+    def at(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Places; the number of pieces where there is none."""
+        codes = pair(a, b)
+        at = np.searchsorted(self.codes, codes)
+        if len(self.codes):
+            at[self.codes[np.minimum(at, len(self.codes) - 1)] != codes] = len(self.codes)
+        return at
 
 
+@dataclass
 class Models:
-    """Matched models: ``losses`` gives natural-log losses."""
-
-    def __init__(self, vocabulary: np.ndarray, counts: np.ndarray, pairs: np.ndarray, pair_counts: np.ndarray,
-                 heads: np.ndarray, totals: np.ndarray) -> None:
-        """counts (places, 2), pair_counts (pairs, 2), heads (places + 1, 2): target, background; totals: words of each."""
-        self.coder = Coder(vocabulary)
-        scale = np.array([1.0, totals[0] / max(totals[1], 1.0)])
-        single = counts * scale + 0.5
-        self.single = single / single.sum(axis=0)
-        order = np.argsort(pairs)
-        self.keys = pairs[order]
-        head = heads * scale
-        share = np.maximum(pair_counts[order] * scale - DISCOUNT, 0) / np.maximum(head[self.keys >> 32], 1e-9)
-        self.rest = np.ones((len(counts) + 1, 2))
-        for c in (0, 1):
-            self.rest[:, c] -= np.bincount(self.keys >> 32, share[:, c], len(self.rest))
-        self.share = np.concatenate((share, np.zeros((1, 2))))
-
-    def losses(self, hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """(texts, 2): losses of texts one after another, summed over the words of each."""
-        out, full = np.zeros((len(counts), 2)), np.flatnonzero(counts)
-        if not len(full):
-            return out
-        code = self.coder.pairs(hashes, counts)
-        at = np.searchsorted(self.keys, code)
-        at[at == len(self.keys)] = 0
-        at = np.where(self.keys[at] == code, at, len(self.keys)) if len(self.keys) else at
-        starts = (np.cumsum(counts) - counts)[full]
-        for c in (0, 1):
-            p = self.share[at, c] + np.maximum(self.rest[code >> 32, c], 0) * self.single[code & 0xFFFFFFFF, c]
-            out[full, c] = np.add.reduceat(-np.log(np.maximum(p, 1e-300)), starts)
-        return out
-
-
-def train(docs: DataFrame, target: str, text: str = "text", words_bound: int = WORDS, pairs_bound: int = PAIRS) -> Models:
+    """Matched models: ``rest`` (key, l0, l1) is a stored table, ``hot`` has a bound; losses of target and background."""
+
+    hot: Pieces
+    rest: DataFrame
+    unknown: np.ndarray
+    start: np.ndarray
+
+
+def _piece(a: str, b: Column, n: str, *losses: Column) -> list[Column]:
+    return [F.col(a).alias("a"), b.cast("long").alias("b"), F.col(n).alias("n"),
+            *(F.round(x * UNIT).cast("long").alias(f"l{c}") for c, x in enumerate(losses))]
+
+
+def train(docs: DataFrame, target: str, text: str = "text", hot: int = HOT) -> Models:
     """Count all texts; rows where the boolean column ``target`` is true are the target, all rows the background."""
     ship(docs.sparkSession)
     rows = docs.select(F.col(text).cast("string").alias("text"), F.coalesce(F.col(target), F.lit(False)).alias("target"))
-    singles = stored(added(rows, lambda: lambda w, _: w.view(np.int64)), "words")
-    total = singles.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("t"), F.lit(0))).first()
-    known = singles.where(F.col("n") >= F.lit(max(total[0] / words_bound, 2))).toPandas()
-    known = known.assign(hash=known["key"].to_numpy(np.int64).view(np.uint64)).sort_values("hash")
-    vocabulary, sizes = known["hash"].to_numpy(), known[["t", "n"]].to_numpy(np.float64)
-    totals = np.array([total[1], total[0]], np.float64)
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    both = stored(added(rows, lambda: Coder(shared.value).pairs), "word-pairs")
-    head = F.shiftright("key", 32)
-    heads = both.groupBy(head.alias("v")).agg(F.sum("t").alias("t"), F.sum("n").alias("n")).toPandas()  # one a word
-    kept = both.where(F.col("n") >= F.lit(max(total[0] / pairs_bound, 2))).toPandas()
-    of = np.zeros((len(vocabulary) + 2, 2))
-    of[heads["v"].to_numpy(np.int64)] = heads[["t", "n"]].to_numpy(np.float64)
-    return Models(vocabulary, np.concatenate((totals[None] - sizes.sum(axis=0), sizes)), kept["key"].to_numpy(np.int64),
-                  kept[["t", "n"]].to_numpy(np.float64), of, totals)
+    counts = stored(counted(rows).where((F.col("n") >= SEEN) | (F.col("b") == WORD)), "word-counts")
+    words, pairs, known = counts.where(F.col("b") == WORD).drop("b"), counts.where(F.col("b") != WORD), F.col("n") >= SEEN
+    sums = words.where(F.col("a") != START).agg(
+        *(F.coalesce(F.sum(x), F.lit(0)) for x in ("t", "n", F.when(known, F.col("t")), F.when(known, F.col("n")))), F.count(F.when(known, 1))).first()
+    scale = (1.0, sums[0] / max(sums[1], 1))
+    whole = [sums[c] * scale[c] + 0.5 * (sums[4] + 1) for c in (0, 1)]
+    unknown = [-np.log(((sums[c] - sums[2 + c]) * scale[c] + 0.5) / whole[c]) for c in (0, 1)]
+    often = max(sums[1] / hot, SEEN)
+
+    def of(c: int, side: str = "") -> Column:
+        return F.col(side + "tn"[c]) * scale[c]
+
+    def cut(c: int) -> Column:
+        return F.greatest(of(c) - DISCOUNT, F.lit(0.0))
+
+    taken = pairs.groupBy("a").agg(*(F.sum(cut(c)).alias(f"taken{c}") for c in (0, 1)))
+    kinds = stored(words.where(known | (F.col("a") == START)).join(taken, "a", "left").select(
+        "a", "n", "t", *(F.log((of(c) + 0.5) / whole[c]).alias(f"alone{c}") for c in (0, 1)),
+        *(F.log(F.greatest(1 - F.coalesce(F.col(f"taken{c}"), F.lit(0.0)) / F.greatest(of(c), F.lit(1e-9)), F.lit(1e-12))).alias(f"left{c}") for c in (0, 1)),
+    ), "words")
+    is_hot = (F.col("n") >= often) | (F.col("a") == START)
+
+    def with_word(pairs: DataFrame, key: str, *columns: str) -> DataFrame:
+        """Frequent words, ``hot`` and the start at most, by broadcast; only pairs of the others are shuffled."""
+        side = kinds.where(is_hot).select(F.col("a").alias(key), *(F.col(c).alias(f"{key}_{c}") for c in columns))
+        other = kinds.where(~is_hot).select(F.col("a").alias(key), *(F.col(c).alias(f"{key}_{c}") for c in columns))
+        return pairs.join(F.broadcast(side), key).unionByName(
+            pairs.join(F.broadcast(side.select(key)), key, "left_anti").join(other, key))
+
+    matched = with_word(with_word(pairs, "a", "n", "t", "left0", "left1"), "b", "alone0", "alone1")
+    saved = []
+    for c in (0, 1):
+        fallen = F.col(f"a_left{c}") + F.col(f"b_alone{c}")
+        saved.append(fallen - F.log(cut(c) / F.greatest(of(c, "a_"), F.lit(1e-9)) + F.exp(fallen)))
+    real = kinds.where(F.col("a") != START)
+    pieces = stored(
+        matched.select(*_piece("a", F.col("b"), "n", *saved))
+        .unionByName(real.select(*_piece("a", F.lit(WORD), "n", *(-F.col(f"alone{c}") - F.col(f"left{c}") - float(unknown[c]) for c in (0, 1)))))
+        .unionByName(real.select(*_piece("a", F.lit(END), "n", F.col("left0"), F.col("left1"))))
+        .where((F.col("n") >= often) | (F.col("l0") != 0) | (F.col("l1") != 0)), "pieces")
+    near = pieces.where(F.col("n") >= often).select("a", "b", "l0", "l1").toPandas()  # 3 * hot rows at most
+    start = kinds.where(F.col("a") == START).select(*(F.round(-F.col(f"left{c}") * UNIT).cast("long") for c in (0, 1))).first()
+    return Models(Pieces(*(near[c].to_numpy(np.int64) for c in "ab"), near[["l0", "l1"]].to_numpy(np.int64)),
+                  pieces.where(F.col("n") < often).select(F.xxhash64("a", "b").alias("key"), "l0", "l1"),
+                  np.rint(np.array(unknown) * UNIT).astype(np.int64), np.array(start or (0, 0), np.int64))
 
 
 def score(docs: DataFrame, models: Models, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, n_tokens, target_loss, background_loss, score), one row per document.
 
     Losses are in bits a word; ``score`` is the target loss less the background loss, so low means like the target.
-    Texts without a word, null ones too, have null losses and the score 0. Other columns are not looked at.
+    Texts without a word, null ones too, have null losses and the score 0. Rows are numbered where they are read, so
+    ``docs`` should come from files or a stored table, as a lost task must find its rows in the same order.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(models)
-
-    def start():
-        def columns(texts):
-            hashes, n = hash_words(texts)
-            loss = shared.value.losses(hashes, n) / (np.log(2) * np.maximum(n, 1)[:, None])
-            loss[n == 0] = np.nan
-            return [n, *(pa.array(x, from_pandas=True) for x in loss.T), np.where(n > 0, loss[:, 0] - loss[:, 1], 0.0)]
-        return columns
+    ship(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast((models.hot, models.unknown, models.start))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id).alias("id"), F.col(text).cast("string").alias("text"))
+    longs = [StructField(c, LongType()) for c in ("words", "l0", "l1")]
+    schema = StructType([StructField(c, LongType()) for c in ("row", "a", "b")] + [
+        StructField("head", StructType([StructField("id", docs.schema[id].dataType), *longs]))])
 
-    return per_text(docs, id, text, "n_tokens long, target_loss double, background_loss double, score double", start)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A head for each text with the pieces at hand added up, and a row for each piece that it must ask for."""
+        hot, unknown, start = shared.value
+        for batch in batches:
+            column = batch.column(2).cast(pa.large_binary())
+            for begin, end in slices(column):
+                hashes, counts = hash_words(column.slice(begin, end - begin).to_pylist())
+                before, full, last = _neighbours(hashes, counts)
+                row, ids = batch.column(0).slice(begin, end - begin).to_numpy(), batch.column(1).slice(begin, end - begin)
+                of = np.repeat(np.arange(len(counts)), counts)
+                losses = counts[:, None] * unknown  # pieces of words are told from the unknown word
+                losses[full] += start
+                asked = []
+                for a, b, text_of in ((hashes, _same(len(hashes), WORD), of), (before, hashes, of), (last, _same(len(last), END), full)):
+                    at = hot.at(a, b)
+                    far = at == len(hot.codes)
+                    for c in (0, 1):  # sums of longs below 2^53
+                        losses[:, c] += np.bincount(text_of, hot.losses[at, c], len(counts)).astype(np.int64)
+                    asked.append((row[text_of[far]], a[far].view(np.int64), b[far].view(np.int64)))
+                head = pa.StructArray.from_arrays([ids, *(pa.array(x) for x in (counts, losses[:, 0], losses[:, 1]))], names=["id", "words", "l0", "l1"])
+                yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(row), pa.array(np.full(len(row), -1)), head], names=schema.names)
+                asked = [np.concatenate(x) for x in zip(*asked)]
+                for k in range(0, len(asked[0]), ROWS):
+                    part = [pa.array(x[k:k + ROWS]) for x in asked]
+                    yield pa.RecordBatch.from_arrays([*part, pa.nulls(len(part[0]), head.type)], names=schema.names)
+
+    asks = rows.mapInArrow(run, schema).select("row", F.xxhash64("a", "b").alias("key"), "head")
+    told = asks.join(models.rest, "key", "left").where("head is not null or l0 is not null")
+    sums = told.groupBy("row").agg(F.max("head.id").alias(id), F.max("head.words").alias("n_tokens"), *(
+        F.sum(F.when(F.col("head").isNull(), F.col(f"l{c}")).otherwise(F.col(f"head.l{c}"))).alias(f"sum{c}") for c in (0, 1)))
+    some = F.col("n_tokens") > 0
+    loss = [F.when(some, F.col(f"sum{c}") / (UNIT * float(np.log(2))) / F.col("n_tokens")) for c in (0, 1)]
+    return sums.select(id, "n_tokens", loss[0].alias("target_loss"), loss[1].alias("background_loss"),
+                       F.coalesce(loss[0] - loss[1], F.lit(0.0)).alias("score"))
 
 
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

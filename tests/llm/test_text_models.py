@@ -163,40 +163,57 @@ def test_language_of_parts_is_that_of_the_whole(monkeypatch, odd_rows):
     assert np.array_equal(whole[0], parts[0]) and np.array_equal(whole[1], parts[1])
 
 
-def test_losses_by_brute_force(spark, odd, odd_rows, monkeypatch):
+@pytest.mark.parametrize("hot", [1, 300, 1 << 19])
+def test_losses_by_brute_force(spark, odd, odd_rows, monkeypatch, hot):
+    """Whatever share of the pieces is broadcast."""
     monkeypatch.setattr(M, "HELD", 40)
     target = {i for i in range(6)}
-    models = M.train(odd.withColumn("target", F.col("doc_id").isin(*target)), "target", words_bound=400, pairs_bound=2000)
+    models = M.train(odd.withColumn("target", F.col("doc_id").isin(*target)), "target", hot=hot)
+    assert (models.rest.count() == 0) == (hot == 1 << 19)
     texts = [re.findall(r"\w+", (r[1] or "").lower()) for r in odd_rows]
     flags = [r[0] in target for r in odd_rows]
     n = [Counter(w for t, f in zip(texts, flags) for w in t if all_ or f) for all_ in (False, True)]
     total = [sum(c.values()) for c in n]
-    known = {w for w, c in n[1].items() if c >= max(total[1] / 400, 2)}
-    coded = [[w if w in known else None for w in t] for t in texts]
-    single = [Counter(w for t, f in zip(coded, flags) for w in t if all_ or f) for all_ in (False, True)]
-    pairs = [Counter(p for t, f in zip(coded, flags) if all_ or f for p in zip(["<s>", *t], t)) for all_ in (False, True)]
-    kept = {p for p, c in pairs[1].items() if c >= max(total[1] / 2000, 2)}
-    heads = [Counter() for _ in range(2)]
-    for k in (0, 1):
-        for (a, _), c in pairs[k].items():
-            heads[k][a] += c
+    known = {w for w, c in n[1].items() if c >= 2}
+    single = [Counter(w if w in known else None for w in c.elements()) for c in n]
+    pairs = [Counter(p for t, f in zip(texts, flags) if all_ or f for p in zip(["<s>", *t], t)) for all_ in (False, True)]
+    kept = {p for p, c in pairs[1].items() if c >= 2}
+    heads = [n[k] + Counter({"<s>": sum(1 for t, f in zip(texts, flags) if t and (k or f))}) for k in (0, 1)]
     scale = [1.0, total[0] / total[1]]
+    whole = [sum(single[k][w] * scale[k] + 0.5 for w in [None, *known]) for k in (0, 1)]
+    share = [{x: max(pairs[k][x] * scale[k] - 0.75, 0) / max(heads[k][x[0]] * scale[k], 1e-9) for x in kept} for k in (0, 1)]
+    taken = [Counter(), Counter()]
+    for k in (0, 1):
+        for (a, _), s in share[k].items():
+            taken[k][a] += s
 
     def p(k, a, b):
-        whole = sum(single[k][w] * scale[k] + 0.5 for w in [None, *known])
-        base = (single[k][b] * scale[k] + 0.5) / whole
-        share = lambda x: max(pairs[k][x] * scale[k] - 0.75, 0) / max(heads[k][x[0]] * scale[k], 1e-9)
-        return (share((a, b)) if (a, b) in kept else 0) + max(1 - sum(share(x) for x in kept if x[0] == a), 0) * base
+        base = (single[k][b if b in known else None] * scale[k] + 0.5) / whole[k]
+        return share[k].get((a, b), 0) + (1 - taken[k][a]) * base
 
-    rows = [tuple(r) for r in M.score(odd, models).collect()]
+    for a in ("<s>", max(known, key=n[1].get)):
+        assert sum(p(0, a, w) for w in [None, *known]) == pytest.approx(1)
     want = []
-    for r, t in list(zip(odd_rows, coded))[:20]:
+    for r, t in zip(odd_rows, texts):
         loss = [-sum(np.log2(p(k, a, b)) for a, b in zip(["<s>", *t], t)) / max(len(t), 1) for k in (0, 1)]
-        want.append((r[0], len(t), *loss))
-    for i, size, a, b in want:
-        near = [g for g in rows if g[0] == i and g[1] == size and (size == 0 or abs(g[2] - a) < 1e-6 and abs(g[3] - b) < 1e-6)]
-        assert near, (i, size, a, b)
-        assert size or (near[0][2] is None and near[0][4] == 0)
+        want.append((r[0] is None, r[0] or 0, len(t), *(loss if t else (0, 0)), loss[0] - loss[1]))
+    got = [(r[0] is None, r[0] or 0, r[1], r[2] or 0, r[3] or 0, r[4]) for r in M.score(odd, models).collect()]
+    assert len(got) == len(want)
+    for g, w in zip(sorted(got), sorted(want)):
+        assert g == pytest.approx(w, abs=1e-5)
+
+
+def test_a_larger_corpus_keeps_what_it_knew(spark, odd):
+    """Rare words and pairs of a small corpus stay in the model when the corpus grows tenfold by other texts."""
+    small = odd.select("doc_id", "text").withColumn("target", F.col("doc_id") < 6)
+    others = spark.range(100, 400).selectExpr("id as doc_id", "concat_ws(' ', transform(sequence(1, 400), x -> concat('other', (x * id) % 97))) as text", "false as target")
+    counts = [M.counted(d.select("text", F.coalesce("target", F.lit(False)).alias("target"))).where("n >= 2") for d in (small, small.unionByName(others))]
+    assert counts[0].join(counts[1], ["a", "b", "n", "t"], "left_anti").where(F.col("a") != H.START).count() == 0
+    models = M.train(small.unionByName(others), "target", hot=50)
+    asked = counts[0].where((F.col("b") != M.WORD) & (F.col("t") > 0)).select(F.xxhash64("a", "b").alias("key"))
+    told = asked.join(models.rest, "key", "left_semi").count() + sum(
+        int(x) for x in (models.hot.at(*(c.to_numpy(np.int64).view(np.uint64) for _, c in counts[0].where((F.col("b") != M.WORD) & (F.col("t") > 0)).select("a", "b").toPandas().items())) < len(models.hot.codes)))
+    assert told == asked.count() > 0
 
 
 def test_kneser_ney_by_brute_force(spark, monkeypatch):
