@@ -8,7 +8,8 @@ unknown word. The model is a table that grows with the corpus and is never whole
 The loss of a text falls into pieces that add up: of each word the loss it has alone and, as the word before another, the
 weight of its unseen successors; of each kept pair what it saves. Pieces are longs, so sums do not depend on their order. At most
 3 * HOT + 1 pieces are broadcast, those of words and pairs that make up 1 / HOT of all words; a text asks for the others
-by a join, where no key has more than 1 / HOT of the rows. HOT decides who looks a piece up, not what it is worth.
+by a join, where no key has more than 1 / HOT of the rows. HOT decides who looks a piece up, not what it is worth, and
+which words travel as small numbers in place of their hashes.
 
 Null and empty texts have no word. Very long texts are read in parts. Repeated rows count and are scored one by one, ids
 may be null or repeated, empty tables give empty results, other columns are not looked at. Nothing is
@@ -34,26 +35,46 @@ WORD, END = 0, RARE
 #: Losses are kept in this fraction of a nat.
 UNIT = 1 << 20
 #: Kinds of pieces that a task adds up before it hands them to the exchange; rows of a batch on the way out.
-HELD, ROWS = 1 << 20, 1 << 17
+HELD, ROWS = 1 << 19, 1 << 17
 
 
-def _neighbours(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _neighbours(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The word before each (START for the first), the texts that have words, and the last word of each of these."""
     full = np.flatnonzero(counts)
     first = (np.cumsum(counts) - counts)[full]
-    before = np.concatenate((hashes[:0], hashes[:1], hashes[:-1]))[:len(hashes)]
+    before = np.concatenate((words[:0], words[:1], words[:-1]))[:len(words)]
     before[first] = START
-    return before, full, hashes[first + counts[full] - 1]
+    return before, full, words[first + counts[full] - 1]
 
 
 def _same(n: int, value: int) -> np.ndarray:
     return np.full(n, value, np.uint64)
 
 
-def counted(rows: DataFrame) -> DataFrame:
-    """(a, b, n, t): occurrences in all rows and in target rows of (text, target), of words (b is WORD) and pairs.
+class Coder:
+    """Hashes of frequent words, which is a list of ``hot`` at most, to numbers above END; other words keep their hashes."""
 
-    START with WORD is the number of texts that have words. Added up within each task first.
+    def __init__(self, hashes: np.ndarray) -> None:
+        self.hashes = np.sort(hashes)
+
+    def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.hashes):
+            return hashes
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, at.astype(np.uint64) + np.uint64(END + 1), hashes)
+
+
+def _words(hashes: np.ndarray, counts: np.ndarray, flags: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Each word, and START once for each text that has words; with WORD and the flag of the text."""
+    full = np.flatnonzero(counts)
+    a = np.concatenate((hashes, _same(len(full), START)))
+    return a, _same(len(a), WORD), np.concatenate((np.repeat(flags, counts), flags[full]))
+
+
+def counted(rows: DataFrame, kinds) -> DataFrame:
+    """(a, b, n, t): how often each kind occurs in all rows and in target rows of (text, target), added up within each task first.
+
+    ``kinds()`` gives a function from word hashes, the words of each text and the flags of the texts to (a, b, flag).
     """
     def merged(parts):
         a, b = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
@@ -64,17 +85,13 @@ def counted(rows: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in part], names=["a", "b", "n", "t"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, size = [], 0
+        make, parts, size = kinds(), [], 0
         for batch in batches:
             column = batch.column(0).cast(pa.large_binary())
             for begin, end in slices(column):
                 hashes, counts = hash_words(column.slice(begin, end - begin).to_pylist())
-                target = batch.column(1).slice(begin, end - begin).to_numpy(zero_copy_only=False).astype(np.int64)
-                before, full, _ = _neighbours(hashes, counts)
-                each = np.repeat(target, counts)
-                parts.append(merged([(np.concatenate((hashes, _same(len(full), START), before)),
-                                      np.concatenate((_same(len(hashes) + len(full), WORD), hashes)),
-                                      np.ones(2 * len(hashes) + len(full)), np.concatenate((each, target[full], each)))]))
+                a, b, flag = make(hashes, counts, batch.column(1).slice(begin, end - begin).to_numpy(zero_copy_only=False).astype(np.int64))
+                parts.append(merged([(a, b, np.ones(len(a)), flag)]))
                 size += len(parts[-1][0])
                 if size > 2 * HELD:
                     parts = [merged(parts)]
@@ -88,6 +105,12 @@ def counted(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long, n long, t long").groupBy("a", "b").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
 
 
+def _key(a: str = "a", b: str = "b") -> Column:
+    """One long for a piece: two numbers of frequent words side by side, or a hash where one is no such number."""
+    small = F.col(a).between(0, HOT + END) & F.col(b).between(0, HOT + END)
+    return F.when(small, F.shiftleft(F.col(a), 32).bitwiseOR(F.col(b))).otherwise(F.xxhash64(a, b))
+
+
 class Pieces:
     """The broadcast pieces: sorted codes with two losses each; what is not there has none."""
 
@@ -109,6 +132,7 @@ class Pieces:
 class Models:
     """Matched models: ``rest`` (key, l0, l1) is a stored table, ``hot`` has a bound; losses of target and background."""
 
+    coder: Coder
     hot: Pieces
     rest: DataFrame
     unknown: np.ndarray
@@ -124,14 +148,26 @@ def train(docs: DataFrame, target: str, text: str = "text", hot: int = HOT) -> M
     """Count all texts; rows where the boolean column ``target`` is true are the target, all rows the background."""
     ship(docs.sparkSession)
     rows = docs.select(F.col(text).cast("string").alias("text"), F.coalesce(F.col(target), F.lit(False)).alias("target"))
-    counts = stored(counted(rows).where((F.col("n") >= SEEN) | (F.col("b") == WORD)), "word-counts")
-    words, pairs, known = counts.where(F.col("b") == WORD).drop("b"), counts.where(F.col("b") != WORD), F.col("n") >= SEEN
+    words, known = stored(counted(rows, lambda: _words).drop("b"), "word-counts"), F.col("n") >= SEEN
     sums = words.where(F.col("a") != START).agg(
         *(F.coalesce(F.sum(x), F.lit(0)) for x in ("t", "n", F.when(known, F.col("t")), F.when(known, F.col("n")))), F.count(F.when(known, 1))).first()
     scale = (1.0, sums[0] / max(sums[1], 1))
     whole = [sums[c] * scale[c] + 0.5 * (sums[4] + 1) for c in (0, 1)]
     unknown = [-np.log(((sums[c] - sums[2 + c]) * scale[c] + 0.5) / whole[c]) for c in (0, 1)]
     often = max(sums[1] / hot, SEEN)
+    is_hot = (F.col("n") >= often) | (F.col("a") == START)
+    coder = Coder(words.where((F.col("n") >= often) & (F.col("a") != START)).select("a").toPandas()["a"].to_numpy(np.int64).view(np.uint64))
+    shared = docs.sparkSession.sparkContext.broadcast(coder)
+
+    def neighbours():
+        def make(hashes, counts, flags):
+            own = shared.value(hashes)
+            return _neighbours(own, counts)[0], own, np.repeat(flags, counts)
+        return make
+
+    pairs = stored(counted(rows, neighbours).where(known), "pair-counts")
+    codes = docs.sparkSession.createDataFrame(pa.table({"a": coder.hashes.view(np.int64), "code": np.arange(END + 1, END + 1 + len(coder.hashes))}))
+    words = words.where(known | (F.col("a") == START)).join(F.broadcast(codes), "a", "left").withColumn("a", F.coalesce("code", "a")).drop("code")
 
     def of(c: int, side: str = "") -> Column:
         return F.col(side + "tn"[c]) * scale[c]
@@ -140,11 +176,10 @@ def train(docs: DataFrame, target: str, text: str = "text", hot: int = HOT) -> M
         return F.greatest(of(c) - DISCOUNT, F.lit(0.0))
 
     taken = pairs.groupBy("a").agg(*(F.sum(cut(c)).alias(f"taken{c}") for c in (0, 1)))
-    kinds = stored(words.where(known | (F.col("a") == START)).join(taken, "a", "left").select(
+    kinds = stored(words.join(taken, "a", "left").select(
         "a", "n", "t", *(F.log((of(c) + 0.5) / whole[c]).alias(f"alone{c}") for c in (0, 1)),
         *(F.log(F.greatest(1 - F.coalesce(F.col(f"taken{c}"), F.lit(0.0)) / F.greatest(of(c), F.lit(1e-9)), F.lit(1e-12))).alias(f"left{c}") for c in (0, 1)),
     ), "words")
-    is_hot = (F.col("n") >= often) | (F.col("a") == START)
 
     def with_word(pairs: DataFrame, key: str, *columns: str) -> DataFrame:
         """Frequent words, ``hot`` and the start at most, by broadcast; only pairs of the others are shuffled."""
@@ -166,8 +201,8 @@ def train(docs: DataFrame, target: str, text: str = "text", hot: int = HOT) -> M
         .where((F.col("n") >= often) | (F.col("l0") != 0) | (F.col("l1") != 0)), "pieces")
     near = pieces.where(F.col("n") >= often).select("a", "b", "l0", "l1").toPandas()  # 3 * hot rows at most
     start = kinds.where(F.col("a") == START).select(*(F.round(-F.col(f"left{c}") * UNIT).cast("long") for c in (0, 1))).first()
-    return Models(Pieces(*(near[c].to_numpy(np.int64) for c in "ab"), near[["l0", "l1"]].to_numpy(np.int64)),
-                  pieces.where(F.col("n") < often).select(F.xxhash64("a", "b").alias("key"), "l0", "l1"),
+    return Models(coder, Pieces(*(near[c].to_numpy(np.int64) for c in "ab"), near[["l0", "l1"]].to_numpy(np.int64)),
+                  pieces.where(F.col("n") < often).select(_key().alias("key"), "l0", "l1"),
                   np.rint(np.array(unknown) * UNIT).astype(np.int64), np.array(start or (0, 0), np.int64))
 
 
@@ -179,7 +214,7 @@ def score(docs: DataFrame, models: Models, id: str = "doc_id", text: str = "text
     ``docs`` should come from files or a stored table, as a lost task must find its rows in the same order.
     """
     ship(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast((models.hot, models.unknown, models.start))
+    shared = docs.sparkSession.sparkContext.broadcast((models.coder, models.hot, models.unknown, models.start))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id).alias("id"), F.col(text).cast("string").alias("text"))
     longs = [StructField(c, LongType()) for c in ("words", "l0", "l1")]
     schema = StructType([StructField(c, LongType()) for c in ("row", "a", "b")] + [
@@ -187,18 +222,19 @@ def score(docs: DataFrame, models: Models, id: str = "doc_id", text: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A head for each text with the pieces at hand added up, and a row for each piece that it must ask for."""
-        hot, unknown, start = shared.value
+        coder, hot, unknown, start = shared.value
         for batch in batches:
             column = batch.column(2).cast(pa.large_binary())
             for begin, end in slices(column):
                 hashes, counts = hash_words(column.slice(begin, end - begin).to_pylist())
-                before, full, last = _neighbours(hashes, counts)
+                own = coder(hashes)
+                before, full, last = _neighbours(own, counts)
                 row, ids = batch.column(0).slice(begin, end - begin).to_numpy(), batch.column(1).slice(begin, end - begin)
                 of = np.repeat(np.arange(len(counts)), counts)
                 losses = counts[:, None] * unknown  # pieces of words are told from the unknown word
                 losses[full] += start
                 asked = []
-                for a, b, text_of in ((hashes, _same(len(hashes), WORD), of), (before, hashes, of), (last, _same(len(last), END), full)):
+                for a, b, text_of in ((own, _same(len(own), WORD), of), (before, own, of), (last, _same(len(last), END), full)):
                     at = hot.at(a, b)
                     far = at == len(hot.codes)
                     for c in (0, 1):  # sums of longs below 2^53
@@ -211,7 +247,7 @@ def score(docs: DataFrame, models: Models, id: str = "doc_id", text: str = "text
                     part = [pa.array(x[k:k + ROWS]) for x in asked]
                     yield pa.RecordBatch.from_arrays([*part, pa.nulls(len(part[0]), head.type)], names=schema.names)
 
-    asks = rows.mapInArrow(run, schema).select("row", F.xxhash64("a", "b").alias("key"), "head")
+    asks = rows.mapInArrow(run, schema).select("row", _key().alias("key"), "head")
     told = asks.join(models.rest, "key", "left").where("head is not null or l0 is not null")
     sums = told.groupBy("row").agg(F.max("head.id").alias(id), F.max("head.words").alias("n_tokens"), *(
         F.sum(F.when(F.col("head").isNull(), F.col(f"l{c}")).otherwise(F.col(f"head.l{c}"))).alias(f"sum{c}") for c in (0, 1)))
