@@ -35,7 +35,7 @@ WORD, END = 0, RARE
 #: Losses are kept in this fraction of a nat.
 UNIT = 1 << 20
 #: Kinds of pieces that a task adds up before it hands them to the exchange; rows of a batch on the way out.
-HELD, ROWS = 1 << 19, 1 << 17
+HELD, ROWS = 1 << 18, 1 << 17
 
 
 def _neighbours(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
