@@ -2,11 +2,13 @@
 
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 _own: dict[str, str] = {}
+_paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -37,10 +39,22 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` and read it back: the lineage ends in files that outlive any executor."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    _paths[table] = path
+    return table
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that :func:`materialise` returned, once all that is built on them is stored itself."""
+    for table in tables:
+        _delete(table.sparkSession, _paths.pop(table))
 
 
 def release(spark: SparkSession) -> None:
     """Delete all that this application has stored; tables read from it are gone."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_home(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, _home(spark))

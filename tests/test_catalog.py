@@ -69,6 +69,9 @@ def test_nothing_is_left_behind(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(storage, "_home", lambda _: str(tmp_path / "own"))
     assert storage.materialise(spark.range(3), "x").count() == 3
     assert (tmp_path / "own").exists()
+    first, second = (storage.materialise(spark.range(n), f"r{n}") for n in (2, 0))
+    storage.discard(first, second)
+    assert [p.name[0] for p in (tmp_path / "own").iterdir()] == ["x"]
     storage.release(spark)
     assert not (tmp_path / "own").exists()
 
