@@ -28,6 +28,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from readgrade.llm.common import checked_broadcast, ship, slices, stored, table
 from readgrade.llm.word_hashes import RARE, START, hash_words, pair
+from readgrade.plans.storage import discard
 
 SEEN, DISCOUNT, HOT = 2, 0.75, 1 << 19
 #: Second halves of pieces that are no pair: a word for itself, a word that ends a text. No hash of a word is so low.
@@ -141,22 +142,22 @@ class Models:
 
 def _piece(a: str, b: Column, n: str, *losses: Column) -> list[Column]:
     return [F.col(a).alias("a"), b.cast("long").alias("b"), F.col(n).alias("n"),
-            *(F.round(x * UNIT).cast("long").alias(f"l{c}") for c, x in enumerate(losses))]
+            *(F.round(x * UNIT).cast("int").alias(f"l{c}") for c, x in enumerate(losses))]  # below 200 nats, so an int holds it
 
 
 def train(docs: DataFrame, target: str, text: str = "text", hot: int = HOT) -> Models:
     """Count all texts; rows where the boolean column ``target`` is true are the target, all rows the background."""
     ship(docs.sparkSession)
     rows = docs.select(F.col(text).cast("string").alias("text"), F.coalesce(F.col(target), F.lit(False)).alias("target"))
-    words, known = stored(counted(rows, lambda: _words).drop("b"), "word-counts"), F.col("n") >= SEEN
-    sums = words.where(F.col("a") != START).agg(
+    word_counts, known = stored(counted(rows, lambda: _words).drop("b"), "word-counts"), F.col("n") >= SEEN
+    sums = word_counts.where(F.col("a") != START).agg(
         *(F.coalesce(F.sum(x), F.lit(0)) for x in ("t", "n", F.when(known, F.col("t")), F.when(known, F.col("n")))), F.count(F.when(known, 1))).first()
     scale = (1.0, sums[0] / max(sums[1], 1))
     whole = [sums[c] * scale[c] + 0.5 * (sums[4] + 1) for c in (0, 1)]
     unknown = [-np.log(((sums[c] - sums[2 + c]) * scale[c] + 0.5) / whole[c]) for c in (0, 1)]
     often = max(sums[1] / hot, SEEN)
     is_hot = (F.col("n") >= often) | (F.col("a") == START)
-    coder = Coder(words.where((F.col("n") >= often) & (F.col("a") != START)).select("a").toPandas()["a"].to_numpy(np.int64).view(np.uint64))
+    coder = Coder(word_counts.where((F.col("n") >= often) & (F.col("a") != START)).select("a").toPandas()["a"].to_numpy(np.int64).view(np.uint64))
     shared = docs.sparkSession.sparkContext.broadcast(coder)
 
     def neighbours():
@@ -167,7 +168,7 @@ def train(docs: DataFrame, target: str, text: str = "text", hot: int = HOT) -> M
 
     pairs = stored(counted(rows, neighbours).where(known), "pair-counts")
     codes = docs.sparkSession.createDataFrame(pa.table({"a": coder.hashes.view(np.int64), "code": np.arange(END + 1, END + 1 + len(coder.hashes))}))
-    words = words.where(known | (F.col("a") == START)).join(F.broadcast(codes), "a", "left").withColumn("a", F.coalesce("code", "a")).drop("code")
+    words = word_counts.where(known | (F.col("a") == START)).join(F.broadcast(codes), "a", "left").withColumn("a", F.coalesce("code", "a")).drop("code")
 
     def of(c: int, side: str = "") -> Column:
         return F.col(side + "tn"[c]) * scale[c]
@@ -194,15 +195,18 @@ def train(docs: DataFrame, target: str, text: str = "text", hot: int = HOT) -> M
         fallen = F.col(f"a_left{c}") + F.col(f"b_alone{c}")
         saved.append(fallen - F.log(cut(c) / F.greatest(of(c, "a_"), F.lit(1e-9)) + F.exp(fallen)))
     real = kinds.where(F.col("a") != START)
-    pieces = stored(
+    pieces = (
         matched.select(*_piece("a", F.col("b"), "n", *saved))
         .unionByName(real.select(*_piece("a", F.lit(WORD), "n", *(-F.col(f"alone{c}") - F.col(f"left{c}") - float(unknown[c]) for c in (0, 1)))))
         .unionByName(real.select(*_piece("a", F.lit(END), "n", F.col("left0"), F.col("left1"))))
-        .where((F.col("n") >= often) | (F.col("l0") != 0) | (F.col("l1") != 0)), "pieces")
-    near = pieces.where(F.col("n") >= often).select("a", "b", "l0", "l1").toPandas()  # 3 * hot rows at most
+        .where((F.col("n") >= often) | (F.col("l0") != 0) | (F.col("l1") != 0)))
+    frequent = F.col("n") >= often
+    pieces = stored(pieces.select(*(F.when(frequent, F.col(c)).alias(c) for c in "ab"), F.when(~frequent, _key()).alias("key"), "l0", "l1"), "pieces")
+    near = pieces.where("key is null").select("a", "b", "l0", "l1").toPandas()  # 3 * hot rows at most
     start = kinds.where(F.col("a") == START).select(*(F.round(-F.col(f"left{c}") * UNIT).cast("long") for c in (0, 1))).first()
+    discard(word_counts, pairs, kinds)
     return Models(coder, Pieces(*(near[c].to_numpy(np.int64) for c in "ab"), near[["l0", "l1"]].to_numpy(np.int64)),
-                  pieces.where(F.col("n") < often).select(_key().alias("key"), "l0", "l1"),
+                  pieces.where("key is not null").select("key", "l0", "l1"),
                   np.rint(np.array(unknown) * UNIT).astype(np.int64), np.array(start or (0, 0), np.int64))
 
 
