@@ -33,10 +33,12 @@ from readgrade.plans.storage import discard
 SEEN, DISCOUNT, HOT = 2, 0.75, 1 << 19
 #: Second halves of pieces that are no pair: a word for itself, a word that ends a text. No hash of a word is so low.
 WORD, END = 0, RARE
+#: Bits of the number of a frequent word, which is HOT + END at most.
+BITS = (HOT + END).bit_length()
 #: Losses are kept in this fraction of a nat.
 UNIT = 1 << 20
-#: Kinds of pieces that a task adds up before it hands them to the exchange; rows of a batch on the way out.
-HELD, ROWS = 1 << 18, 1 << 17
+#: Kinds of pieces that a task adds up before it hands them to the exchange; rows of a batch on the way out; bytes of text at once.
+HELD, ROWS, BYTES = 1 << 18, 1 << 17, 1 << 19
 
 
 def _neighbours(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -89,7 +91,7 @@ def counted(rows: DataFrame, kinds) -> DataFrame:
         make, parts, size = kinds(), [], 0
         for batch in batches:
             column = batch.column(0).cast(pa.large_binary())
-            for begin, end in slices(column):
+            for begin, end in slices(column, BYTES):
                 hashes, counts = hash_words(column.slice(begin, end - begin).to_pylist())
                 a, b, flag = make(hashes, counts, batch.column(1).slice(begin, end - begin).to_numpy(zero_copy_only=False).astype(np.int64))
                 parts.append(merged([(a, b, np.ones(len(a)), flag)]))
@@ -107,9 +109,9 @@ def counted(rows: DataFrame, kinds) -> DataFrame:
 
 
 def _key(a: str = "a", b: str = "b") -> Column:
-    """One long for a piece: two numbers of frequent words side by side, or a hash where one is no such number."""
+    """One long for a piece: two numbers of frequent words side by side in its five low bytes, or a hash where one is no such number."""
     small = F.col(a).between(0, HOT + END) & F.col(b).between(0, HOT + END)
-    return F.when(small, F.shiftleft(F.col(a), 32).bitwiseOR(F.col(b))).otherwise(F.xxhash64(a, b))
+    return F.when(small, F.shiftleft(F.col(a), BITS).bitwiseOR(F.col(b))).otherwise(F.xxhash64(a, b))
 
 
 class Pieces:
@@ -229,7 +231,7 @@ def score(docs: DataFrame, models: Models, id: str = "doc_id", text: str = "text
         coder, hot, unknown, start = shared.value
         for batch in batches:
             column = batch.column(2).cast(pa.large_binary())
-            for begin, end in slices(column):
+            for begin, end in slices(column, BYTES):
                 hashes, counts = hash_words(column.slice(begin, end - begin).to_pylist())
                 own = coder(hashes)
                 before, full, last = _neighbours(own, counts)
