@@ -27,7 +27,8 @@ from readgrade.llm.word_hashes import hash_words, split_words, words
 BLOCK = 12
 #: Latent directions, and random ones beyond them.
 RANK, MORE, SEED = 32, 8, 11
-#: Least cosine of a candidate.
+#: Least cosine of a candidate. A window that holds an item of n words has 2 * BLOCK - n others beside it, which turn its point away,
+#: the more the rarer they are, so for a shorter item this is multiplied by n / (2 * BLOCK).
 COSINE = 0.55
 #: Shares of the item that must be in the document in order: alone, and together with the answer words.
 VERBATIM, PARAPHRASE, ANSWER = 0.8, 0.5, 0.5
@@ -270,6 +271,7 @@ def search(coded: DataFrame, id_type: str, bench: Benchmark, weights: np.ndarray
         items, answers, weights, points = shared.value
         lengths = np.array([len(x) for x in items], np.int64)
         of, _, queries, _ = windows(lengths, np.concatenate(items), points)
+        least = np.minimum(cosine, cosine * np.minimum(lengths[of] / (2 * BLOCK), 1)).astype(np.float32)
         checkers = [Checker(i, a, weights) for i, a in zip(items, answers, strict=True)]
         marks, reach = Marks(checkers, len(weights)), -(-(lengths + BLOCK // 2) // BLOCK)
         for ids, sizes, places in _texts(batches, kind):
@@ -280,7 +282,7 @@ def search(coded: DataFrame, id_type: str, bench: Benchmark, weights: np.ndarray
             best: dict = {}
             for part in range(0, len(z), WINDOWS_AT_ONCE):
                 like = z[part:part + WINDOWS_AT_ONCE] @ queries.T
-                row, query = np.divmod(np.flatnonzero(like >= cosine), like.shape[1])
+                row, query = np.divmod(np.flatnonzero(like >= least), like.shape[1])
                 k, block = of[query], base[text[row + part]] + first[row + part]
                 seen = np.empty(len(k), np.uint64)
                 for size, own in around.items():
@@ -318,6 +320,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text:
     empty texts on either side, and items without a word, match nothing. Repeated rows are found each on its own. The benchmark
     is the query set and is read by the driver. Vocabulary, weights and latent space are fitted once over all items; only the search goes
     through the items ``items_at_once`` at a time, so what is found for an item does not depend on how many others there are in a part.
+    ``cosine`` is asked of windows for items of ``2 * BLOCK`` words or more, less of shorter ones.
     Words of a separate ``answer`` are part of the vocabulary. Of places of one item in a document the best counts, of equal ones the
     first. An empty table on either side gives no rows; texts of any length are searched window by window. Other columns, whatever
     their names, are not looked at.

@@ -176,6 +176,30 @@ def test_leaks_by_recall_against_brute_force(exam):
     assert whole == parts
 
 
+@pytest.mark.parametrize("length", [None, 16, 10])
+def test_recall_of_the_cosine_by_length_and_change(spark, sf, length):
+    """Items planted in documents, whole or cut, with 0, 20 or 40 % of the words replaced, against the acceptance rule without the cosine."""
+    rng = random.Random(3)
+    texts, items = ([r["text"] or "" for r in spark.read.parquet(f"{sf}/{t}.parquet").collect()] for t in ("documents", "benchmark"))
+    items, others = [" ".join(t.split()[:length]) for t in items], " ".join(texts).split()
+    rows, planted = [], {}
+    for share in (0.0, 0.2, 0.4):
+        for _ in range(150):
+            k, words = rng.randrange(len(items)), rng.choice(texts).split()[:300]
+            at = rng.randrange(len(words) + 1)
+            words[at:at] = [w if rng.random() >= share else rng.choice(others) for w in items[k].split()]
+            planted[len(rows), k] = share
+            rows.append((len(rows), " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).cache()
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    every, found = ({(r[0], r[1]) for r in D.find_leaks(docs, bench, cosine=c).collect()} for c in (-1.0, D.COSINE))
+    assert found <= every
+    for share, least in ((0.0, 0.99), (0.2, 0.98), (0.4, 0.97)):
+        own = {p for p, s in planted.items() if s == share} & every
+        assert len(own & found) >= least * len(own) > 50
+    assert len(found) >= 0.98 * len(every)
+
+
 def test_answers_apart_from_the_item(spark, rng):
     """A word-for-word copy needs no answer near it; a half copy needs answer words, and unknown words are none."""
     item = [prose(rng, 1) + f"q{k}" for k in range(20)]
