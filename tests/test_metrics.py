@@ -280,3 +280,27 @@ def test_hot_words_do_not_travel_in_the_lexical_profile(spark, wordlist):
     limits = docs.selectExpr("doc_id", "1000L AS max_rank")
     plan = L.lexical_profile(tokens, graded, limits, M.document_counts(tokens, graded))._jdf.queryExecution().optimizedPlan().toString()
     assert "ResolvedHint (strategy=broadcast)" in plan or "rightHint=(strategy=broadcast)" in plan
+
+
+def test_runs_of_a_key_become_one_row(spark):
+    from readgrade.operators.runs import per_key
+    rows = spark.createDataFrame([(1, 2, "b"), (1, 3, None), (None, 5, "z"), (2, 1, "a"), (1, 4, "a"), (None, None, "y")],
+                                 "doc_id bigint, n int, w string")
+    got = per_key(rows.coalesce(1), "doc_id", {"n": F.col("n")}, {"bits": F.col("n")}, {"w": F.col("w")}, {"w": F.array_sort("w")})
+    assert sorted(map(tuple, got.collect()), key=repr) == [(1, 9, 7, ["a", "b"]), (2, 1, 1, ["a"]), (None, 5, 5, ["y", "z"])]
+    none = per_key(rows.where("n > 9"), "doc_id", {"n": F.col("n")}, lists={"w": F.col("w")})
+    assert none.collect() == []
+
+
+def test_tokens_are_folded_before_any_sort(spark):
+    """A ``groupBy`` with lists over tokens sorts and spills those of all but a few documents."""
+    docs = spark.createDataFrame([(i, "A cat walked home. It slept.") for i in range(5)], "doc_id bigint, text string")
+    tokens = T.tokens(docs)
+    words = spark.createDataFrame([(1, "cat", "noun", "A1")], "seq bigint, headword string, pos string, cefr string")
+    forms = L.mark_hot(L.word_forms(tokens))
+    for listed in (False, True):
+        graded = L.grade_forms(L.retag_forms(forms, words) if listed else forms, words)
+        counts = (M.retagged_counts if listed else M.document_counts)(tokens, graded)
+        plan = counts._jdf.queryExecution().executedPlan().toString()
+        assert "MapInArrow" in plan
+        assert {r["n_words"] for r in counts.collect()} == {6}
