@@ -116,3 +116,13 @@ def test_flow_from_table_to_saved_model(labelled, tmp_path):
     first = check(predicted, 18)
     loaded = CL.Calibrated.load(str(tmp_path / "flow")) if isinstance(model, CL.Calibrated) else CL.PipelineModel.load(str(tmp_path / "flow"))
     assert first == check(CL.predict(loaded, predicted.drop("scores", "predicted_level", "confidence")), 18)
+
+
+def test_rows_keep_their_node_where_the_chain_can_end(labelled, monkeypatch):
+    """Same trees either way; without a checkpoint folder the chain of passes would grow."""
+    trees = []
+    for kept in (False, True):
+        monkeypatch.setattr(CL, "_node_ids", lambda kept=kept: kept)
+        assert CL.forest(90).getCacheNodeIds() is kept
+        trees.append(CL.fit(labelled).stages[-1].toDebugString.split("\n", 1)[1])
+    assert trees[0] == trees[1]
