@@ -288,6 +288,8 @@ def test_runs_of_a_key_become_one_row(spark):
                                  "doc_id bigint, n int, w string")
     got = per_key(rows.coalesce(1), "doc_id", {"n": F.col("n")}, {"bits": F.col("n")}, {"w": F.col("w")}, {"w": F.array_sort("w")})
     assert sorted(map(tuple, got.collect()), key=repr) == [(1, 9, 7, ["a", "b"]), (2, 1, 1, ["a"]), (None, 5, 5, ["y", "z"])]
+    halves = per_key(rows, "doc_id", {"half": F.col("n") / 2.0, "even": F.col("n") % 2 == 0})
+    assert sorted(map(tuple, halves.collect()), key=repr) == [(1, 4.5, 2), (2, 0.5, 0), (None, 2.5, 0)]
     none = per_key(rows.where("n > 9"), "doc_id", {"n": F.col("n")}, lists={"w": F.col("w")})
     assert none.collect() == []
 
