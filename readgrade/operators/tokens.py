@@ -35,7 +35,7 @@ def tokens(docs: DataFrame) -> DataFrame:
     from a broadcast of the fixed table above: a hash probe per token keeps the
     generated code small enough to be compiled.
     """
-    found = F.regexp_extract_all(X.clitics_apart(F.col("sentence")), F.lit(X.TOKEN), 0)
+    found = F.regexp_extract_all(X.clitics_apart(F.col("sentence")), F.lit(X.FAST_TOKEN), 0)
     shifted = F.concat(F.array(F.lit("")), F.slice("found", 1, F.greatest(F.size("found") - 1, F.lit(0))))
     pairs = F.arrays_zip(F.col("found").alias("text"), shifted.alias("before"))
     # never null, so that joins on these columns add no null checks that repeat the rules below
@@ -130,7 +130,7 @@ def noun_chunks(docs: DataFrame) -> DataFrame:
         closed = F.when(lower.isin(inside), inside and tags[inside[0]]).when(lower.isin([w for w in tags if w not in inside]) | X.is_stem(code), "X")
         return F.when(X.word_in_chunk(X.is_letter(code, word), X.is_capital(code, word), lower, place, closed), "1").otherwise("0")
 
-    found = F.regexp_extract_all(X.clitics_apart(F.col("sentence")), F.lit(X.TOKEN), 0)
+    found = F.regexp_extract_all(X.clitics_apart(F.col("sentence")), F.lit(X.FAST_TOKEN), 0)
     runs = F.regexp_extract_all(F.array_join(F.transform("found", flag), ""), F.lit("1+"), 0)
     rows = sentences(docs).select("doc_id", "sent_id", found.alias("found")).select("doc_id", "sent_id", F.posexplode(runs).alias("chunk_id", "run"))
     size = F.length("run").cast("bigint")

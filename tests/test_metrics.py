@@ -306,3 +306,20 @@ def test_tokens_are_folded_before_any_sort(spark):
         plan = counts._jdf.queryExecution().executedPlan().toString()
         assert "MapInArrow" in plan
         assert {r["n_words"] for r in counts.collect()} == {6}
+
+
+def test_fast_classes_hold_the_same_characters(spark):
+    """Over all characters; the counts of a text go through no negated class of many ranges, which costs a look at each range per letter."""
+    char = F.pandas_udf(lambda codes: codes.map(chr), "string")
+    chars = spark.range(0x110000).where(f"id NOT BETWEEN {0xD800} AND {0xDFFF}").select(char("id").alias("c"))
+    whole = lambda pattern: F.col("c").rlike(f"^(?:{pattern})\\z")
+    other = [whole(f"[^{X.SPACE}]") != whole(X.SOLID), whole(f"[{X.LETTERS}]") != whole(X.LETTER),
+             whole(X.TOKEN) != whole(X.FAST_TOKEN), whole(X.WORD_OR_NUMBER) != whole(X.FAST_WORD_OR_NUMBER),
+             (X.strip(F.col("c")) == "") != whole(f"[{X.SPACE}]"), X.whitespace_words(F.col("c")) != whole(X.SOLID).cast("int"),
+             X.letter_total(F.col("c")) != whole(f"[{X.LETTERS}0-9]").cast("int")]
+    assert chars.agg(*[F.count_if(o) for o in other]).first() == (0,) * len(other)
+    docs = spark.createDataFrame([("a\u3000b' \n c ",)], "text string")
+    counted = docs.select(X.whitespace_words(F.col("text")), X.strip(F.col("text")), X.word_total(F.col("text")))
+    assert counted.first() == (3, "a\u3000b' \n c", 3)
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert r"\x{205F}" not in plan.replace(X.SOLID, "")
