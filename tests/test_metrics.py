@@ -323,3 +323,13 @@ def test_fast_classes_hold_the_same_characters(spark):
     assert counted.first() == (3, "a\u3000b' \n c", 3)
     plan = counted._jdf.queryExecution().optimizedPlan().toString()
     assert r"\x{205F}" not in plan.replace(X.SOLID, "")
+
+
+def test_tokens_are_not_sorted_to_meet_the_list(spark, tmp_path):
+    from catalog import QUERIES
+    rows = [(1, "The rapid cat walked home. A cat walked.", "en"), (2, "Cats talked, a cat walked home.", "en"), (3, " ", "en")]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    tagged = QUERIES["t4_tags_with_list"](spark, str(tmp_path))
+    assert sorted(map(tuple, tagged.collect())) == [(1, 2, 0, 0), (2, 2, 0, 0)]
+    plan = tagged._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
