@@ -1,6 +1,6 @@
 """Level classifier on the eight metrics with Spark ML (ML5, ML8, ML10-ML18).
 
-Fitting passes over a stored training table; what reaches the driver is the
+Fitting passes over all rows of a training table; what reaches the driver is the
 model and the class list, never the rows.
 """
 
@@ -27,10 +27,9 @@ REGRESSION_TREES = 100
 MOST_FOLDS = 5
 CALIBRATION_FOLDS = (2, 3)
 SURFACE = ["flesch", "ARI", "coleman_liau", "n_ws_words", "n_dot_pieces"]
-# bounds of a fit: labelled rows used at most, and the partitions they are fitted in. Both are arguments of every fit; the
-# second is part of a forest's definition, because its samples are drawn by partition: rows are dealt to them by a hash of their
-# values, so a fit does not depend on how the table was partitioned. Nodes of a forest grow with the rows.
-FIT_ROWS, FIT_PARTITIONS = 100_000, 4
+# a fit uses all labelled rows, in this many partitions or more, so that none holds more than the second number on average. They
+# are dealt by a hash of their values, so a fit does not depend on how the table was partitioned.
+FIT_PARTITIONS, PARTITION_ROWS = 4, 25_000
 # MB of node statistics that a forest gathers at a time
 NODE_MB = 64
 # scores are added up in so many bins before a curve is fitted to them
@@ -84,23 +83,17 @@ def pipeline(kind: str, rows: int) -> Pipeline:
 
 # ---- fitting and choice ----------------------------------------------------------------
 
-def bounded(train: DataFrame, rows: int = FIT_ROWS, partitions: int = FIT_PARTITIONS) -> DataFrame:
-    """At most ``rows`` labelled rows, the first in hash order, dealt by that hash so that a repeated fit sees the same partitions.
-
-    The count gives a threshold that slightly more rows than wanted stay below; only those are ordered and cut.
-    """
+def dealt(train: DataFrame, partitions: int | None = None) -> DataFrame:
+    """All rows, dealt by a hash of their values and ordered by it, so that a repeated fit sees the same partitions."""
     columns = sorted(c for c, kind in train.dtypes if kind in ("double", "string", "bigint", "int"))
-    keyed, total = train.withColumn("fit_key", F.xxhash64(*columns)), train.count()
-    if total > rows:
-        wanted = 1.02 * rows + 10 * rows ** 0.5 + 100
-        if wanted < total:
-            keyed = keyed.where(F.col("fit_key") <= int((wanted / total - 0.5) * 2 ** 64))
-        keyed = keyed.orderBy("fit_key", *columns).limit(rows)
+    if partitions is None:
+        partitions = max(FIT_PARTITIONS, -(-train.count() // PARTITION_ROWS))
+    keyed = train.withColumn("fit_key", F.xxhash64(*columns))
     return keyed.repartition(partitions, "fit_key").sortWithinPartitions("fit_key", *columns).drop("fit_key")
 
 
-def fit(train: DataFrame, kind: str = "forest", rows: int = FIT_ROWS, partitions: int = FIT_PARTITIONS) -> PipelineModel:
-    ready = weighted(bounded(train, rows, partitions)).persist()
+def fit(train: DataFrame, kind: str = "forest", partitions: int | None = None) -> PipelineModel:
+    ready = weighted(dealt(train, partitions)).persist()
     model = pipeline(kind, ready.count()).fit(ready)
     ready.unpersist()
     return model
@@ -124,7 +117,7 @@ def choose(train: DataFrame) -> list[tuple[str, float]]:
     k = min(MOST_FOLDS, rarest(train))
     if k < 2:
         return [("forest", float("nan"))]
-    folded = weighted(bounded(with_folds(train, k))).persist()
+    folded = weighted(dealt(with_folds(train, k))).persist()
     accuracy = MulticlassClassificationEvaluator(metricName="accuracy")
     n, scores = folded.count(), []
     for kind in CANDIDATES:
@@ -241,7 +234,7 @@ def calibrate(train: DataFrame, kind: str = "forest") -> "Calibrated | PipelineM
     return Calibrated(base, curves)
 
 
-def train_and_save(labelled: DataFrame, path: str, rows: int = FIT_ROWS) -> "tuple[Calibrated | PipelineModel, DataFrame] | None":
+def train_and_save(labelled: DataFrame, path: str) -> "tuple[Calibrated | PipelineModel, DataFrame] | None":
     """The whole flow: skip a table that lacks columns, split (by class if every class has two rows), choose, calibrate, save.
 
     Gives the model and the test part with its predictions, or None if columns are missing.
@@ -250,18 +243,19 @@ def train_and_save(labelled: DataFrame, path: str, rows: int = FIT_ROWS) -> "tup
         return None
     stratify = rarest(labelled) >= 2
     parts = TR.split(labelled, stratify=stratify)
-    train = bounded(parts.where("NOT is_test"), rows)
+    train = parts.where("NOT is_test").persist()
     model = calibrate(train, choose(train)[0][0])
     model.save(path) if isinstance(model, Calibrated) else model.write().overwrite().save(path)
+    train.unpersist()
     return model, predict(model, parts.where("is_test"))
 
 
 # ---- regression on surface features --------------------------------------------------------------
 
-def fit_regressor(train: DataFrame, rows: int = FIT_ROWS, partitions: int = FIT_PARTITIONS) -> PipelineModel:
-    """Forest that predicts the encoded level from the five surface features of at most ``rows`` rows."""
+def fit_regressor(train: DataFrame, partitions: int | None = None) -> PipelineModel:
+    """Forest that predicts the encoded level from the five surface features."""
     return Pipeline(stages=[
         indexer(), VectorAssembler(inputCols=SURFACE, outputCol="features"),
         RandomForestRegressor(numTrees=REGRESSION_TREES, maxDepth=DEEPEST, seed=SEED, maxMemoryInMB=NODE_MB,
                               cacheNodeIds=_node_ids())]).fit(
-            bounded(train.select("predict_level", *SURFACE), rows, partitions))
+            dealt(train.select("predict_level", *SURFACE), partitions))
