@@ -7,16 +7,17 @@ model and the class list, never the rows.
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, OneVsRest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel, RandomForestRegressor
+from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from readgrade import fixed as C
 from readgrade.operators import training as TR
+from readgrade.operators.forests import Forest, RegressionForest
 from readgrade.sources.tables import missing_columns
 
 # fixed values: settings of the two candidate models
@@ -30,8 +31,6 @@ SURFACE = ["flesch", "ARI", "coleman_liau", "n_ws_words", "n_dot_pieces"]
 # a fit uses all labelled rows, in this many partitions or more, so that none holds more than the second number on average. They
 # are dealt by a hash of their values, so a fit does not depend on how the table was partitioned.
 FIT_PARTITIONS, PARTITION_ROWS = 4, 25_000
-# MB of node statistics that a forest gathers at a time
-NODE_MB = 64
 # scores are added up in so many bins before a curve is fitted to them
 CURVE_BINS = 1000
 
@@ -58,14 +57,13 @@ def weighted(train: DataFrame) -> DataFrame:
 
 
 def _node_ids() -> bool:
-    """Whether a forest keeps the node of every row instead of walking down all trees in each pass: same trees, less time. Each
-    pass builds on the one before, so it needs a checkpoint folder that ends the chain."""
+    """Whether passes over the rows may build on each other: only with a checkpoint folder that ends the chain. Trees that are grown in
+    tasks make no such passes and are the same either way."""
     return SparkSession.active().sparkContext.getCheckpointDir() is not None
 
 
-def forest(rows: int) -> RandomForestClassifier:
-    return RandomForestClassifier(numTrees=TREES, maxDepth=DEEPEST, seed=SEED, weightCol="weight", maxMemoryInMB=NODE_MB,
-                                  cacheNodeIds=_node_ids())
+def forest(rows: int) -> Forest:
+    return Forest(numTrees=TREES, maxDepth=DEEPEST, seed=SEED, weightCol="weight", cacheNodeIds=_node_ids())
 
 
 def logistic(rows: int) -> OneVsRest:
@@ -254,8 +252,9 @@ def train_and_save(labelled: DataFrame, path: str) -> "tuple[Calibrated | Pipeli
 
 def fit_regressor(train: DataFrame, partitions: int | None = None) -> PipelineModel:
     """Forest that predicts the encoded level from the five surface features."""
-    return Pipeline(stages=[
+    ready = dealt(train.select("predict_level", *SURFACE), partitions).persist()
+    model = Pipeline(stages=[
         indexer(), VectorAssembler(inputCols=SURFACE, outputCol="features"),
-        RandomForestRegressor(numTrees=REGRESSION_TREES, maxDepth=DEEPEST, seed=SEED, maxMemoryInMB=NODE_MB,
-                              cacheNodeIds=_node_ids())]).fit(
-            dealt(train.select("predict_level", *SURFACE), partitions))
+        RegressionForest(numTrees=REGRESSION_TREES, maxDepth=DEEPEST, seed=SEED, cacheNodeIds=_node_ids())]).fit(ready)
+    ready.unpersist()
+    return model
