@@ -5,19 +5,21 @@ model and the class list, never the rows.
 """
 
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, OneVsRest
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from readgrade import fixed as C
 from readgrade.operators import training as TR
 from readgrade.operators.forests import Forest, RegressionForest
+from readgrade.operators.logistic import NewtonOneVsRest
 from readgrade.sources.tables import missing_columns
 
 # fixed values: settings of the two candidate models
@@ -31,6 +33,7 @@ SURFACE = ["flesch", "ARI", "coleman_liau", "n_ws_words", "n_dot_pieces"]
 # a fit uses all labelled rows, in this many partitions or more, so that none holds more than the second number on average. They
 # are dealt by a hash of their values, so a fit does not depend on how the table was partitioned.
 FIT_PARTITIONS, PARTITION_ROWS = 4, 25_000
+FITS_AT_A_TIME = 2
 # scores are added up in so many bins before a curve is fitted to them
 CURVE_BINS = 1000
 
@@ -66,10 +69,10 @@ def forest(rows: int) -> Forest:
     return Forest(numTrees=TREES, maxDepth=DEEPEST, seed=SEED, weightCol="weight", cacheNodeIds=_node_ids())
 
 
-def logistic(rows: int) -> OneVsRest:
-    """One model per class, side by side; penalty ``PENALTY / rows`` on the mean loss is a unit penalty on its sum."""
+def logistic(rows: int) -> NewtonOneVsRest:
+    """One model per class, all in the same passes; penalty ``PENALTY / rows`` on the mean loss is a unit penalty on its sum."""
     one = LogisticRegression(maxIter=ITERATIONS, regParam=PENALTY / max(rows, 1))
-    return OneVsRest(classifier=one, weightCol="weight", parallelism=len(C.TEXT_LEVELS))
+    return NewtonOneVsRest(classifier=one, weightCol="weight")
 
 
 CANDIDATES = {"forest": forest, "logistic": logistic}
@@ -107,6 +110,12 @@ def with_folds(train: DataFrame, k: int) -> DataFrame:
     return TR.numbered(base).withColumn("fold", (F.col("rn") % k).cast("int")).drop("rn", "n_class")
 
 
+def _side_by_side(spark: SparkSession, calls: list[tuple]) -> list:
+    """Results of calls that fit models, a few at a time, as a fit of a small table leaves cores idle."""
+    with ThreadPool(FITS_AT_A_TIME) as pool:
+        return pool.map(inheritable_thread_target(spark)(lambda call: call[0](*call[1:])), calls, chunksize=1)
+
+
 def choose(train: DataFrame) -> list[tuple[str, float]]:
     """Candidates with their cross-validated accuracy, best first; the forest wins a tie.
 
@@ -117,12 +126,15 @@ def choose(train: DataFrame) -> list[tuple[str, float]]:
         return [("forest", float("nan"))]
     folded = weighted(dealt(with_folds(train, k))).persist()
     accuracy = MulticlassClassificationEvaluator(metricName="accuracy")
-    n, scores = folded.count(), []
-    for kind in CANDIDATES:
-        search = CrossValidator(estimator=pipeline(kind, n), estimatorParamMaps=ParamGridBuilder().build(),
-                                evaluator=accuracy, numFolds=k, foldCol="fold", parallelism=2)
-        scores.append((kind, float(search.fit(folded).avgMetrics[0])))
+    n = folded.count()
+
+    def validated(kind: str, fold: int) -> float:
+        model = pipeline(kind, n).fit(folded.where(F.col("fold") != fold))
+        return accuracy.evaluate(model.transform(folded.where(F.col("fold") == fold)))
+
+    shares = _side_by_side(folded.sparkSession, [(validated, kind, i) for kind in CANDIDATES for i in range(k)])
     folded.unpersist()
+    scores = [(kind, sum(shares[i * k:(i + 1) * k]) / k) for i, kind in enumerate(CANDIDATES)]
     return sorted(scores, key=lambda s: -s[1])
 
 
@@ -208,26 +220,30 @@ class Calibrated:
 
 def calibrate(train: DataFrame, kind: str = "forest") -> "Calibrated | PipelineModel":
     """Isotonic curves on out-of-fold scores; the raw model when a class is too small to be in every fold."""
-    base, smallest = fit(train, kind), rarest(train)
+    smallest = rarest(train)
     low, high = CALIBRATION_FOLDS
     k = max(low, min(high, smallest))
     if smallest < k:
-        return base
+        return fit(train, kind)
     folded = with_folds(train, k).persist()
+    base, *others = _side_by_side(train.sparkSession, [(fit, train, kind), *[(fit, folded.where(F.col("fold") != i), kind) for i in range(k)]])
     parts = []
-    for i in range(k):
-        rows = folded.where(F.col("fold") == i)
-        predicted = _transform(fit(folded.where(F.col("fold") != i), kind), rows)
+    for i, model in enumerate(others):
+        predicted = _transform(model, folded.where(F.col("fold") == i))
         parts.append(predicted.select("predict_level", class_scores(predicted).alias("s")))
-    held_out = reduce(DataFrame.unionByName, parts).persist()
-    curves = []
-    for i, label in enumerate(labels_of(base)):
-        score = F.get("s", F.lit(i))
-        points = held_out.groupBy(F.floor(score * CURVE_BINS).alias("bin")).agg(
-            F.avg(score).alias(f"s{i}"), F.avg((F.col("predict_level") == label).cast("double")).alias("hit"),
-            F.count(F.lit(1)).cast("double").alias("n"))
-        curves.append(IsotonicRegression(featuresCol=f"s{i}", labelCol="hit", predictionCol=f"c{i}", weightCol="n").fit(points))
-    held_out.unpersist()
+    labels = labels_of(base)
+    right = F.col("predict_level") == F.get(F.array(*[F.lit(v) for v in labels]), F.col("i"))
+    points = reduce(DataFrame.unionByName, parts).select("predict_level", F.posexplode("s").alias("i", "score")).groupBy(
+        "i", F.floor(F.col("score") * CURVE_BINS).alias("bin")).agg(
+        F.avg("score").alias("score"), F.avg(right.cast("double")).alias("hit"), F.count(F.lit(1)).cast("double").alias("n")).persist()
+    points.count()
+
+    def curve(i: int) -> IsotonicRegressionModel:
+        own = points.where(F.col("i") == i).select(F.col("score").alias(f"s{i}"), "hit", "n").coalesce(1)
+        return IsotonicRegression(featuresCol=f"s{i}", labelCol="hit", predictionCol=f"c{i}", weightCol="n").fit(own)
+
+    curves = _side_by_side(train.sparkSession, [(curve, i) for i in range(len(labels))])
+    points.unpersist()
     folded.unpersist()
     return Calibrated(base, curves)
 
