@@ -115,7 +115,8 @@ class Data:
 
     @property
     def lexical(self) -> DataFrame:
-        return L.lexical_profile(self.tokens, self.lexicon, self.limits, self.counts)
+        """The number of tokens comes from the stored counts only if some query has stored them."""
+        return L.lexical_profile(self.tokens, self.lexicon, self.limits, vars(self).get("counts"))
 
     @cached_property
     def measured(self) -> DataFrame:
