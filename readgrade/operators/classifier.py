@@ -20,6 +20,7 @@ from readgrade import fixed as C
 from readgrade.operators import training as TR
 from readgrade.operators.forests import Forest, RegressionForest
 from readgrade.operators.logistic import NewtonOneVsRest
+from readgrade.plans.storage import discard, materialise
 from readgrade.sources.tables import missing_columns
 
 # fixed values: settings of the two candidate models
@@ -124,7 +125,9 @@ def choose(train: DataFrame) -> list[tuple[str, float]]:
     k = min(MOST_FOLDS, rarest(train))
     if k < 2:
         return [("forest", float("nan"))]
-    folded = weighted(dealt(with_folds(train, k))).persist()
+    # stored, as every job of the fits carries the plan of its table
+    stored = materialise(with_folds(train, k), "folded")
+    folded = weighted(dealt(stored)).persist()
     accuracy = MulticlassClassificationEvaluator(metricName="accuracy")
     n = folded.count()
 
@@ -134,6 +137,7 @@ def choose(train: DataFrame) -> list[tuple[str, float]]:
 
     shares = _side_by_side(folded.sparkSession, [(validated, kind, i) for kind in CANDIDATES for i in range(k)])
     folded.unpersist()
+    discard(stored)
     scores = [(kind, sum(shares[i * k:(i + 1) * k]) / k) for i, kind in enumerate(CANDIDATES)]
     return sorted(scores, key=lambda s: -s[1])
 
@@ -225,8 +229,8 @@ def calibrate(train: DataFrame, kind: str = "forest") -> "Calibrated | PipelineM
     k = max(low, min(high, smallest))
     if smallest < k:
         return fit(train, kind)
-    folded = with_folds(train, k).persist()
-    base, *others = _side_by_side(train.sparkSession, [(fit, train, kind), *[(fit, folded.where(F.col("fold") != i), kind) for i in range(k)]])
+    folded = materialise(with_folds(train, k), "folded")
+    base, *others = _side_by_side(train.sparkSession, [(fit, folded, kind), *[(fit, folded.where(F.col("fold") != i), kind) for i in range(k)]])
     parts = []
     for i, model in enumerate(others):
         predicted = _transform(model, folded.where(F.col("fold") == i))
@@ -244,7 +248,7 @@ def calibrate(train: DataFrame, kind: str = "forest") -> "Calibrated | PipelineM
 
     curves = _side_by_side(train.sparkSession, [(curve, i) for i in range(len(labels))])
     points.unpersist()
-    folded.unpersist()
+    discard(folded)
     return Calibrated(base, curves)
 
 
@@ -256,11 +260,10 @@ def train_and_save(labelled: DataFrame, path: str) -> "tuple[Calibrated | Pipeli
     if missing_columns(labelled):
         return None
     stratify = rarest(labelled) >= 2
-    parts = TR.split(labelled, stratify=stratify)
-    train = parts.where("NOT is_test").persist()
+    parts = materialise(TR.split(labelled, stratify=stratify), "parts")
+    train = parts.where("NOT is_test")
     model = calibrate(train, choose(train)[0][0])
     model.save(path) if isinstance(model, Calibrated) else model.write().overwrite().save(path)
-    train.unpersist()
     return model, predict(model, parts.where("is_test"))
 
 
