@@ -13,10 +13,11 @@ from pyspark import cloudpickle
 from pyspark.ml import Model
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import DenseVector
+from pyspark.ml.linalg import DenseVector, VectorUDT
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from readgrade.operators import trees as T
 from readgrade.plans.storage import materialise
@@ -162,16 +163,21 @@ class GrownForest(Model, MLWritable, MLReadable):
     def _transform(self, dataset: DataFrame) -> DataFrame:
         blocks, cuts, width = self._blocks(), self._about["cuts"], max(self.numClasses, 1)
 
-        @F.arrow_udf("array<double>")
-        def ask(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             trees = [T.unpacked(tree, width) for tree in sorted((t for b in blocks for t in b.value), key=lambda t: t["tree"])]
-            for x in batches:
-                bins = T.bins_of(x.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(cuts)), cuts)
-                out = T.votes(trees, bins, width)
-                yield pa.ListArray.from_arrays(pa.array(np.arange(0, out.size + 1, width), pa.int32()), pa.array(out.reshape(-1)))
-
+            for batch in batches:
+                if batch.num_rows:
+                    x = batch.column("forest_x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+                    out = T.votes(trees, T.bins_of(x, cuts), width)
+                    found = pa.ListArray.from_arrays(pa.array(np.arange(0, out.size + 1, width), pa.int32()), pa.array(out.reshape(-1)))
+                    yield pa.RecordBatch.from_arrays([*batch.columns[:-1], found], [*batch.schema.names[:-1], "forest_votes"])
+
+        # vectors go through Arrow as arrays
+        vectors = [f.name for f in dataset.schema if isinstance(f.dataType, VectorUDT)]
+        plain = dataset.withColumns({c: vector_to_array(c) for c in vectors} | {"forest_x": vector_to_array(self._about["featuresCol"])})
+        fields = [*plain.schema.fields[:-1], StructField("forest_votes", ArrayType(DoubleType()))]
         raw, total = F.col("forest_votes"), F.lit(float(self.getNumTrees))
-        asked = dataset.withColumn("forest_votes", ask(vector_to_array(self._about["featuresCol"])))
+        asked = plain.mapInArrow(ask, StructType(fields)).withColumns({c: array_to_vector(c) for c in vectors})
         if not self.numClasses:
             made = {self._about["predictionCol"]: F.get(raw, F.lit(0)) / total}
         else:
